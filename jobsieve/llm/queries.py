@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .packing import best_fit_pack
 from .store import table
+from .warc import archive_pages
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,8 +19,30 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archive_pages(table(spark, sf_dir, "pages"))
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Bare base32 of the SHA-1: each five hexadecimal digits are four letters.
+_BASE32 = """list_aggregate(flatten(list_transform(range(0, 8), lambda g: list_transform([32768, 1024, 32, 1], lambda u:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(body), 5 * g::BIGINT + 1, 5))::BIGINT // u) % 32)::BIGINT + 1, 1)))), 'string_agg', '')"""
+
+OP5_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+             min(page_id) OVER (PARTITION BY body) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_arc_to_warc": OP5_SQL,
+}
