@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
 from .warc import archive_pages
@@ -24,6 +25,25 @@ def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 #: Bare base32 of the SHA-1: each five hexadecimal digits are four letters.
 _BASE32 = """list_aggregate(flatten(list_transform(range(0, 8), lambda g: list_transform([32768, 1024, 32, 1], lambda u:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(body), 5 * g::BIGINT + 1, 5))::BIGINT // u) % 32)::BIGINT + 1, 1)))), 'string_agg', '')"""
@@ -41,8 +61,10 @@ FROM d"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op10_minhash_near_dedup": OP10_SQL,
     "op5_arc_to_warc": OP5_SQL,
 }
