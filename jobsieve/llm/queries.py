@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import contaminated
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -44,6 +45,20 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_i
 FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP1_SQL = r"""
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
+s AS (SELECT DISTINCT kind, id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT id AS item_id, count(*)::BIGINT AS n_item FROM s WHERE kind = 'i' GROUP BY id),
+c AS (SELECT d.id AS doc_id, i.id AS item_id, count(*)::BIGINT AS n_shared FROM s d JOIN s i ON d.g = i.g AND d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item::DOUBLE AS containment FROM c JOIN n USING (item_id) WHERE n_shared >= 0.75 * n_item"""
+
+
 #: Bare base32 of the SHA-1: each five hexadecimal digits are four letters.
 _BASE32 = """list_aggregate(flatten(list_transform(range(0, 8), lambda g: list_transform([32768, 1024, 32, 1], lambda u:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha1(body), 5 * g::BIGINT + 1, 5))::BIGINT // u) % 32)::BIGINT + 1, 1)))), 'string_agg', '')"""
@@ -59,12 +74,14 @@ FROM d"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_benchmark_decontamination": OP1_SQL,
     "op10_minhash_near_dedup": OP10_SQL,
     "op5_arc_to_warc": OP5_SQL,
 }
