@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
+from . import language
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
 from .warc import archive_pages
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -49,6 +51,18 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: crc32 of doc_id as text, for the splits of the contracts.
+def _crc(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(F.coalesce(_crc(4), F.lit(0)) != 2), BYTE_RANKS)
+    found = docs.select("doc_id", F.coalesce(_crc(4) == 2, F.lit(False)).alias("held_out"), language.identify(F.col("text"), model, spark).alias("found"))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
 OP1_SQL = r"""
 WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 w AS (SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
@@ -75,6 +89,7 @@ FROM d"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_language_id": op2_language_id,
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
