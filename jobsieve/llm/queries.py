@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
-from . import language
+from . import language, quality
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -63,6 +63,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(_crc(5) != 0)
+    model = quality.fit(docs, labels)
+    found = docs.select("doc_id", F.coalesce(_crc(5) == 0, F.lit(False)).alias("held_out"), quality.quality(F.col("text"), model, spark).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 OP1_SQL = r"""
 WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 w AS (SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
@@ -90,6 +98,7 @@ FROM d"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_language_id": op2_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,

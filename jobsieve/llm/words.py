@@ -83,12 +83,12 @@ def _hash_span(buf: np.ndarray, word: np.ndarray, cuts: np.ndarray) -> tuple[np.
 
 
 class Chunk:
-    """Consecutive texts of a column: rows lo to hi; words of row i: h[at[i - lo]:at[i - lo + 1]]."""
+    """Consecutive texts of a column: rows lo to hi; words of row i: h[at[i - lo]:at[i - lo + 1]]; sizes in bytes."""
 
-    __slots__ = ("lo", "hi", "h", "at", "starts", "ends", "buf")
+    __slots__ = ("lo", "hi", "h", "at", "starts", "ends", "buf", "sizes")
 
-    def __init__(self, lo, hi, h, at, starts, ends, buf):
-        self.lo, self.hi, self.h, self.at, self.starts, self.ends, self.buf = lo, hi, h, at, starts, ends, buf
+    def __init__(self, lo, hi, h, at, starts, ends, buf, sizes=None):
+        self.lo, self.hi, self.h, self.at, self.starts, self.ends, self.buf, self.sizes = lo, hi, h, at, starts, ends, buf, sizes
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,14 +102,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def chunks(column: pa.Array, word: np.ndarray, span: int = SPAN) -> Iterator[Chunk]:
-    """The hashed words of all texts, some whole texts at a time (about span bytes, or one longer text)."""
+def chunks(column: pa.Array, word: np.ndarray, span: int = SPAN, rows: int = 1 << 16) -> Iterator[Chunk]:
+    """The hashed words of all texts, some whole texts at a time (at most rows, about span bytes, or one longer text)."""
     if not len(column):
         return
     buf, off = text_buffer(column)
     lo = 0
     while lo < len(off) - 1:
-        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + span, "right")) - 1)
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(off, off[lo] + span, "right")) - 1))
         part, cuts = buf[off[lo] : off[hi]], off[lo:hi] - off[lo]
         if len(part) <= 2 * span:
             h, starts, ends = _hash_span(part, word, cuts) if len(part) else (np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -127,7 +127,7 @@ def chunks(column: pa.Array, word: np.ndarray, span: int = SPAN) -> Iterator[Chu
                 got.append((h, starts + at, ends + at))
                 at = to
             h, starts, ends = (np.concatenate(x) for x in zip(*got))
-        yield Chunk(lo, hi, h, np.searchsorted(starts, off[lo : hi + 1] - off[lo]), starts, ends, part)
+        yield Chunk(lo, hi, h, np.searchsorted(starts, off[lo : hi + 1] - off[lo]), starts, ends, part, np.diff(off[lo : hi + 1]))
         lo = hi
 
 
