@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
-from . import language, quality
+from . import language, lm, quality
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -63,6 +63,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(_crc(10) == 0, F.lit(False))
+    model = lm.fit(docs.where(~held))
+    found = lm.score(docs, model, extra={"held_out": held})
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(_crc(5) != 0)
@@ -98,6 +106,7 @@ FROM d"""
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_language_id": op2_language_id,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
