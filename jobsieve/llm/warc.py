@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import new_path, written
+from .store import broadcast_if_small, new_path, written
 
 FILE_BYTES = 16 << 20
 #: Payloads of fewer bytes are never revisits.
@@ -163,9 +163,15 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 # --- Spark -------------------------------------------------------------------------------------------------------
 
 
-def write_records(records: DataFrame, path: str, separator: str) -> None:
-    """Writes the one binary column ``record`` as gzip-compressed archive files; separator ends each record."""
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", separator).option("compression", "gzip").text(path)
+def write_records(records: DataFrame, path: str, separator: str, per_file: int) -> None:
+    """Writes the one binary column ``record`` as gzip-compressed archive files of at most ``per_file`` records;
+    separator ends each record."""
+    writer = records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", separator)
+    writer.option("maxRecordsPerFile", per_file).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+
+
+def _per_file(rows: int, volume: int, file_bytes: int) -> int:
+    return max(2, rows * file_bytes // max(volume, 1))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -201,23 +207,24 @@ def _in_parts(rows: Iterator[tuple], schema: pa.Schema, most: int = 8 << 20) ->
 def pages_to_arc(pages: DataFrame, path: str, version: int = 1, file_bytes: int = FILE_BYTES) -> None:
     """Writes (page_id, url, html) rows as ARC files of the given version; a null html is an empty payload."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    volume = own.agg(F.coalesce(F.sum(F.octet_length("html") + 400), F.lit(0)).alias("n")).first()["n"]
+    known = own.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("html") + 400), F.lit(0)).alias("volume")).first()
+    per_file = _per_file(known["rows"], known["volume"], file_bytes)
     schema = pa.schema([("record", pa.binary())])
 
     def encode(batches):
         def rows():
-            opened = False
+            n = 0
             for batch in batches:
                 for key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                    if not opened:
-                        opened = True
+                    if n % per_file == 0:  # the writer begins a new file here
+                        n += 1
                         yield (arc_heading(version, "pages.arc"),)
+                    n += 1
                     yield (arc_record(version, "" if key is None else str(key), url, html.encode()),)
 
         yield from _in_parts(rows(), schema)
 
-    files = max(1, -(-volume // file_bytes))
-    write_records(own.repartition(files, F.xxhash64("page_id", "url", "html")).mapInArrow(encode, "record binary"), path, "\n")
+    write_records(own.mapInArrow(encode, "record binary"), path, "\n", per_file)
 
 
 def read_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -252,7 +259,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
     slim = written(records.select("key", "url", "date", "payload_bytes", "payload_digest"), "arc-index")
     first = slim.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "url", "date")).alias("first"), F.count("*").alias("n"))
     again = first.where("n > 1").select("payload_digest", "payload_bytes", F.col("first.key").alias("first_key"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
-    joined = records.join(again, ["payload_digest", "payload_bytes"], "left")
+    joined = records.join(broadcast_if_small(again, again.count(), 200_000), ["payload_digest", "payload_bytes"], "left")
+    known = slim.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("payload_bytes") + 800), F.lit(0)).alias("volume")).first()
     schema = pa.schema([("record", pa.binary())])
 
     def encode(batches):
@@ -270,7 +278,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
         yield from _in_parts(rows(), schema)
 
     kept = joined.withColumn("payload", F.when(F.col("first_url").isNull() | F.col("first_key").eqNullSafe(F.col("key")), F.col("payload")).otherwise(F.lit(b"")))
-    write_records(kept.mapInArrow(encode, "record binary"), warc_path, "\r\n\r\n")
+    write_records(kept.mapInArrow(encode, "record binary"), warc_path, "\r\n\r\n", _per_file(known["rows"], known["volume"], file_bytes))
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
