@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
-from . import language, lm, quality
+from . import language, licenses, lm, quality
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -28,6 +28,10 @@ def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_arc_to_warc": op5_arc_to_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
