@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
-from . import language, licenses, lm, quality
+from . import ann, language, licenses, lm, quality
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -19,6 +19,11 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op6_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(ann.build_index(vectors), vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -113,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_arc_to_warc": op5_arc_to_warc,
+    "op6_ann_search": op6_ann_search,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
