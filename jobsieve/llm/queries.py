@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import contaminated
-from . import ann, language, licenses, lm, quality
+from . import ann, chat, language, licenses, lm, quality
 from .near_dedup import near_duplicates
 from .packing import best_fit_pack
 from .store import table
@@ -33,6 +33,10 @@ def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -120,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_arc_to_warc": op5_arc_to_warc,
     "op6_ann_search": op6_ann_search,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_chat_repair": op8_chat_repair,
     "op9_license_scan": op9_license_scan,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
