@@ -148,12 +148,13 @@ def star_survivors(pairs: DataFrame, classes: DataFrame, least: list[int], batch
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The links (u, v) among pairs (blk, a, b), exact on full sets; enough of them to connect what is linked.
+    """The links (u, v) among pairs (blk, nodes, a, b), exact on full sets; enough to connect what is linked.
 
-    All pairs of a block are checked together: a block gets each of its texts once, and a pair that links of the
-    block connect already is left out.
+    a and b: arrays of the pairs' ends, all of them among nodes.  All pairs of a block are checked together: a block
+    gets each of its texts once, and a pair that links of the block connect already is left out.
     """
-    ends = pairs.select(F.col("blk").alias("of"), F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node").select("of", "node", "text")
+    ends = pairs.select(F.col("blk").alias("of"), F.explode("nodes").alias("node")).distinct().join(texts, "node").select("of", "node", "text")
+    pairs = pairs.select("blk", "a", "b")
 
     def check(key, own, held):
         nodes = held.column("node").to_numpy()
@@ -170,7 +171,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             return x
 
         u, v = [], []
-        for a, b in zip(own.column("a").to_pylist(), own.column("b").to_pylist()):
+        one, two = (np.concatenate([c.flatten().to_numpy() for c in own.column(x).chunks] or [np.zeros(0, np.int64)]).tolist() for x in ("a", "b"))
+        for a, b in zip(one, two):
             i, j = place[a], place[b]
             p, q = find(i), find(j)
             if p == q:
@@ -190,7 +192,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
 
 
 def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: int, least: list[int], batch: int, block: int) -> DataFrame:
-    """Pairs across components within a bucket that their signatures leave, as (blk, a, b).
+    """Pairs across components within a bucket that their signatures leave, as (blk, nodes, a, b) with arrays of
+    a group's pairs in few rows.
 
     members: (key, node, component, n) of buckets with several components.  A bucket of n classes is cut into
     blocks; each pair of blocks is one group.  A pair that meets in several bands is compared in the first alone.
@@ -234,9 +237,13 @@ def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: in
                 out_a.append(node[i]), out_b.append(node[j])
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
         b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        return pa.table({"blk": pa.array(np.full(len(a), key[0].as_py(), np.int64)), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        cuts = range(0, len(a), 65536)
+        packs = [(key[0].as_py(), np.unique(np.concatenate((a[c : c + 65536], b[c : c + 65536]))), a[c : c + 65536], b[c : c + 65536]) for c in cuts]
+        many = pa.list_(pa.int64())
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*packs) if packs else [[]] * 4, (pa.int64(), many, many, many))], names=["blk", "nodes", "a", "b"])
 
-    return dealt.groupBy("blk").applyInArrow(compare, "blk long, a long, b long")
+    many = "array<bigint>"
+    return dealt.groupBy("blk").applyInArrow(compare, f"blk long, nodes {many}, a {many}, b {many}")
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,7 +272,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     tasks = max(1, stars.count() // PAIRS)
     per = stars.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PAIRS)).alias("parts"))
     slot = F.xxhash64(F.pmod(F.xxhash64("a"), F.lit(tasks)), F.pmod(F.xxhash64("b"), F.col("parts")))
-    stars = stars.join(per, "a").select(slot.alias("blk"), "a", "b")
+    stars = stars.join(per, "a").select(slot.alias("blk"), F.array("a", "b").alias("nodes"), F.array("a").alias("a"), F.array("b").alias("b"))
     links = written(confirmed(stars, _texts(docs, stars, id_col, text_col), k, percent), "links")
     linked = written(components(links), "components")
 
@@ -282,8 +289,8 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, text) of the ends of pairs, written; ends are few beside docs and are broadcast if counted as few."""
-    ends = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "ends")
+    """(node, text) of the nodes of pairs, written; ends are few beside docs and are broadcast if counted as few."""
+    ends = written(pairs.select(F.explode("nodes").alias("node")).distinct(), "ends")
     own = docs.select(F.col(id_col).cast("long").alias("node"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     found = written(own.join(broadcast_if_small(ends, ends.count()), "node", "left_semi").dropDuplicates(["node"]), "texts")
     removed(docs.sparkSession, ends)
