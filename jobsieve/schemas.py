@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-_KINDS = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "timestamp": T.TimestampType()}
+_KINDS = {"string": T.StringType(), "boolean": T.BooleanType(), "int": T.IntegerType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "long": T.LongType()}
 
 
 def _of(fields: str) -> T.StructType:
@@ -10,8 +10,6 @@ def _of(fields: str) -> T.StructType:
     return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (f.split() for f in fields.split(","))])
 
 
-
-
 SOURCES = _of("source string, enabled boolean, path string")
 LISTINGS = _of("source string, native_id string, url string, title string, location string, scanned_at timestamp")
 SOURCE_STATUS = _of("source string, status string, error string")
@@ -20,6 +18,8 @@ SEEN_SOURCE_JOBS = _of("job_id string, source string, status string, attempts in
 SEEN_JOBS = _of("canonical_id string, job_id string, source string, tier int, first_seen_run string, discovery_type string, rules_version string")
 STATUS_HISTORY = _of("source string, status string, run_id string")
 
+POSTINGS = _of("job_id string, canonical_id string, source string, url string, location string, title string, department string, text string, posted_at timestamp, own_text string, qualifies boolean, reject_reason string, tier int, fit_score double, rank long, duplicate boolean, discovery_type string, rules_version string, run_id string")
+
 #: The states of one version, under one pointer.
 STATE = {"seen_source_jobs": SEEN_SOURCE_JOBS, "seen_jobs": SEEN_JOBS, "source_status": STATUS_HISTORY}
 
