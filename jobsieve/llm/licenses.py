@@ -102,54 +102,59 @@ def runs_of(found: list[Template]):
     return out
 
 
-def hits(docs: DataFrame, found: list[Template], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document one row (row, doc_id, n_words), and a row (row, at, hash, run) for each run of its words that some
-    template has too; run has the words themselves.
+def rolling_runs(docs: DataFrame, found: list[Template], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document one row (row, doc_id, n_words), and a row (row, at, hash, run) for every run of its words.
 
-    All rolling runs of all words are hashed; those whose hash no template has are dropped where they arise, which is
-    the same as dropping them in the join that follows, without moving them.
+    run has the words themselves where the hash may be a template's, so that a match can be verified without reading
+    the text again.
     """
-    table = runs_of(found)
     sizes = sorted({t.run for t in found})
-    wanted = {k: np.unique(np.array([h for h, n, _, _ in table if next(t for t in found if t.number == n).run == k], np.int64).view(np.uint64)) for k in sizes}
+    wanted = {k: [] for k in sizes}
+    size_of = {t.number: t.run for t in found}
+    for h, number, _, _ in runs_of(found):
+        wanted[size_of[number]].append(h)
     marks = {}
     for k, hs in wanted.items():
         marks[k] = np.zeros(1 << 16, bool)
-        marks[k][(hs >> np.uint64(48)).astype(np.int64)] = True
+        marks[k][(np.array(hs, np.int64).view(np.uint64) >> np.uint64(48)).astype(np.int64)] = True
+    names = ["row", "doc_id", "n_words", "at", "hash", "run"]
 
     def scan(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for chunk in words.chunks(batch.column(1), words.ALNUM):
                 n = len(chunk.at) - 1
-                row = ids[chunk.lo : chunk.hi]
-                names = batch.column(2).slice(chunk.lo, n)
-                out = [(row, np.diff(chunk.at), None)]
+                row, empty = ids[chunk.lo : chunk.hi], pa.nulls(n, pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(row), batch.column(2).slice(chunk.lo, n), pa.array(np.diff(chunk.at), pa.int64()), empty, empty, pa.nulls(n, pa.string())], names)
                 owner = np.repeat(np.arange(n), np.diff(chunk.at))
                 for k in sizes:
                     g = words.grams(chunk.h, k)
-                    maybe = np.flatnonzero(marks[k][(g >> np.uint64(48)).astype(np.int64)])
-                    spot = np.minimum(np.searchsorted(wanted[k], g[maybe]), len(wanted[k]) - 1)
-                    at = maybe[wanted[k][spot] == g[maybe]]
-                    at = at[owner[at] == owner[at + k - 1]]
-                    if len(at):
-                        text = [b" ".join(chunk.buf[s:e].tobytes().lower() for s, e in zip(chunk.starts[i : i + k], chunk.ends[i : i + k])).decode("utf-8", "replace") for i in at.tolist()]
-                        out.append((row[owner[at]], at - chunk.at[owner[at]], (g[at].view(np.int64), text)))
-                for r, x, more in out:
-                    empty = [None] * len(r)
-                    yield pa.RecordBatch.from_arrays([pa.array(r), pa.nulls(len(r), pa.int64()) if more else names, pa.array(empty if more else x, pa.int64()), pa.array(x if more else empty, pa.int64()), pa.array(more[0] if more else empty, pa.int64()), pa.array(more[1] if more else empty, pa.string())], ["row", "doc_id", "n_words", "at", "hash", "run"])
+                    inside = np.flatnonzero(owner[: len(g)] == owner[k - 1 :])
+                    for start in range(0, len(inside), 32768):
+                        at = inside[start : start + 32768]
+                        text = np.full(len(at), None, object)
+                        for j in np.flatnonzero(marks[k][(g[at] >> np.uint64(48)).astype(np.int64)]).tolist():
+                            i = at[j]
+                            text[j] = b" ".join(chunk.buf[s:e].tobytes().lower() for s, e in zip(chunk.starts[i : i + k], chunk.ends[i : i + k])).decode("utf-8", "replace")
+                        none = pa.nulls(len(at), pa.int64())
+                        yield pa.RecordBatch.from_arrays([pa.array(row[owner[at]]), none, none, pa.array(at - chunk.at[owner[at]]), pa.array(g[at].view(np.int64)), pa.array(text, pa.string())], names)
 
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
     return own.mapInArrow(scan, "row long, doc_id long, n_words long, at long, hash long, run string")
 
 
-def spans(found_hits: DataFrame, found: list[Template], slack: int = SLACK) -> DataFrame:
-    """(row, template, label, base, start, stop, coverage): the merged diagonals of every document and template."""
-    spark = found_hits.sparkSession
+def matched(rows: DataFrame, found: list[Template]) -> DataFrame:
+    """The rows of ``rolling_runs`` that open a document, and those that meet templates' runs, with (template, place)."""
     # bounded by the fixed list of templates
-    table = spark.createDataFrame([(h, n, p, r) for h, n, p, r in runs_of(found)], "hash long, template int, place long, words string")
-    facts = spark.createDataFrame([(t.number, t.label, t.base, t.runs, len(t.words) <= SHORT, t.run) for t in found], "template int, label string, base boolean, runs int, short boolean, size int")
-    met = found_hits.where("at is not null").join(F.broadcast(table), "hash").where("run = words")  # exact
+    table = rows.sparkSession.createDataFrame(runs_of(found), "hash long, template int, place long, words string")
+    met = rows.join(F.broadcast(table), "hash", "left")
+    return met.where(F.col("at").isNull() | (F.col("run") == F.col("words"))).select("row", "doc_id", "n_words", "at", "template", "place")
+
+
+def spans(met: DataFrame, found: list[Template], slack: int = SLACK) -> DataFrame:
+    """(row, template, label, base, short, start, stop, coverage): merged diagonals of each document and template."""
+    facts = met.sparkSession.createDataFrame([(t.number, t.label, t.base, t.runs, len(t.words) <= SHORT, t.run) for t in found], "template int, label string, base boolean, runs int, short boolean, size int")
+    met = met.where("at is not null")
     votes = met.groupBy("row", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"), F.min("at").alias("low"), F.max("at").alias("high"))
     votes = votes.join(F.broadcast(facts), "template")
     order = Window.partitionBy("row", "template").orderBy("diagonal")
@@ -169,7 +174,7 @@ def scan(docs: DataFrame, found: list[Template] | None = None, coverage: float =
     table gives no rows; other columns are ignored.
     """
     found = found or templates()
-    got = written(hits(docs, found, id_col, text_col), "hits")
+    got = written(matched(rolling_runs(docs, found, id_col, text_col), found), "hits")
     every = spans(got, found, slack)
     good = F.col("coverage") >= F.when(F.col("short"), F.lit(1.0)).otherwise(F.lit(coverage))
     base = good & F.col("base")
