@@ -271,15 +271,16 @@ def _count_continuations(nexts: DataFrame, folder: str) -> DataFrame:
     return nexts.groupBy("shard").applyInArrow(merge, "numbers array<bigint>")
 
 
+#: Discounts where the counts of counts give none, as in very small or very regular texts.
+FALLBACK = (0.5, 1.0, 1.5)
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts 1, 2 and more, kept within 0 and the count where data are few."""
-    if not n1:
-        return 0.0, 0.0, 0.0
-    y = n1 / (n1 + 2 * n2)
-    one = 1 - 2 * y * n2 / n1
-    two = 2 - 3 * y * n3 / n2 if n2 else one
-    three = 3 - 4 * y * n4 / n3 if n3 else two
-    return tuple(min(max(d, 0.0), top) for d, top in ((one, 1.0), (two, 2.0), (three, 3.0)))
+    """Modified Kneser-Ney discounts for counts 1, 2 and more; each is over 0 and at most its count, so that unseen
+    words always have a share."""
+    y = n1 / (n1 + 2 * n2) if n1 else 0.0
+    found = (1 - 2 * y * n2 / n1 if n1 else 0.0, 2 - 3 * y * n3 / n2 if n2 and n1 else 0.0, 3 - 4 * y * n4 / n3 if n3 and n1 else 0.0)
+    return tuple(d if 0 < d <= top else f for d, top, f in zip(found, (1.0, 2.0, 3.0), FALLBACK))
 
 
 class Model:

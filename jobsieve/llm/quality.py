@@ -21,7 +21,7 @@ CLASS_BUCKETS = 2048
 REPEATS = 3
 TERMS = WORD_BUCKETS + CLASS_BUCKETS + REPEATS
 #: Weights of the three blocks of terms, each of unit length before.
-BLOCKS = ((0, WORD_BUCKETS, 0.35), (WORD_BUCKETS, WORD_BUCKETS + CLASS_BUCKETS, 1.0), (WORD_BUCKETS + CLASS_BUCKETS, TERMS, 0.8))
+BLOCKS = ((0, WORD_BUCKETS, 0.35), (WORD_BUCKETS, WORD_BUCKETS + CLASS_BUCKETS, 1.0), (WORD_BUCKETS + CLASS_BUCKETS, TERMS, 1.0))
 DIMENSIONS = 48
 #: Labelled texts of each label that are learned from, about: the bound of the training sample and of the broadcast.
 SAMPLE_TEXTS = 2000
@@ -83,6 +83,7 @@ class Model:
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(counts).astype(np.float32) * idf
+    x[:, WORD_BUCKETS + CLASS_BUCKETS :] = np.sqrt(counts[:, WORD_BUCKETS + CLASS_BUCKETS :])  # shares, once of unit length
     for a, b, w in BLOCKS:
         norm = np.sqrt((x[:, a:b] ** 2).sum(axis=1, keepdims=True))
         x[:, a:b] *= w / np.maximum(norm, 1e-12)

@@ -309,9 +309,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, arc_version: int = 1, min_revisit_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
     """pages as legacy ARC files, those converted to WARC files, and these read back (see ``read_warc``).
 
-    A null html is an empty payload, a null page_id stays null (such a page is a response only if no other has its
-    payload), rows that repeat an id are records of their own, a null URL becomes about:blank, other columns are
-    ignored, and an empty table gives no rows.
+    A null html is an empty payload.  A null page_id stays null; such a page revisits any other of its payload that
+    has an id, and is a response if none has.  Rows that repeat an id are records of their own, and those that repeat
+    the id of a response are responses.  A null URL becomes about:blank, other columns are ignored, and an empty table
+    gives no rows.
     """
     spark = pages.sparkSession
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")

@@ -12,7 +12,7 @@ def prose(seed, n, pool=WORDS):
 
 
 #: Null, empty, blank, without letters, one word, a letter outside ASCII, separators that aren't ASCII white space.
-ODD = [None, "", " \n\t ", "12 34 !!", "word", "ß", "a b c d", "퟿\u0000x", "A" * 5000, "a b c d"]
+ODD = [None, "", " \n\t ", "12 34 !!", "word", "ß", "a b c d", "퟿\u0000x", "A" * 5000, "a b c d", "A B\tC  d"]
 
 
 @pytest.fixture(scope="session")

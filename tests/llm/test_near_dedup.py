@@ -70,7 +70,7 @@ def test_odd_texts(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     by = {r["doc_id"]: r for r in rows}
     assert (by[0]["n_shingles"], by[0]["component_id"], by[0]["kept"]) == (0, 0, True) and by[2]["n_shingles"] == 0
-    assert by[9]["n_shingles"] == 1 and by[None]["component_id"] is None and by[None]["kept"]
+    assert by[9]["n_shingles"] == 1 and by[10]["component_id"] == 9 and by[None]["component_id"] is None and by[None]["kept"]
     assert [r["component_id"] for r in rows if r["doc_id"] == 100] == [100, 100]
 
 
