@@ -29,6 +29,8 @@ ROUNDS = 4
 #: Share of the uniform distribution in each language's.
 UNIFORM = 1e-3
 UNDETERMINED = "und"
+#: The hash table of pieces has 2 to so many slots.
+SLOT_BITS = 18
 
 _U = np.uint64
 _M = _U(0x9E3779B97F4A7C15)
@@ -56,29 +58,30 @@ class Vocabulary:
                     h += _letters[j][b]
                 hashes[i] = h
         hashes = words.mix(hashes)
-        bits = 20
-        while True:
-            slots = (hashes >> _U(64 - bits)).astype(np.int64)
-            order = np.argsort(slots, kind="stable")
-            depth = np.zeros(self.size, np.int64)
-            s = slots[order]
-            first = np.searchsorted(s, s)
-            depth[order] = np.arange(self.size) - first
-            if depth.max() < 2:
-                break
-            bits += 1
-        self.bits = bits
-        self.keys = np.zeros((2, 1 << bits), _U)
-        self.at = np.full((2, 1 << bits), self.size, np.int32)
-        self.keys[depth, slots] = hashes
-        self.at[depth, slots] = np.arange(self.size)
+        slots = (hashes >> _U(64 - SLOT_BITS)).astype(np.int64)
+        self.keys = np.zeros(1 << SLOT_BITS, _U)
+        self.at = np.full(1 << SLOT_BITS, self.size, np.int32)
+        _, first = np.unique(slots, return_index=True)
+        self.keys[slots[first]] = hashes[first]
+        self.at[slots[first]] = first
+        # the few pieces whose slot was taken, sorted by hash
+        rest = np.setdiff1d(np.arange(self.size), first)
+        rest = rest[np.argsort(hashes[rest])]
+        self.more, self.more_at = hashes[rest], rest.astype(np.int32)
+        self.full = np.zeros(1 << SLOT_BITS, bool)
+        self.full[slots[rest]] = True
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The numbers of hashes; ``size`` for those that are no piece's."""
         h = words.mix(h)
-        slot = (h >> _U(64 - self.bits)).astype(np.int64)
-        out = np.where(self.keys[0][slot] == h, self.at[0][slot], self.size)
-        return np.where(self.keys[1][slot] == h, self.at[1][slot], out)
+        slot = (h >> _U(64 - SLOT_BITS)).astype(np.int64)
+        out = np.where(self.keys[slot] == h, self.at[slot], self.size)
+        open_ = np.flatnonzero(self.full[slot] & (out == self.size))
+        if len(open_):
+            spot = np.minimum(np.searchsorted(self.more, h[open_]), len(self.more) - 1)
+            hit = self.more[spot] == h[open_]
+            out[open_[hit]] = self.more_at[spot[hit]]
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -267,5 +270,7 @@ def identify(text: Column, model: Model, spark) -> Column:
 def kept_languages(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """docs without the rows whose text has no language: ``und``, or no language of at least posterior ``least``."""
     found = identify(F.col(text_col), model, docs.sparkSession)
-    name = "_lang_" + "_".join(sorted(docs.columns))[:8]
+    name = "_found"
+    while name in docs.columns:
+        name += "_"
     return docs.withColumn(name, found).where((F.col(name)["lang_pred"] != UNDETERMINED) & (F.col(name)["score"] >= least)).drop(name)

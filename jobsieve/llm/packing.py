@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .store import written
+from .words import tidy
 
 CAPACITY = 2048
 #: Pieces in a bucket of one length, about.
 BUCKET_ROWS = 1_000_000
 #: Words in a worker's cache before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 _SPACES = {chr(c) for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 _WHITE = "".join(sorted(_SPACES))
 _UNIT = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
@@ -44,13 +45,17 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        size = self.tokenizer.get_vocab_size()
-        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.fast = _ranked(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        vocab = spec["model"]["vocab"]
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
+        self.fast = _ranked(path, spec)
+        if not self.fast:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache: dict[str, bytes] = {}
 
     def _learn(self, units: list[str]) -> None:
@@ -85,12 +90,10 @@ class Encoder:
             yield b"".join(map(self.cache.__getitem__, units))
 
 
-def _ranked(path: str):
+def _ranked(path: str, spec: dict):
     """A tiktoken encoding of a byte-level BPE file; None unless each merge makes the next id."""
     import tiktoken
 
-    with open(path, encoding="utf-8") as file:
-        spec = json.load(file)
     model, vocab = spec["model"], spec["model"]["vocab"]
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
     if spec.get("normalizer") or model.get("continuing_subword_prefix") or any(vocab.get(a + b) != 256 + i for i, (a, b) in enumerate(merges)):
@@ -132,6 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
                         for column, x in zip(rows, (doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]))):
                             column.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            tidy()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return own.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -12,7 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 _local: list[str] = []
 
 
+#: Rows of an Arrow batch: texts may be long, and each Python worker and the JVM hold a few batches.
+BATCH_ROWS = 2000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +48,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     schema = df.schema
+    _small_batches(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -7,7 +7,9 @@ hash.  Whole texts are read; the working set is bounded by ``SPAN`` bytes whatev
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -82,6 +84,20 @@ def _hash_span(buf: np.ndarray, word: np.ndarray, cuts: np.ndarray) -> tuple[np.
     return mix(h), starts, ends
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def tidy() -> None:
+    """Gives freed memory back: workers live for many tasks, and two of them share an executor with its JVM."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 class Chunk:
     """Consecutive texts of a column: rows lo to hi; words of row i: h[at[i - lo]:at[i - lo + 1]]; sizes in bytes."""
 
@@ -129,6 +145,7 @@ def chunks(column: pa.Array, word: np.ndarray, span: int = SPAN, rows: int = 1 <
             h, starts, ends = (np.concatenate(x) for x in zip(*got))
         yield Chunk(lo, hi, h, np.searchsorted(starts, off[lo : hi + 1] - off[lo]), starts, ends, part, np.diff(off[lo : hi + 1]))
         lo = hi
+    tidy()
 
 
 _C = _splitmix(64, 23) | _U(1)
