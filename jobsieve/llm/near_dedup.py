@@ -191,7 +191,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return pairs.groupBy("blk").cogroup(ends.groupBy("of")).applyInArrow(check, "u long, v long")
 
 
-def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: int, least: list[int], batch: int, block: int) -> DataFrame:
+def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: int, least: list[int], batch: int, block: int, groups: int) -> DataFrame:
     """Pairs across components within a bucket that their signatures leave, as (blk, nodes, a, b) with arrays of
     a group's pairs in few rows.
 
@@ -201,9 +201,9 @@ def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: in
     parts = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", "node", "component", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    # groups of many small buckets: those without a second part are dealt together
-    dealt = dealt.withColumn("blk", F.xxhash64(F.when(F.col("hi") > 0, F.col("key")).otherwise(F.shiftright("key", 64 - 14)), "lo", "hi"))
+    dealt = dealt.select("key", "node", "component", "parts", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    # buckets of one part are dealt to groups of many, as many groups as the buckets' rows call for
+    dealt = dealt.withColumn("blk", F.xxhash64(F.when(F.col("parts") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(groups))), "parts", "lo", "hi"))
     dealt = dealt.join(classes.select("node", "sig"), "node").select("blk", "key", "node", "component", "part", "lo", "hi", "sig")
 
     def compare(key, rows_):
@@ -279,7 +279,8 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     labelled = buckets.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.where("n > 2").groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
     members = labelled.join(mixed, "key").select("key", "node", "component", "n")
-    rest = written(mixed_survivors(members, classes, bands, rows, least, BATCH, block), "rest")
+    groups = max(1, buckets.count() // (2 * block))
+    rest = written(mixed_survivors(members, classes, bands, rows, least, BATCH, block, groups), "rest")
     more = confirmed(rest, _texts(docs, rest, id_col, text_col), k, percent)
     final = components(links.union(more))
 
