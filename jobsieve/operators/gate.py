@@ -18,8 +18,8 @@ def unresolved(status: Column) -> Column:
 
 
 def gated(listings: DataFrame, seen: DataFrame, key: str = "job_id") -> DataFrame:
-    """Listings that are unseen or unresolved: an anti-join with what is resolved."""
-    return listings.join(seen.where(~unresolved(F.col("status"))).select(key), key, "left_anti")
+    """Listings that are unseen or unresolved: an anti-join with what is resolved, a filter that reaches the scan."""
+    return listings.join(seen.where(F.col("status") == RESOLVED).select(key), key, "left_anti")
 
 
 def with_reason(listings: DataFrame, seen: DataFrame, key: str = "job_id") -> DataFrame:

@@ -166,3 +166,34 @@ def test_truncated_json_state_raises(spark, tmp_path):
 def test_bad_mode(world):
     with pytest.raises(ValueError):
         world.run([], mode="weekly")
+
+
+def test_random_days(world, spark):
+    """Each job alerts at most once, known identities never vanish, all that is reported was listed, in any order."""
+    import random
+
+    r = random.Random(8)
+    pool = [job(r.choice("AB"), i, r.choice(["CUDA Intern", "ML Intern", "Senior Cook"]), r.choice([TEXT, None])) for i in range(14)]
+    listed, known, alerted = set(), set(), []
+    for day in range(4):
+        today = r.sample(pool, 9)
+        status = {"A": "ok", "B": r.choice(["ok", "blocked"])}
+        out = world.run(today, status=status, mode="daily" if day else "baseline")
+        listed |= {(s, i) for s, i, *_ in today if status[s] == "ok"}
+        stored = daily.read_back(spark, world.root, out.run_id).collect()
+        assert {(x["source"], x["url"].rsplit("/", 1)[1]) for x in stored} <= listed
+        now = {x["job_id"] for x in StateStore(spark, f"{world.root}/state").load()["seen_source_jobs"].collect()}
+        assert known <= now and len(now) == len(listed)
+        known = now
+        alerted += out.decision["job_ids"]
+    assert len(alerted) == len(set(alerted))
+
+
+def test_order_of_rows_does_not_matter(spark, tmp_path_factory):
+    jobs = [job("A", 1, url="https://x.example.com/1"), job("B", 2, url="https://x.example.com/1"), job("A", 3, "ML Intern"), job("B", 4, "vLLM Intern")]
+    seen = []
+    for rows in (jobs, jobs[::-1]):
+        w = World(spark, tmp_path_factory.mktemp("order"))
+        w.run([], mode="baseline")
+        seen.append(w.text(w.run(rows), reports.REPORT))
+    assert seen[0] == seen[1]
