@@ -144,7 +144,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_t
     got = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").mapInArrow(count, "id long, label int, counts binary").collect()
     got = sorted((r["id"], r["label"], bytes(r["counts"])) for r in got)
     counts = np.stack([np.frombuffer(c, "<u2") for *_, c in got]) if got else np.zeros((0, TERMS))
-    return train(counts, np.array([y for _, y, _ in got]), prior, dimensions)
+    model = train(counts, np.array([y for _, y, _ in got]), prior, dimensions)
+    del got, counts
+    words.tidy()
+    return model
 
 
 def quality(text: Column, model: Model, spark, neighbours: int = NEIGHBOURS, sharpness: int = SHARPNESS) -> Column:

@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SPAN = 1 << 21
+SPAN = 1 << 20
 _U = np.uint64
 
 
