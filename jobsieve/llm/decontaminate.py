@@ -85,7 +85,7 @@ def contaminated(docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: f
     ids = found.select("doc_id").distinct()
     texts = worded.join(broadcast_if_small(ids, ids.count()), "doc_id", "left_semi").select("doc_id", shingles(F.col("words"), k).alias("held"))
     item_grams = own.select("item_id", "grams", "n_item")
-    pairs = found.join(broadcast_if_small(item_grams, item_grams.count(), 100_000), "item_id").join(texts, "doc_id")
+    pairs = found.join(broadcast_if_small(item_grams, item_grams.count(), 10_000), "item_id").join(texts, "doc_id")
     shared = pairs.select("doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), F.size(F.array_intersect("grams", "held")).cast("long").alias("n_shared"))
     best = shared.groupBy("doc_id", "item_id", "n_item").agg(F.max("n_shared").alias("n_shared"))
     return best.withColumn("containment", F.col("n_shared") / F.col("n_item")).where(F.col("containment") >= threshold)

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_local: list[str] = []
-
+from .. import tables
+from ..tables import new_path, shared_dir  # noqa: F401
 
 #: Rows of an Arrow batch: texts may be long, and each Python worker and the JVM hold a few batches.
 BATCH_ROWS = 2000
@@ -24,45 +20,25 @@ def _small_batches(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _small_batches(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.  Where that is unset, a temporary one, in local mode only."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    if not _local:
-        _local.append(tempfile.mkdtemp(prefix="jobsieve-"))
-        atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
-    return f"file://{_local[0]}"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return tables.table(spark, sf_dir, name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    schema = df.schema
-    _small_batches(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    _small_batches(df.sparkSession)
+    return tables.written(df, name)
 
 
 def removed(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes a written table that nothing reads any more."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if path.startswith(shared_dir(spark).split(":")[0]) and "/part-" not in path:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    """Deletes a table that ``written`` made and that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    shared = path(shared_dir(spark)).toUri().getPath()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        own = path(folder)
+        if own.getParent().toUri().getPath() == shared:
+            own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, most: int = 2_000_000):
+def broadcast_if_small(df: DataFrame, rows: int, most: int = 1_000_000):
     """df with a broadcast hint if its counted rows are at most ``most``, else as it is, for a shuffled join."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if rows <= most else df
