@@ -185,6 +185,8 @@ def build_index(vectors: DataFrame, k: int = 5, shard_vectors: int = SHARD_VECTO
     own = written(distinct_vectors(vectors, k, id_col, vec_col), "vectors")
     sizes = own.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_vectors)).alias("parts"))
     dealt = own.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    # shards are small in bytes but long in the making: a number of partitions that isn't lowered by their size
+    tasks = max(1, 2 * (own.count() // shard_vectors))
 
     def build(key, table):
         table = table.sort_by("rep")
@@ -200,7 +202,7 @@ def build_index(vectors: DataFrame, k: int = 5, shard_vectors: int = SHARD_VECTO
         row = {"shard": key[1].as_py(), "dim": dim, "n": table.num_rows, "ids": ids.tobytes(), "reps": have.tobytes(), "vectors": original.astype("<f8").tobytes(), "ground": g.ground.tobytes(), "layers": len(g.upper), "upper": upper.tobytes(), "entry": g.entry}
         return pa.Table.from_pylist([row], pa.schema([("shard", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("reps", pa.binary()), ("vectors", pa.binary()), ("ground", pa.binary()), ("layers", pa.int32()), ("upper", pa.binary()), ("entry", pa.int32())]))
 
-    return written(dealt.select("dim", "shard", "rep", "vec", "ids").groupBy("dim", "shard").applyInArrow(build, INDEX), "index")
+    return written(dealt.select("dim", "shard", "rep", "vec", "ids").repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, INDEX), "index")
 
 
 def load(row: dict, links: int = LINKS) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
