@@ -32,6 +32,8 @@ BATCH = 32
 #: Classes in a block of a bucket, and pairs in a block of the exact check, about.
 BLOCK = 2048
 PAIRS = 2048
+#: Bytes of text in a block of the exact check, about: it has fewer pairs where texts are long.
+BLOCK_BYTES = 32 << 20
 
 _U = np.uint64
 _seeds = words._splitmix(2 * BANDS * ROWS, 77)
@@ -191,9 +193,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
     return pairs.groupBy("blk").cogroup(ends.groupBy("of")).applyInArrow(check, "u long, v long")
 
 
-def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: int, least: list[int], batch: int, block: int, groups: int) -> DataFrame:
+def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: int, least: list[int], batch: int, block: int, groups: int, most_pairs: int) -> DataFrame:
     """Pairs across components within a bucket that their signatures leave, as (blk, nodes, a, b) with arrays of
-    a group's pairs in few rows.
+    at most most_pairs pairs, each row a block for the exact check.
 
     members: (key, node, component, n) of buckets with several components.  A bucket of n classes is cut into
     blocks; each pair of blocks is one group.  A pair that meets in several bands is compared in the first alone.
@@ -237,8 +239,11 @@ def mixed_survivors(members: DataFrame, classes: DataFrame, bands: int, rows: in
                 out_a.append(node[i]), out_b.append(node[j])
         a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
         b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        cuts = range(0, len(a), 65536)
-        packs = [(key[0].as_py(), np.unique(np.concatenate((a[c : c + 65536], b[c : c + 65536]))), a[c : c + 65536], b[c : c + 65536]) for c in cuts]
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        cuts = range(0, len(a), most_pairs)
+        names = words.mix(np.arange(len(cuts), dtype=_U) + np.array([key[0].as_py()], np.int64).view(_U) * _U(0x9E3779B97F4A7C15)).view(np.int64).tolist()
+        packs = [(name, np.unique(np.concatenate((a[c : c + most_pairs], b[c : c + most_pairs]))), a[c : c + most_pairs], b[c : c + most_pairs]) for name, c in zip(names, cuts)]
         many = pa.list_(pa.int64())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*packs) if packs else [[]] * 4, (pa.int64(), many, many, many))], names=["blk", "nodes", "a", "b"])
 
@@ -269,18 +274,22 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
 
     pairs = buckets.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     stars = written(star_survivors(pairs, classes, least, BATCH), "stars")
-    tasks = max(1, stars.count() // PAIRS)
-    per = stars.groupBy("a").agg(F.ceil(F.count("*") / F.lit(PAIRS)).alias("parts"))
+    texts = _texts(docs, stars.select(F.array("a", "b").alias("nodes")), id_col, text_col)
+    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    most_pairs = max(16, BLOCK_BYTES * max(1, size["n"]) // max(1, size["bytes"]))
+    per_block = min(PAIRS, most_pairs)
+    tasks = max(1, stars.count() // per_block)
+    per = stars.groupBy("a").agg(F.ceil(F.count("*") / F.lit(per_block)).alias("parts"))
     slot = F.xxhash64(F.pmod(F.xxhash64("a"), F.lit(tasks)), F.pmod(F.xxhash64("b"), F.col("parts")))
     stars = stars.join(per, "a").select(slot.alias("blk"), F.array("a", "b").alias("nodes"), F.array("a").alias("a"), F.array("b").alias("b"))
-    links = written(confirmed(stars, _texts(docs, stars, id_col, text_col), k, percent), "links")
+    links = written(confirmed(stars, texts, k, percent), "links")
     linked = written(components(links), "components")
 
     labelled = buckets.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.where("n > 2").groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed")).where("mixed").select("key")
     members = labelled.join(mixed, "key").select("key", "node", "component", "n")
     groups = max(1, buckets.count() // (2 * block))
-    rest = written(mixed_survivors(members, classes, bands, rows, least, BATCH, block, groups), "rest")
+    rest = written(mixed_survivors(members, classes, bands, rows, least, BATCH, block, groups, most_pairs), "rest")
     more = confirmed(rest, _texts(docs, rest, id_col, text_col), k, percent)
     final = components(links.union(more))
 
