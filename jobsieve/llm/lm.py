@@ -1,34 +1,39 @@
-"""An interpolated modified Kneser-Ney bigram model.
-
-Spark counts words, then word pairs, then the distinct predecessors of words.  Counts travel as packed sorted arrays
-in few rows, pre-aggregated in each task, and are merged by shard; a shard holds the words whose hash deals them to
-it, and the pairs that these begin.  Pairs of a very frequent first word are dealt by the whole pair, so no shard
-grows with one word.  The shards are written to the shared folder as sorted hash arrays, which scoring workers map
-into memory: each looks up only what its texts need, whatever the size of the model.
-
-Why pairs: with texts whose words are mostly rare, distinct triples are two thirds of all tokens, and their counts
-and continuation counts alone would exceed the disk that this operator may use (see README).
+"""An interpolated modified Kneser-Ney n-gram model of any order from 2.
+
+Spark counts words, then n-grams of the model's order, then the distinct predecessors of words.  Counts travel as packed
+arrays in few rows, pre-aggregated in each task, and are merged by shard; a shard holds the n-grams whose last word but
+one hash deals to it.  So it also holds all shorter n-grams that end them, with their distinct predecessors, and all
+their contexts, and counts those without another shuffle.  N-grams with a very frequent last word but one are dealt by
+the whole n-gram, so no shard grows with one word; their shorter n-grams and contexts are counted by further shuffles.
+The shards are written to the shared folder as sorted hash arrays, which scoring workers map into memory: each looks up
+only what its texts need, whatever the size of the model.
+
+A text is preceded by as many marks as the order calls for, so all of its n-grams are of that order.  Shuffled n-grams
+are what takes most disk, so they are counted in rounds, a share of the shards in each.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .store import new_path, written
+from .store import new_path, removed, written
 
-#: Bytes of text for a shard, about.
+#: Bytes of text for a shard, about; of a model of pairs, less for a higher order.
 SHARD_BYTES = 32 << 20
-#: Tokens that a task counts before it hands on.
+#: Tokens that a task counts before it hands on; likewise.
 FLUSH = 1 << 22
+#: Rounds in which longer n-grams than pairs are counted.
+ROUNDS = 3
 
 _U = np.uint64
 END = words._splitmix(2, 4001)[0]
@@ -62,7 +67,7 @@ def put(folder: str, name: str, array: np.ndarray) -> None:
         file.write(np.ascontiguousarray(array).tobytes())
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=1 << 15)
 def mapped(folder: str, name: str, kind: str) -> np.ndarray:
     """An array of the shared folder, mapped into memory; from other stores than a file system, from an unlinked copy."""
     local = _local(folder)
@@ -77,6 +82,74 @@ def mapped(folder: str, name: str, kind: str) -> np.ndarray:
         return np.memmap(copy, kind, "r") if copy.tell() else np.zeros(0, kind)
 
 
+# --- arrays of a shard --------------------------------------------------------------------------------------------
+
+
+def _put_keys(folder: str, name: str, keys: np.ndarray) -> None:
+    """Sorted hashes, as where those with equal first bits start, and the next 32 bits of each: 48 of the 64 at full size."""
+    bits = min(16, max(1, (len(keys) // 16).bit_length()))
+    put(folder, f"{name}.starts", np.searchsorted(keys >> _U(64 - bits), np.arange((1 << bits) + 1, dtype=_U)).astype("<u4"))
+    put(folder, f"{name}.keys", ((keys >> _U(32 - bits)) & _U(0xFFFFFFFF)).astype("<u4"))
+
+
+def _spots(folder: str, name: str, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where wanted hashes are among written ones, and which are there."""
+    starts, keys = mapped(folder, f"{name}.starts", "<u4"), mapped(folder, f"{name}.keys", "<u4")
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    bits = (len(starts) - 1).bit_length() - 1
+    bucket = (wanted >> _U(64 - bits)).astype(np.int64)
+    key = ((wanted >> _U(32 - bits)) & _U(0xFFFFFFFF)).astype("<u4")
+    lo, end = starts[bucket].astype(np.int64), starts[bucket + 1].astype(np.int64)
+    hi = end
+    while (active := lo < hi).any():
+        mid = (lo + hi) >> 1
+        less = keys[np.minimum(mid, len(keys) - 1)] < key
+        lo, hi = np.where(active & less, mid + 1, lo), np.where(active & ~less, mid, hi)
+    at = np.minimum(lo, len(keys) - 1)
+    return at, (lo < end) & (keys[at] == key)
+
+
+def _put_numbers(folder: str, name: str, x: np.ndarray) -> None:
+    large = np.flatnonzero(x >= 255)
+    put(folder, f"{name}.small", np.minimum(x, 255).astype(np.uint8))
+    put(folder, f"{name}.large", large.astype("<u4"))
+    put(folder, f"{name}.larger", x[large].astype("<u8"))
+
+
+def _numbers(folder: str, name: str, spot) -> np.ndarray:
+    out = mapped(folder, f"{name}.small", "<u1")[spot].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    if len(large):
+        at = np.searchsorted(mapped(folder, f"{name}.large", "<u4"), large if isinstance(spot, slice) else spot[large])
+        out[large] = mapped(folder, f"{name}.larger", "<u8")[at]
+    return out
+
+
+def _put_contexts(folder: str, name: str, keys: np.ndarray, x: np.ndarray) -> None:
+    """Of each context: the sum of the counts behind it, and how many are 1, 2 and more.  A byte if all are 1 or it is
+    one alone, else a row."""
+    _put_keys(folder, name, keys)
+    ones, alone = (x[:, 0] == x[:, 1]) & (x[:, 0] < 128), (x[:, 1:].sum(axis=1) == 1) & (x[:, 0] < 127)
+    code = np.where(ones, x[:, 0], np.where(alone, 128 + x[:, 0], 255)).astype(np.uint8)
+    other = np.flatnonzero(code == 255)
+    put(folder, f"{name}.code", code)
+    put(folder, f"{name}.other", other.astype("<u4"))
+    put(folder, f"{name}.others", x[other].astype("<u8"))
+
+
+def _contexts_at(folder: str, name: str, spot: np.ndarray) -> np.ndarray:
+    code = mapped(folder, f"{name}.code", "<u1")[spot].astype(np.int64)
+    out = np.zeros((len(spot), 4))
+    out[:, 0] = np.where(code < 128, code, code - 128)
+    out[np.arange(len(spot)), np.where(code < 128, 1, np.minimum(out[:, 0], 3).astype(np.int64))] = np.where(code < 128, code, 1)
+    other = np.flatnonzero(code == 255)
+    if len(other):
+        at = np.searchsorted(mapped(folder, f"{name}.other", "<u4"), spot[other])
+        out[other] = mapped(folder, f"{name}.others", "<u8").reshape(-1, 4)[at]
+    return out
+
+
 # --- tokens ------------------------------------------------------------------------------------------------------
 
 
@@ -94,29 +167,51 @@ def _before(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return u
 
 
+def _grams(h: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
+    """The tokens, those before them, and so on."""
+    out = [h]
+    for _ in range(order - 1):
+        out.append(_before(out[-1], at))
+    return out
+
+
 def _shard(h: np.ndarray, shards: int) -> np.ndarray:
     return ((h >> _U(40)) % _U(shards)).astype(np.int64)
 
 
 def _short(h: np.ndarray) -> np.ndarray:
-    """The 40 bits that stand for a word as the second of a pair."""
+    """The 40 bits that stand for a word of an n-gram, but for the last but one."""
     return h >> _U(24)
 
 
-def _pair(u: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """The 64-bit hash of a pair of a word and the 40 bits of the next."""
+def _kept(grams: list[np.ndarray]) -> list[np.ndarray]:
+    return [x if i == 1 else _short(x) for i, x in enumerate(grams)]
+
+
+def _with(x: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The hash of an n-gram from that of its end and its first word."""
     with np.errstate(over="ignore"):
-        return words.mix(u * _A + w * _B)
+        return words.mix(x * _A + u * _B)
 
 
-def _pair_shard(u: np.ndarray, pair: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    out = _shard(u, shards)
-    if len(hot):
-        often = hot[np.minimum(np.searchsorted(hot, u), len(hot) - 1)] == u
-        out[often] = _shard(pair[often], shards)
+def _hash(grams: list[np.ndarray]) -> np.ndarray:
+    if len(grams) == 1:  # by other bits than those that deal words
+        return words.mix(grams[0])
+    out = grams[0]
+    for u in grams[1:]:
+        out = _with(out, u)
     return out
 
 
+def _spread(x: np.ndarray, shards: int) -> np.ndarray:
+    """A shard by bits of a hash that arrays of full size don't hold."""
+    return ((x & _U(0xFFFF)) % _U(shards)).astype(np.int64)
+
+
+def _is_hot(v: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, v), len(hot) - 1)] == v if len(hot) else np.zeros(len(v), bool)
+
+
 def _five(x: np.ndarray) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -132,18 +227,18 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1], [True]))) if len(x) else np.zeros(1, np.int64)
 
 
-def _flushed(batches, column: int):
-    """(hashes, the hashes before them) of about FLUSH tokens at a time."""
+def _flushed(batches, order: int):
+    """The n-grams of about FLUSH tokens at a time, the last word first."""
     held, size = [], 0
     for batch in batches:
-        for _, h, at in tokens(batch.column(column)):
-            held.append((h, _before(h, at)))
+        for _, h, at in tokens(batch.column(0)):
+            held.append(_grams(h, at, order))
             size += len(h)
-            if size >= FLUSH:
-                yield tuple(np.concatenate(x) for x in zip(*held))
+            if size * max(order - 1, 1) >= FLUSH:
+                yield [np.concatenate(x) for x in zip(*held)]
                 held, size = [], 0
     if held:
-        yield tuple(np.concatenate(x) for x in zip(*held))
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _blobs(table: pa.Table, name: str) -> list[bytes]:
@@ -158,7 +253,7 @@ def _count_words(texts: DataFrame, shards: int, folder: str) -> DataFrame:
     schema = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def local(batches):
-        for h, _ in _flushed(batches, 0):
+        for (h,) in _flushed(batches, 1):
             keys, counts = np.unique(h, return_counts=True)
             shard = _shard(keys, shards)
             order = np.argsort(shard, kind="stable")
@@ -174,73 +269,150 @@ def _count_words(texts: DataFrame, shards: int, folder: str) -> DataFrame:
         cut = _runs(h)
         c = np.add.reduceat(c, cut[:-1])
         put(folder, f"{shard}.words", h[cut[:-1]])
-        put(folder, f"{shard}.counts", c.astype("<u8"))
+        _put_numbers(folder, f"{shard}.counts", c)
         return pa.table({"shard": pa.array([shard], pa.int32()), "types": [len(c)], "tokens": [int(c.sum())]})
 
     return texts.mapInArrow(local, "shard int, keys binary, counts binary").groupBy("shard").applyInArrow(merge, "shard int, types long, tokens long")
 
 
-def _count_pairs(texts: DataFrame, shards: int, folder: str, hot: np.ndarray) -> DataFrame:
-    """Writes each shard's pairs, and how many pairs of counts 1, 2 and more its words begin.
+#: Rows by kind: ``stat`` (how many n-grams of a level have counts 1 to 4, 3 and more, and the sum of counts), ``gram``
+#: (packed n-grams of a level, by their hash), ``context`` (hashes and numbers of contexts of a level, by their hash),
+#: ``next`` (packed words and how many distinct ones precede them, for the word's shard).
+ROW = pa.schema([("kind", pa.string()), ("level", pa.int32()), ("shard", pa.int32()), ("first", pa.binary()), ("runs", pa.binary()), ("rest", pa.binary()), ("counts", pa.binary()), ("numbers", pa.list_(pa.int64()))])
+ROW_SQL = "kind string, level int, shard int, first binary, runs binary, rest binary, counts binary, numbers array<bigint>"
+
+
+def _rows(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array(x, f.type) for x, f in zip(zip(*rows), ROW)]
+
+
+def _packed(grams: list[np.ndarray], counts: np.ndarray, shard: np.ndarray):
+    """A ``gram`` row for each shard."""
+    order = np.argsort((shard.astype(_U) << _U(44)) | (grams[1] >> _U(20)))
+    for k in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else ():
+        own = grams[1][k]
+        cut = _runs(own)
+        rest = b"".join(_five(x[k]) for i, x in enumerate(grams) if i != 1)
+        yield "gram", len(grams), int(shard[k[0]]), own[cut[:-1]].tobytes(), np.diff(cut).astype("<u4").tobytes(), rest, counts[k].astype("<u4").tobytes(), None
 
-    Rows by kind: ``stat`` (how many pairs of counts 1 to 4, and all), ``hot`` (the three numbers for a frequent
-    word), ``next`` (packed words and how many distinct ones precede them, for the word's shard).
-    """
-    schema = pa.schema([("shard", pa.int32()), ("first", pa.binary()), ("runs", pa.binary()), ("second", pa.binary()), ("counts", pa.binary())])
-    out = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("numbers", pa.list_(pa.int64())), ("words", pa.binary()), ("counts", pa.binary())])
+
+def _unpacked(table: pa.Table, level: int) -> tuple[list[np.ndarray], np.ndarray]:
+    v = np.concatenate([np.repeat(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u4")) for a, b in zip(_blobs(table, "first"), _blobs(table, "runs"))])
+    rest = np.concatenate([_unfive(b).reshape(level - 1, -1) for b in _blobs(table, "rest")], axis=1)
+    counts = np.concatenate([np.frombuffer(b, "<u4") for b in _blobs(table, "counts")]).astype(np.int64)
+    return [rest[0], v, *rest[1:]], counts
+
+
+def _merged(grams: list[np.ndarray], counts: np.ndarray | None) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """(hashes, n-grams, sums of counts) of distinct n-grams, by hash; without counts each counts as one."""
+    x = _hash(grams)
+    order = np.argsort(x)
+    x = x[order]
+    cut = _runs(x)
+    first = order[cut[:-1]]
+    sums = np.diff(cut) if counts is None else np.add.reduceat(counts[order], cut[:-1]) if len(first) else counts
+    return x[cut[:-1]], [g[first] for g in grams], sums
+
+
+def _contexts(keys: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    cut = _runs(keys)
+    return keys[cut[:-1]], np.add.reduceat(numbers[order], cut[:-1]) if len(keys) else numbers
+
+
+def _behind(grams: list[np.ndarray], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _contexts(_hash(grams[1:]), np.stack([counts, counts == 1, counts == 2, counts > 2], axis=1).astype(np.int64))
+
+
+def _stat(level: int, c: np.ndarray) -> tuple:
+    return "stat", level, None, None, None, None, None, [int((c == i).sum()) for i in (1, 2, 3, 4)] + [int((c > 2).sum()), int(c.sum())]
+
+
+def _nexts(w: np.ndarray, shards: int):
+    second, n = np.unique(w, return_counts=True)
+    target = ((second >> _U(16)) % _U(shards)).astype(np.int64)
+    for shard, k in _by_shard(target):
+        yield "next", 1, shard, None, None, _five(second[k]), n[k].astype("<u4").tobytes(), None
+
+
+def _count_grams(texts: DataFrame, shards: int, folder: str, hot: np.ndarray, order: int, turn: int, rounds: int) -> DataFrame:
+    """Writes the n-grams of a round's shards, and all that end them or are their contexts but for hot ones; ROW."""
 
     def local(batches):
-        for h, before in _flushed(batches, 0):
-            w = _short(h)
-            pair = _pair(before, w)
-            _, at, counts = np.unique(pair, return_index=True, return_counts=True)
-            pair, u, w = pair[at], before[at], w[at]
-            shard = _pair_shard(u, pair, hot, shards)
-            order = np.argsort((shard.astype(_U) << _U(44)) | (u >> _U(20)), kind="stable")
-            for k in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-                own, cut = u[k], _runs(u[k])
-                yield pa.RecordBatch.from_arrays([pa.array([shard[k[0]]], pa.int32()), *(pa.array([x]) for x in (own[cut[:-1]].tobytes(), np.diff(cut).astype("<u4").tobytes(), _five(w[k]), counts[k].astype("<u4").tobytes()))], schema=schema)
+        for grams in _flushed(batches, order):
+            grams = _kept(grams)
+            x = _hash(grams)
+            shard = np.where(_is_hot(grams[1], hot), _spread(x, shards), _shard(grams[1], shards))
+            own = np.flatnonzero(shard % rounds == turn)
+            if not len(own):
+                continue
+            x = x[own]
+            at = np.argsort(x)
+            cut = _runs(x[at])
+            at = own[at[cut[:-1]]]
+            for row in _packed([g[at] for g in grams], np.diff(cut), shard[at]):
+                yield pa.RecordBatch.from_arrays(_rows([row]), schema=ROW)
 
     def merge(key, table):
         shard = key[0].as_py()
-        u = np.concatenate([np.repeat(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u4")) for a, b in zip(_blobs(table, "first"), _blobs(table, "runs"))])
-        w = np.concatenate([_unfive(b) for b in _blobs(table, "second")])
-        c = np.concatenate([np.frombuffer(b, "<u4") for b in _blobs(table, "counts")]).astype(np.int64)
-        pair = _pair(u, w)
-        order = np.argsort(pair, kind="stable")
-        pair = pair[order]
-        cut = _runs(pair)
-        c = np.add.reduceat(c[order], cut[:-1])
-        first = order[cut[:-1]]
-        u, w, pair = u[first], w[first], pair[cut[:-1]]
-        del order, first
-        put(folder, f"{shard}.pairs", pair)
-        put(folder, f"{shard}.small", np.minimum(c, 255).astype(np.uint8))
-        large = c >= 255
-        put(folder, f"{shard}.large", pair[large])
-        put(folder, f"{shard}.larger", c[large].astype("<u8"))
-        rows = [("stat", shard, [int((c == i).sum()) for i in (1, 2, 3, 4)] + [len(c)], None, None)]
-        known = mapped(folder, f"{shard}.words", "<u8") if _exists(folder, f"{shard}.words") else np.zeros(0, "<u8")
-        numbers = np.zeros((len(known), 3), "<u4")
-        begins, place = np.unique(u, return_inverse=True)
-        per = np.stack([np.bincount(place.reshape(-1), x, len(begins)) for x in (c == 1, c == 2, c > 2)], axis=1).astype(np.int64)
-        often = hot[np.minimum(np.searchsorted(hot, begins), len(hot) - 1)] == begins if len(hot) else np.zeros(len(begins), bool)
-        spot = np.searchsorted(known, begins[~often])
-        seen = np.zeros(len(spot), bool)
-        if len(known):
-            spot = np.minimum(spot, len(known) - 1)
-            seen = known[spot] == begins[~often]
-        numbers[spot[seen]] = per[~often][seen]
-        put(folder, f"{shard}.begins", numbers)
-        rows += [("hot", None, [int(b.view(np.int64)), *map(int, n)], None, None) for b, n in zip(begins[often], per[often])]
-        second, n = np.unique(w, return_counts=True)
-        target = ((second >> _U(16)) % _U(shards)).astype(np.int64)
-        order = np.argsort(target, kind="stable")
-        rows += [("next", int(target[k[0]]), None, _five(second[k]), n[k].astype("<u4").tobytes()) for k in np.split(order, np.flatnonzero(np.diff(target[order])) + 1)]
-        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), out)], schema=out)
-
-    packed = texts.mapInArrow(local, "shard int, first binary, runs binary, second binary, counts binary")
-    return packed.groupBy("shard").applyInArrow(merge, "kind string, shard int, numbers array<bigint>, words binary, counts binary")
+        grams, counts = _unpacked(table, order)
+        x, grams, counts = _merged(grams, counts)
+        _put_keys(folder, f"{shard}.g{order}", x)
+        _put_numbers(folder, f"{shard}.g{order}", counts)
+        rows, often = [_stat(order, counts)], _is_hot(grams[1], hot)
+        if often.any():
+            rows += _passed([g[often] for g in grams], counts[often], shards)
+        del x
+        grams, counts = [g[~often] for g in grams], counts[~often]
+        for level in range(order, 1, -1):
+            _put_contexts(folder, f"{shard}.c{level - 1}", *_behind(grams, counts))
+            if level > 2:
+                x, grams, counts = _merged(grams[:-1], None)
+                _put_keys(folder, f"{shard}.g{level - 1}", x)
+                _put_numbers(folder, f"{shard}.g{level - 1}", counts)
+                rows.append(_stat(level - 1, counts))
+        rows += _nexts(grams[0], shards)
+        return pa.table(_rows(rows), schema=ROW)
+
+    return texts.mapInArrow(local, ROW_SQL).groupBy("shard").applyInArrow(merge, ROW_SQL)
+
+
+def _passed(grams: list[np.ndarray], counts: np.ndarray, shards: int) -> list[tuple]:
+    """What other shards count of n-grams with hot words: contexts, and n-grams or words that end them."""
+    keys, numbers = _behind(grams, counts)
+    rows = [("context", len(grams) - 1, shard, keys[k].tobytes(), None, None, numbers[k].astype("<i8").tobytes(), None) for shard, k in _by_shard(_spread(keys, shards))]
+    if len(grams) == 2:
+        return rows + list(_nexts(grams[0], shards))
+    x, grams, counts = _merged(grams[:-1], None)
+    return rows + list(_packed(grams, counts, _spread(x, shards)))
+
+
+def _count_hot(rows: DataFrame, shards: int, folder: str, level: int) -> DataFrame:
+    """Writes the n-grams of a level with hot words; ROW."""
+
+    def merge(key, table):
+        shard = key[0].as_py()
+        x, grams, counts = _merged(*_unpacked(table, level))
+        _put_keys(folder, f"{shard}.h{level}", x)
+        _put_numbers(folder, f"{shard}.h{level}", counts)
+        return pa.table(_rows([_stat(level, counts), *_passed(grams, counts, shards)]), schema=ROW)
+
+    return rows.where((F.col("kind") == "gram") & (F.col("level") == level)).groupBy("shard").applyInArrow(merge, ROW_SQL)
+
+
+def _count_hot_contexts(rows: DataFrame, folder: str) -> DataFrame:
+    """Writes the contexts with hot words; (n)."""
+
+    def merge(key, table):
+        level, shard = key[0].as_py(), key[1].as_py()
+        keys = np.concatenate([np.frombuffer(b, "<u8") for b in _blobs(table, "first")])
+        numbers = np.concatenate([np.frombuffer(b, "<i8").reshape(-1, 4) for b in _blobs(table, "counts")])
+        keys, numbers = _contexts(keys, numbers)
+        _put_contexts(folder, f"{shard}.d{level}", keys, numbers)
+        return pa.table({"n": [len(keys)]})
+
+    return rows.where("kind = 'context'").groupBy("level", "shard").applyInArrow(merge, "n long")
 
 
 def _exists(folder: str, name: str) -> bool:
@@ -256,7 +428,7 @@ def _count_continuations(nexts: DataFrame, folder: str) -> DataFrame:
 
     def merge(key, table):
         shard = key[0].as_py()
-        w = np.concatenate([_unfive(b) for b in _blobs(table, "words")])
+        w = np.concatenate([_unfive(b) for b in _blobs(table, "rest")])
         n = np.concatenate([np.frombuffer(b, "<u4") for b in _blobs(table, "counts")]).astype(np.int64)
         order = np.argsort(w, kind="stable")
         w, n = w[order], n[order]
@@ -265,7 +437,7 @@ def _count_continuations(nexts: DataFrame, folder: str) -> DataFrame:
         known = _short(np.asarray(mapped(folder, f"{shard}.words", "<u8")))
         spot = np.searchsorted(w, known)
         spot = np.minimum(spot, len(w) - 1)
-        put(folder, f"{shard}.follows", np.where(w[spot] == known, n[spot], 0).astype("<u8"))
+        _put_numbers(folder, f"{shard}.follows", np.where(w[spot] == known, n[spot], 0))
         return pa.table({"numbers": pa.array([[int((n == i).sum()) for i in (1, 2, 3, 4)] + [int((n > 2).sum()), int(n.sum())]], pa.list_(pa.int64()))})
 
     return nexts.groupBy("shard").applyInArrow(merge, "numbers array<bigint>")
@@ -290,12 +462,20 @@ class Model:
         self.__dict__ |= x
 
 
-def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES, text_col: str = "text") -> Model:
-    """A model of all texts of docs (null: empty, so its end alone is counted)."""
+def _forgotten(spark: SparkSession) -> None:
+    """Has Spark delete shuffled data that nothing refers to any more, which it does when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES, text_col: str = "text", order: int = 2) -> Model:
+    """A model of n-grams of order words of all texts of docs (null: empty, so its end alone is counted)."""
+    if order < 2:
+        raise ValueError("order must be at least 2")
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    shards, folder = max(8, -(-size["bytes"] // shard_bytes)), new_path(spark, "lm")
+    shards, folder = max(8, -(-size["bytes"] * (order - 1) // shard_bytes)), new_path(spark, "lm")
     held = _count_words(texts, shards, folder).collect()
     used = sorted(r["shard"] for r in held)
     n, v = sum(r["tokens"] for r in held), sum(r["types"] for r in held)
@@ -303,7 +483,7 @@ def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES, text_col: str = "text")
     def frequent(batches):
         for batch in batches:
             for shard in batch.column(0).to_pylist():
-                count = mapped(folder, f"{shard}.counts", "<u8")
+                count = _numbers(folder, f"{shard}.counts", slice(None))
                 often = np.flatnonzero(count > n / (4 * shards))
                 yield pa.RecordBatch.from_arrays([pa.array(mapped(folder, f"{shard}.words", "<u8")[often].view(np.int64)), pa.array(count[often].astype(np.int64))], ["word", "n"])
 
@@ -311,17 +491,28 @@ def fit(docs: DataFrame, shard_bytes: int = SHARD_BYTES, text_col: str = "text")
     if used:
         hot |= {np.int64(r["word"]).view(_U) for r in spark.createDataFrame([(s,) for s in used], "shard int").repartition(min(len(used), 64)).mapInArrow(frequent, "word long, n long").collect()}
     hot = np.array(sorted(hot), _U)
-    rows = written(_count_pairs(texts, shards, folder, hot), "pairs")
-    stats = [r["numbers"] for r in rows.where("kind = 'stat'").select("numbers").collect()]
-    begun = rows.where("kind = 'hot'").groupBy(F.col("numbers")[0].alias("word")).agg(*(F.sum(F.col("numbers")[i]).alias(f"n{i}") for i in (1, 2, 3))).collect()
-    often = {int(np.int64(r["word"]).view(_U)): (r["n1"], r["n2"], r["n3"]) for r in begun}
-    follow = [r["numbers"] for r in _count_continuations(rows.where("kind = 'next'").select("shard", "words", "counts"), folder).collect()]
-    pair_n = np.array(stats or [[0] * 5]).sum(axis=0).tolist()
-    next_n = np.array(follow or [[0] * 6]).sum(axis=0).tolist()
-    d2, d1 = discounts(*pair_n[:4]), discounts(*next_n[:4])
-    total = next_n[5]
-    spare = (d1[0] * next_n[0] + d1[1] * next_n[1] + d1[2] * next_n[4]) / total if total else 1.0
-    return Model(folder=folder, shards=shards, used=frozenset(used), hot=hot, often=np.array([often.get(int(x), (0, 0, 0)) for x in hot], float).reshape(-1, 3), n=n, v=v, texts=size["n"], d2=np.array([0, *d2]), d1=np.array([0, *d1]), total=total, spare=spare)
+    rounds = ROUNDS if order > 2 else 1
+    parts = []
+    for turn in range(rounds):
+        _forgotten(spark)
+        parts.append(written(_count_grams(texts, shards, folder, hot, order, turn, rounds), "grams"))
+    for level in range(order - 1, 1, -1):
+        _forgotten(spark)
+        parts.append(written(_count_hot(reduce(DataFrame.unionAll, parts), shards, folder, level), "grams"))
+    rows = reduce(DataFrame.unionAll, parts)
+    _count_hot_contexts(rows, folder).agg(F.sum("n")).collect()
+    stats = np.zeros((order + 1, 6), np.int64)
+    for r in rows.where("kind = 'stat'").select("level", "numbers").collect():
+        stats[r["level"]] += r["numbers"]
+    for r in _count_continuations(rows.where("kind = 'next'").select("shard", "rest", "counts"), folder).collect():
+        stats[1] += r["numbers"]
+    for part in parts:
+        removed(spark, part)
+    _forgotten(spark)
+    d = np.array([(0, *discounts(*x[:4].tolist())) for x in stats])
+    n1, n2, _, _, more, total = stats[1].tolist()
+    spare = float(d[1, 1:] @ (n1, n2, more)) / total if total else 1.0
+    return Model(folder=folder, shards=shards, used=frozenset(used), hot=hot, n=n, v=v, order=order, d=d, total=total, spare=spare)
 
 
 # --- scoring -----------------------------------------------------------------------------------------------------
@@ -340,52 +531,43 @@ def _by_shard(shard: np.ndarray):
     return [(int(shard[k[0]]), k) for k in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1)] if len(shard) else []
 
 
+def _found(m: Model, keys: np.ndarray, v: np.ndarray, cold: str, hot: str, width: int, spread: bool) -> np.ndarray:
+    """The numbers of n-grams or contexts by their hashes, 0 of unknown ones; v: the words that deal them."""
+    one, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    out, v = np.zeros((len(one), width)), v[first]
+    often = _is_hot(v, m.hot)
+    for kind, own, dealt in ((cold, np.flatnonzero(~often), _shard(v, m.shards)), (hot, np.flatnonzero(often), _spread(one, m.shards))):
+        for shard, k in _by_shard(dealt[own]):
+            name, k = f"{shard}.{kind}", own[k]
+            if _has(m.folder, f"{name}.keys"):
+                spot, there = _spots(m.folder, name, one[k])
+                out[k[there]] = _contexts_at(m.folder, name, spot[there]) if spread else _numbers(m.folder, name, spot[there])[:, None]
+    return out[back.reshape(-1)]
+
+
 def lookups(m: Model, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each token: its count in training, and its log10 probability behind the one before."""
+    """Of each token: its count in training, and its log10 probability behind those before."""
     one, place = np.unique(h, return_inverse=True)
     place = place.reshape(-1)
-    count, follows, begins = np.zeros(len(one)), np.zeros(len(one)), np.zeros((len(one), 3))
+    count, follows = np.zeros(len(one)), np.zeros(len(one))
     for shard, k in _by_shard(_shard(one, m.shards)):
         if shard in m.used:
             spot, there = _look(mapped(m.folder, f"{shard}.words", "<u8"), one[k])
             spot, k = spot[there], k[there]
-            count[k] = mapped(m.folder, f"{shard}.counts", "<u8")[spot]
-            if _has(m.folder, f"{shard}.follows"):
-                follows[k] = mapped(m.folder, f"{shard}.follows", "<u8")[spot]
-            if _has(m.folder, f"{shard}.begins"):
-                begins[k] = mapped(m.folder, f"{shard}.begins", "<u4").reshape(-1, 3)[spot]
-    if len(m.hot):
-        spot, there = _look(m.hot, one)
-        begins[there] = m.often[spot[there]]
-    before = _before(h, at)
-    pair = _pair(before, _short(h))
-    two, first, back = np.unique(pair, return_index=True, return_inverse=True)
-    pairs = np.zeros(len(two))
-    for shard, k in _by_shard(_pair_shard(before[first], two, m.hot, m.shards)):
-        if not _has(m.folder, f"{shard}.pairs"):
-            continue
-        spot, there = _look(mapped(m.folder, f"{shard}.pairs", "<u8"), two[k])
-        spot, k = spot[there], k[there]
-        c = mapped(m.folder, f"{shard}.small", "<u1")[spot].astype(float)
-        large = np.flatnonzero(c == 255)
-        if len(large):
-            over, _ = _look(mapped(m.folder, f"{shard}.large", "<u8"), two[k[large]])
-            c[large] = mapped(m.folder, f"{shard}.larger", "<u8")[over]
-        pairs[k] = c
-    c = pairs[back.reshape(-1)]
+            count[k] = _numbers(m.folder, f"{shard}.counts", spot)
+            if _has(m.folder, f"{shard}.follows.small"):
+                follows[k] = _numbers(m.folder, f"{shard}.follows", spot)
     n = follows[place]
-    lower = (n - m.d1[np.minimum(n, 3).astype(np.int64)]) / m.total if m.total else np.zeros(len(n))
-    lower = np.maximum(lower, 0) + m.spare / (m.v + 1)
-    total, own = np.empty(len(h)), np.empty((len(h), 3))
-    total[1:], own[1:] = count[place[:-1]], begins[place[:-1]]
-    starts = at[:-1]
-    total[starts] = m.texts
-    opening = m.often[np.searchsorted(m.hot, BEGIN)] if len(m.hot) else np.zeros(3)
-    own[starts] = opening
-    known = total > 0
-    total = np.maximum(total, 1)
-    spare = np.where(known, own @ m.d2[1:] / total, 1.0)
-    p = np.where(known, np.maximum(c - m.d2[np.minimum(c, 3).astype(np.int64)], 0) / total, 0.0) + spare * lower
+    p = (n - m.d[1][np.minimum(n, 3).astype(np.int64)]) / m.total if m.total else np.zeros(len(n))
+    p = np.maximum(p, 0) + m.spare / (m.v + 1)
+    grams = _kept(_grams(h, at, m.order))
+    for level in range(2, m.order + 1):
+        v, d = grams[1], m.d[level]
+        c = _found(m, _hash(grams[:level]), v, f"g{level}", f"g{level}" if level == m.order else f"h{level}", 1, False)[:, 0]
+        behind = _found(m, _hash(grams[1:level]), v, f"c{level - 1}", f"d{level - 1}", 4, True)
+        known, total = behind[:, 0] > 0, np.maximum(behind[:, 0], 1)
+        found = (np.maximum(c - d[np.minimum(c, 3).astype(np.int64)], 0) + behind[:, 1:] @ d[1:] * p) / total
+        p = np.where(known, found, p)
     return count[place], np.log10(p)
 
 

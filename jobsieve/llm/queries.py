@@ -17,6 +17,8 @@ from .warc import archive_pages
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: Words of the language model's n-grams.
+LM_ORDER = 3
 
 
 def op6_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +81,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = F.coalesce(_crc(10) == 0, F.lit(False))
-    model = lm.fit(docs.where(~held))
+    model = lm.fit(docs.where(~held), order=LM_ORDER)
     found = lm.score(docs, model, extra={"held_out": held})
     return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
 
