@@ -19,10 +19,12 @@ from pyspark.sql import types as T
 
 from . import words
 
-#: Longest piece in bytes, with the blank before a word.
+#: From a start, spans of more bytes (with the blank before a word) are looked up only where a longer piece begins so.
 PIECE = 12
-#: Longer words are scored in parts of so many bytes.
+#: Longer words, in bytes with their blank, are summed in logarithms, words of different lengths together.
 WORD = 32
+#: Bytes of longer words that are summed together.
+LONG_BYTES = 1 << 18
 #: Texts of each language that a model is fitted on, about: the bound of the training sample.
 SAMPLE_TEXTS = 1500
 ROUNDS = 4
@@ -38,25 +40,31 @@ _letters = [words._splitmix(256, 500 + i) for i in range(WORD + 1)]
 
 
 class Vocabulary:
-    """The pieces of up to PIECE bytes of a public vocabulary file, and a hash table from their bytes to a number.
+    """The pieces of a public vocabulary file, and a hash table from their bytes to a number.
 
     The file has a base64 piece and its rank in each line.  All 256 bytes are pieces, so every word has a
-    segmentation.  A hash is the sum over positions of a random value of the byte there.
+    segmentation.  A hash is the sum over positions of a random value of the byte there.  Pieces with a blank inside are
+    left out, as no word has one.
     """
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
             raw = (base64.b64decode(line.split()[0]) for line in file if line.strip())
-            got = {p for p in raw if 0 < len(p) <= PIECE and not p[1:].count(b" ")} | {bytes([b]) for b in range(256)}
+            got = {p for p in raw if p and not p[1:].count(b" ")} | {bytes([b]) for b in range(256)}
         self.pieces = sorted(got)
         self.size = len(self.pieces)
-        hashes = np.zeros(self.size, _U)
+        self.longest = max(map(len, self.pieces))
+        _letters.extend(words._splitmix(256, 500 + i) for i in range(len(_letters), self.longest + 1))
+        hashes, begins = np.zeros(self.size, _U), set()
         with np.errstate(over="ignore"):
             for i, p in enumerate(self.pieces):
                 h = np.uint64(len(p)) * _M
                 for j, b in enumerate(p):
                     h += _letters[j][b]
+                    if j == PIECE - 1 and len(p) > PIECE:
+                        begins.add(int(h - np.uint64(len(p)) * _M))
                 hashes[i] = h
+        self.begins = np.array(sorted(begins), _U)
         hashes = words.mix(hashes)
         slots = (hashes >> _U(64 - SLOT_BITS)).astype(np.int64)
         self.keys = np.zeros(1 << SLOT_BITS, _U)
@@ -83,23 +91,44 @@ class Vocabulary:
             out[open_[hit]] = self.more_at[spot[hit]]
         return out
 
+    def goes_on(self, h: np.ndarray) -> np.ndarray:
+        """Which hashes of PIECE bytes, without a length, begin a longer piece."""
+        if not len(self.begins):
+            return np.zeros(len(h), bool)
+        return self.begins[np.minimum(np.searchsorted(self.begins, h), len(self.begins) - 1)] == h
+
 
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _piece_ids(voc: Vocabulary, letters: np.ndarray) -> list[list[np.ndarray]]:
-    """For words of one length (rows of bytes): the piece numbers of every span, by its end and length."""
-    n, length = letters.shape
-    out: list[list[np.ndarray]] = [[] for _ in range(length)]
-    with np.errstate(over="ignore"):
-        for start in range(length):
-            h = np.zeros(n, _U)
-            for j in range(min(PIECE, length - start)):
-                h = h + _letters[j][letters[:, start + j]]
-                out[start + j].append((start, voc.find(h + _U(j + 1) * _M)))
-    return out
+def _spans(voc: Vocabulary, letters: np.ndarray, start: int, sizes: np.ndarray | None = None):
+    """(end, rows, piece numbers) of all spans from a start of words, as rows of bytes; where these have different
+    sizes, the longest first."""
+    down = None if sizes is None else -sizes
+    h, rows = np.zeros(len(letters), _U), slice(None)
+    for j in range(min(voc.longest, letters.shape[1] - start)):
+        if down is not None:
+            live = int(np.searchsorted(down, -(start + j)))
+            rows = slice(0, live) if j < PIECE else rows[: np.searchsorted(rows, live)]
+            h = h[: live if j < PIECE else len(rows)]
+        if not len(h):
+            return
+        with np.errstate(over="ignore"):
+            h = h + _letters[j][letters[rows, start + j]]
+            yield start + j + 1, rows, voc.find(h + _U(j + 1) * _M)
+        if j == PIECE - 1:
+            rows = np.flatnonzero(voc.goes_on(h))
+            h = h[rows]
+
+
+def _hits(voc: Vocabulary, rows, ids: np.ndarray):
+    """The rows whose spans are pieces, and these; the rows as a slice where all are."""
+    hit = np.flatnonzero(ids < voc.size)
+    if len(hit) == len(ids):
+        return rows, ids
+    return (hit if isinstance(rows, slice) else rows[hit]), ids[hit]
 
 
 def forward(voc: Vocabulary, letters: np.ndarray, probs: np.ndarray) -> np.ndarray:
@@ -108,55 +137,107 @@ def forward(voc: Vocabulary, letters: np.ndarray, probs: np.ndarray) -> np.ndarr
     probs: (size + 1) x languages, the last row 0.
     """
     n, length = letters.shape
+    if length > WORD:
+        return forward_long(voc, letters, np.full(n, length), probs)
     alpha = np.zeros((length + 1, n, probs.shape[1]))
     alpha[0] = 1.0
-    for end, spans in enumerate(_piece_ids(voc, letters)):
-        for start, ids in spans:
-            hit = np.flatnonzero(ids < voc.size)
-            if len(hit) == n:
-                alpha[end + 1] += alpha[start] * probs[ids]
-            elif len(hit):
-                alpha[end + 1][hit] += alpha[start][hit] * probs[ids[hit]]
+    for start in range(length):
+        for end, rows, ids in _spans(voc, letters, start):
+            rows, ids = _hits(voc, rows, ids)
+            if len(ids):
+                alpha[end][rows] += alpha[start][rows] * probs[ids]
     return np.log(np.maximum(alpha[length], 1e-300))
 
 
+def forward_long(voc: Vocabulary, letters: np.ndarray, sizes: np.ndarray, probs: np.ndarray) -> np.ndarray:
+    """As forward, of words of any sizes, the longest first; holds as many positions as the longest piece has."""
+    with np.errstate(divide="ignore"):
+        logs = np.log(probs)
+    ring = np.full((voc.longest + 1, *letters.shape[:1], probs.shape[1]), -np.inf)
+    ring[0] = 0.0
+    out = np.zeros(ring.shape[1:])
+    for start in range(letters.shape[1] + 1):
+        now = ring[start % len(ring)]
+        done = sizes == start
+        out[done] = now[done]
+        for end, rows, ids in _spans(voc, letters, start, sizes):
+            rows, ids = _hits(voc, rows, ids)
+            if len(ids):
+                then = ring[end % len(ring)]
+                then[rows] = np.logaddexp(then[rows], now[rows] + logs[ids])
+        now[:] = -np.inf
+    return out
+
+
 def expected_counts(voc: Vocabulary, letters: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
     """Expected piece counts of weighted words of one length under the probabilities p (size + 1, the last 0)."""
     n, length = letters.shape
+    if length > WORD:
+        return expected_counts_long(voc, letters, np.full(n, length), weight, p)
     alpha, beta = np.zeros((length + 1, n)), np.zeros((length + 1, n))
     alpha[0] = beta[length] = 1.0
-    spans = _piece_ids(voc, letters)
-    for end in range(length):
-        for start, ids in spans[end]:
-            alpha[end + 1] += alpha[start] * p[ids]
-    for end in range(length - 1, -1, -1):
-        for start, ids in spans[end]:
-            beta[start] += beta[end + 1] * p[ids]
+    spans = [list(_spans(voc, letters, start)) for start in range(length)]
+    for start in range(length):
+        for end, rows, ids in spans[start]:
+            alpha[end][rows] += alpha[start][rows] * p[ids]
+    for start in range(length - 1, -1, -1):
+        for end, rows, ids in spans[start]:
+            beta[start][rows] += beta[end][rows] * p[ids]
     scale = weight / np.maximum(alpha[length], 1e-300)
     counts = np.zeros(voc.size + 1)
-    for end in range(length):
-        for start, ids in spans[end]:
-            counts += np.bincount(ids, alpha[start] * beta[end + 1] * p[ids] * scale, voc.size + 1)
+    for start in range(length):
+        for end, rows, ids in spans[start]:
+            counts += np.bincount(ids, alpha[start][rows] * beta[end][rows] * p[ids] * scale[rows], voc.size + 1)
     counts[voc.size] = 0
     return counts
 
 
+def expected_counts_long(voc: Vocabulary, letters: np.ndarray, sizes: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """As expected_counts, of words of any sizes, the longest first."""
+    n, length = letters.shape
+    with np.errstate(divide="ignore"):
+        logs = np.log(p)
+    alpha, beta = np.full((length + 1, n), -np.inf), np.full((length + 1, n), -np.inf)
+    alpha[0] = beta[sizes, np.arange(n)] = 0.0
+    for start in range(length):
+        for end, rows, ids in _spans(voc, letters, start, sizes):
+            rows, ids = _hits(voc, rows, ids)
+            alpha[end][rows] = np.logaddexp(alpha[end][rows], alpha[start][rows] + logs[ids])
+    total = alpha[sizes, np.arange(n)]
+    counts = np.zeros(voc.size + 1)
+    for start in range(length - 1, -1, -1):
+        for end, rows, ids in _spans(voc, letters, start, sizes):
+            rows, ids = _hits(voc, rows, ids)
+            on = beta[end][rows] + logs[ids]
+            beta[start][rows] = np.logaddexp(beta[start][rows], on)
+            np.add.at(counts, ids, np.exp(alpha[start][rows] + on - total[rows]) * weight[rows])
+    return counts
+
+
 def by_length(chunk: words.Chunk):
-    """(rows of bytes, words that they are, part) of a chunk's words: each with a blank before it, A-Z in lower
-    case, in parts of at most WORD bytes."""
-    buf = np.concatenate((_FOLDED[chunk.buf], np.zeros(WORD, np.uint8)))
-    size = chunk.ends - chunk.starts
-    longest = int(size.max(initial=0))
-    for part in range(-(-(longest + 1) // WORD) if longest else 0):
-        own = np.flatnonzero(size + 1 > part * WORD)
-        rest = np.minimum(size[own] + 1 - part * WORD, WORD)
-        for length in np.unique(rest).tolist():
-            rows = own[rest == length]
-            index = chunk.starts[rows][:, None] + (part * WORD - 1) + np.arange(length)[None, :]
-            letters = buf[index]
-            if part == 0:
-                letters[:, 0] = 32
-            yield letters, rows
+    """(rows of bytes, words that they are) of a chunk's words of up to WORD bytes: each with a blank before it, A-Z in
+    lower case."""
+    buf, size = _FOLDED[chunk.buf], chunk.ends - chunk.starts + 1
+    for length in np.unique(size[size <= WORD]).tolist():
+        rows = np.flatnonzero(size == length)
+        letters = buf[chunk.starts[rows][:, None] - 1 + np.arange(length)[None, :]]
+        letters[:, 0] = 32
+        yield letters, rows
+
+
+def longer(chunk: words.Chunk):
+    """(rows of bytes, their sizes, words that they are) of a chunk's longer words, some at a time, the longest first."""
+    size = chunk.ends - chunk.starts + 1
+    rest = np.flatnonzero(size > WORD)
+    rest = rest[np.argsort(-size[rest], kind="stable")]
+    while len(rest):
+        rows = rest[: max(1, LONG_BYTES // int(size[rest[0]]))]
+        rest = rest[len(rows) :]
+        letters = np.zeros((len(rows), int(size[rows[0]])), np.uint8)
+        for i, r in enumerate(rows.tolist()):
+            letters[i, 0] = 32
+            letters[i, 1 : size[r]] = _FOLDED[chunk.buf[chunk.starts[r] : chunk.ends[r]]]
+        yield letters, size[rows], rows
 
 
 _FOLDED = words._FOLD.astype(np.uint8)
@@ -165,11 +246,13 @@ _FOLDED = words._FOLD.astype(np.uint8)
 def fit_pieces(voc: Vocabulary, texts: pa.Array, rounds: int = ROUNDS, uniform: float = UNIFORM) -> np.ndarray:
     """Piece probabilities of texts: size values."""
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    long = []
     for chunk in words.chunks(texts, words.SPACED):
         _, first, count = np.unique(chunk.h, return_index=True, return_counts=True)
         own = words.Chunk(0, 1, chunk.h[first], np.array([0, len(first)]), chunk.starts[first], chunk.ends[first], chunk.buf)
         for letters, rows in by_length(own):
             held.setdefault(letters.shape[1], []).append((letters, count[rows].astype(float)))
+        long += [(letters, sizes, count[rows].astype(float)) for letters, sizes, rows in longer(own)]
     merged = []
     for own in held.values():
         letters, inverse = np.unique(np.concatenate([x[0] for x in own]), axis=0, return_inverse=True)
@@ -182,6 +265,8 @@ def fit_pieces(voc: Vocabulary, texts: pa.Array, rounds: int = ROUNDS, uniform:
         for letters, weight in merged:
             for at in range(0, len(letters), 20000):
                 counts += expected_counts(voc, letters[at : at + 20000], weight[at : at + 20000], p)
+        for part in long:
+            counts += expected_counts_long(voc, *part, p)
         total = counts.sum()
         p = (1 - uniform) * counts / total + uniform / voc.size if total else np.full(voc.size + 1, 1 / voc.size)
         p[voc.size] = 0
@@ -232,6 +317,8 @@ def _scores(chunk: words.Chunk, voc: Vocabulary, probs: np.ndarray) -> np.ndarra
     for letters, rows in by_length(own):
         for at in range(0, len(rows), 8192):
             logs[rows[at : at + 8192]] += forward(voc, letters[at : at + 8192], probs)
+    for letters, sizes, rows in longer(own):
+        logs[rows] = forward_long(voc, letters, sizes, probs)
     sums = np.concatenate((np.zeros((1, probs.shape[1])), np.cumsum(logs[inverse.reshape(-1)], axis=0)))
     return sums[chunk.at[1:]] - sums[chunk.at[:-1]]
 
