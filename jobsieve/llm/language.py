@@ -243,16 +243,18 @@ def longer(chunk: words.Chunk):
 _FOLDED = words._FOLD.astype(np.uint8)
 
 
-def fit_pieces(voc: Vocabulary, texts: pa.Array, rounds: int = ROUNDS, uniform: float = UNIFORM) -> np.ndarray:
-    """Piece probabilities of texts: size values."""
+def fit_pieces(voc: Vocabulary, texts: pa.Array, rounds: int = ROUNDS, uniform: float = UNIFORM, times: np.ndarray | None = None) -> np.ndarray:
+    """Piece probabilities of texts, each of which occurs so many times: size values."""
+    times = np.ones(len(texts)) if times is None else times
     held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     long = []
     for chunk in words.chunks(texts, words.SPACED):
-        _, first, count = np.unique(chunk.h, return_index=True, return_counts=True)
+        _, first, inverse = np.unique(chunk.h, return_index=True, return_inverse=True)
+        count = np.bincount(inverse.reshape(-1), np.repeat(times[chunk.lo : chunk.hi], np.diff(chunk.at)), len(first))
         own = words.Chunk(0, 1, chunk.h[first], np.array([0, len(first)]), chunk.starts[first], chunk.ends[first], chunk.buf)
         for letters, rows in by_length(own):
-            held.setdefault(letters.shape[1], []).append((letters, count[rows].astype(float)))
-        long += [(letters, sizes, count[rows].astype(float)) for letters, sizes, rows in longer(own)]
+            held.setdefault(letters.shape[1], []).append((letters, count[rows]))
+        long += [(letters, sizes, count[rows]) for letters, sizes, rows in longer(own)]
     merged = []
     for own in held.values():
         letters, inverse = np.unique(np.concatenate([x[0] for x in own]), axis=0, return_inverse=True)
@@ -280,22 +282,31 @@ class Model:
         self.path, self.langs, self.probs = path, langs, probs
 
 
+def drawn(own: DataFrame, sample_texts: int) -> DataFrame | None:
+    """(lang, text, times) of about sample_texts different texts of each language at most, and of one at least."""
+    own = own.where(F.col("text").rlike(r"[^ \t-\r]")).withColumn("draw", F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 62)))
+    counts = own.select("lang", "draw").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
+    if not counts:
+        return None
+    # at least the least, so that a language of few texts keeps one
+    below = {r["lang"]: max(r["least"] + 1, int(min(1.0, sample_texts / r["n"]) * (1 << 62))) for r in counts}
+    most = F.element_at(F.create_map(*[x for k, n in below.items() for x in (F.lit(k), F.lit(n))]), F.col("lang"))
+    return own.where(F.col("draw") < most).groupBy("lang", "text").agg(F.count("*").alias("times"))
+
+
 def fit(docs: DataFrame, vocabulary_path: str, sample_texts: int = SAMPLE_TEXTS, rounds: int = ROUNDS, uniform: float = UNIFORM, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model of the languages in lang_col, from at most about ``sample_texts`` texts of each, drawn by hash.
+    """A model of the languages in lang_col, from about ``sample_texts`` different texts of each at most, drawn by hash.
 
-    Each language is fitted in a task of its own.  Rows with a null or empty text or a null language teach nothing;
-    equal rows count as often as they occur.
+    Each language is fitted in a task of its own.  Rows with a null or blank text or a null language teach nothing, and
+    a language of only such rows is not in the model; equal rows count as often as they occur.
     """
     own = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    sample = drawn(own, sample_texts)
+    if sample is None:
         return Model(vocabulary_path, [], np.zeros((1, 0)))
-    share = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, sample_texts / n)))]), F.col("lang"))
-    draw = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = own.where(draw < share)
 
     def train(key, table):
-        p = fit_pieces(vocabulary(vocabulary_path), table.column("text").combine_chunks(), rounds, uniform)
+        p = fit_pieces(vocabulary(vocabulary_path), table.column("text").combine_chunks(), rounds, uniform, table.column("times").to_numpy().astype(float))
         return pa.table({"lang": [key[0].as_py()], "probs": pa.array([p.astype("<f8").tobytes()], pa.binary())})
 
     got = sorted((r["lang"], r["probs"]) for r in sample.groupBy("lang").applyInArrow(train, "lang string, probs binary").collect())
