@@ -171,7 +171,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def distinct_vectors(vectors: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
     """(rep, dim, vec, ids): each vector once; ids: its k + 1 smallest ids, all that can be among k nearest of any."""
-    own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & _valid(F.col("vec")))
+    own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & _valid(F.col("vec"))).distinct()
     # the first k + 1 of each vector are also found before the shuffle, so many copies are no task of their own
     ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("rank") <= k + 1)
     return ranked.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("rep"), F.size("vec").alias("dim"), "vec", "ids")
@@ -220,11 +220,12 @@ def load(row: dict, links: int = LINKS) -> tuple[Graph, np.ndarray, np.ndarray,
 def search(index: DataFrame, queries: DataFrame, k: int = 5, width: int = SEARCH, block: int = QUERY_BLOCK, links: int = LINKS, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, by cosine, ties to the smaller id.
 
-    A query's own id is no candidate.  Scores are exact cosines in double precision.  Ids that repeat among the
-    vectors are candidates each; queries with an unsound vector or a null id have no rows, and so have those whose
+    A query's own id is no candidate.  Scores are exact cosines in double precision.  Rows that repeat an id and its
+    vector count once, among the vectors and among the queries; an id with several vectors is a candidate with each, and
+    as a query has the nearest of them all.  Queries with an unsound vector or a null id have no rows, and so have those whose
     length no indexed vector has.
     """
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("query")).where(F.col("query_id").isNotNull() & _valid(F.col("query")))
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("query")).where(F.col("query_id").isNotNull() & _valid(F.col("query"))).distinct()
     asked = asked.withColumn("dim", F.size("query"))
     counts = asked.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
     asked = asked.join(F.broadcast(counts), "dim").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
