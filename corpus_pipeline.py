@@ -17,10 +17,24 @@ from jobsieve.llm.queries import BYTE_BPE, BYTE_RANKS
 from jobsieve.llm.store import broadcast_if_small, table, written
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs without the rows of the given (doc_id); rows with a null id stay."""
-    ids = written(ids.select("doc_id").where("doc_id is not null").distinct(), "dropped")
-    return docs.join(broadcast_if_small(ids, ids.count()), "doc_id", "left_anti").select(docs.columns)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs and a column that tells its rows apart: doc_id, or where ids are null or repeated a new one, which follows
+    doc_id, nulls last."""
+    again = written(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select("doc_id"), "again")
+    if again.isEmpty():
+        return docs, "doc_id"
+    key = "_key"
+    while key in docs.columns:
+        key += "_"
+    # the texts' hashes keep one id with many rows from being one task
+    ordered = docs.sort(F.asc_nulls_last("doc_id"), F.xxhash64("text"))
+    return written(ordered.withColumn(key, F.monotonically_increasing_id()), "keyed"), key
+
+
+def _without(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
+    """docs without the rows of the given keys."""
+    keys = written(dropped.select(key).distinct(), "dropped")
+    return docs.join(broadcast_if_small(keys, keys.count()), key, "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,18 +48,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates; of rows that repeat an id, one."""
-    rest = _without(docs, near_duplicates(docs).where(~F.col("kept")))
-    again = written(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").select("doc_id"), "again")
-    if again.isEmpty():
-        return rest
-    one = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+    """Keeps the document with the smallest doc_id of each group of near-duplicates, nulls last.  Rows that repeat an id
+    or have none are documents of their own, judged by their texts."""
+    keyed, key = _keyed(docs)
+    found = near_duplicates(keyed, id_col=key).where(~F.col("kept"))
+    return _without(keyed, key, found.select(F.col("doc_id").alias(key))).select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold an item of the benchmark."""
-    return _without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    """Drops documents that hold an item of the benchmark; rows that repeat an id or have none are judged by their texts."""
+    keyed, key = _keyed(docs)
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    return _without(keyed, key, found.select(F.col("doc_id").alias(key))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
