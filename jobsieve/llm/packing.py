@@ -3,8 +3,8 @@
 Documents become token ids and are cut into pieces of at most ``capacity`` tokens.  Only the histogram of piece
 lengths (at most ``capacity`` rows) reaches the driver: best-fit decreasing runs over counts, so equal bins move as
 ranges and the plan has a few entries per length, whatever the number of documents.  Each piece then takes the slot
-that the plan has for its rank within its length; ranks come from counts by (length, bucket), so no task ever holds
-all pieces of one length.
+that the plan has for its rank within its length.  The task that makes a piece numbers it among its own of that length;
+counts by (length, task) give what comes before, so no task ever holds all pieces of one length and no row is sorted.
 """
 
 from __future__ import annotations
@@ -13,20 +13,21 @@ import json
 import re
 import zlib
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .store import written
+from .store import broadcast_if_small, written
 from .words import tidy
 
 CAPACITY = 2048
-#: Pieces in a bucket of one length, about.
-BUCKET_ROWS = 1_000_000
 #: Words in a worker's cache before it starts anew.
 CACHE_WORDS = 250_000
 _SPACES = {chr(c) for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
@@ -41,7 +42,9 @@ class Encoder:
     A byte-level BPE of this kind never merges across the start of a unit (a run of non-space with at most one
     leading space, or a run of white space), so units are encoded once and kept in a bounded cache.  New units go
     through ``tiktoken``, which runs the same merges several times faster, if the file's ids follow its merge order;
-    otherwise through ``tokenizers`` itself.
+    otherwise through ``tokenizers`` itself.  Added tokens (such as one for the end of a text) are matched first where
+    their strings stand in a text, and what is between them is encoded by itself, as ``tokenizers`` does; a file whose
+    added tokens take in blanks or stand as whole words alone has texts with them encoded by ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -50,13 +53,18 @@ class Encoder:
         vocab = spec["model"]["vocab"]
         self.opens = np.zeros(max(vocab.values()) + 1, bool)
         self.opens[[i for token, i in vocab.items() if token.startswith("Ġ")]] = True
+        added = spec.get("added_tokens", [])
+        self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
+        self.plain = not any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") or t.get("normalized") for t in added)
         self.fast = _ranked(path, spec)
-        if not self.fast:
-            from tokenizers import Tokenizer
+        self.path, self.cache = path, {}
 
-            self.tokenizer = Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[str, bytes] = {}
+    @cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
     def _learn(self, units: list[str]) -> None:
         """Encodes new units: those with one leading space all in one text, cut where a token opens with it."""
@@ -78,16 +86,25 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.fast.encode_ordinary(text) if self.fast else self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _between(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
+        units = _UNIT.findall(text)
+        new = [u for u in set(units) if u not in self.cache]
+        if new:
+            if len(self.cache) + len(new) > CACHE_WORDS:
+                self.cache.clear()
+                new = list(dict.fromkeys(units))
+            self._learn(new)
+        return b"".join(map(self.cache.__getitem__, units))
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            units = _UNIT.findall(text)
-            new = [u for u in set(units) if u not in self.cache]
-            if new:
-                if len(self.cache) + len(new) > CACHE_WORDS:
-                    self.cache.clear()
-                    new = list(dict.fromkeys(units))
-                self._learn(new)
-            yield b"".join(map(self.cache.__getitem__, units))
+            if not self.marks or not self.marks.search(text):
+                yield self._between(text)
+            elif self.plain:
+                yield b"".join(self.added[part] if k % 2 else self._between(part) for k, part in enumerate(self.marks.split(text)))
+            else:
+                yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def _ranked(path: str, spec: dict):
@@ -121,24 +138,27 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) of every document; a null text is an empty one, and each ends in id 0."""
+    """(doc_id, piece, start, length, ids_crc32, task, nth) of every document; a null text is an empty one, and each ends
+    in id 0.  nth numbers the pieces of one length of one task, from 0: once written, it's a place within the length."""
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
 
     def encode(batches):
-        ids_of = encoder(tokenizer)
+        ids_of, task, seen = encoder(tokenizer), TaskContext.get().partitionId(), Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                rows = [[], [], [], [], []]
+                rows = [[] for _ in kinds]
                 for doc, ids in zip(part.column(0).to_pylist(), ids_of(part.column(1).fill_null("").to_pylist())):
                     ids += b"\0\0\0\0"
                     for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        for column, x in zip(rows, (doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]))):
+                        for column, x in zip(rows, (doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), task, seen[length])):
                             column.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+                        seen[length] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32", "task", "nth"])
             tidy()
 
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return own.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return own.mapInArrow(encode, "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -188,16 +208,15 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return entries
 
 
-def packed(found: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Adds sequence_id and offset to written pieces (doc_id, piece, start, length, ids_crc32)."""
-    counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most capacity rows
+def packed(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Adds sequence_id and offset to written pieces (doc_id, piece, start, length, ids_crc32, task, nth)."""
+    sizes = written(found.groupBy("length", "task").agg(F.count("*").alias("n")), "sizes")
+    counts = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     entries = plan(counts, capacity)
-    buckets = max(32, max(counts.values(), default=0) // bucket_rows)
-    dealt = found.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
-    sizes = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    before = sizes.select("length", "bucket", (F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")).alias("before"))
-    ranked = dealt.withColumn("within", F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32")) - 1).join(before, ["length", "bucket"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("within")).alias("rank"))
+    before = sizes.select("length", "task", (F.sum("n").over(Window.partitionBy("length").orderBy("task")) - F.col("n")).alias("before"))
+    # a row for each length of each task, far fewer than pieces; a key has no more pieces than one task made
+    ranked = found.join(broadcast_if_small(before, sizes.count()), ["length", "task"])
+    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("before") + F.col("nth")).alias("rank"))
     table = np.array(sorted(entries), np.int64).reshape(-1, 6)
     span = int(table[:, 1:3].sum(1).max()) + 1 if len(table) else 1
     keys = table[:, 0] * span + table[:, 1]
@@ -212,11 +231,11 @@ def packed(found: DataFrame, capacity: int = CAPACITY, bucket_rows: int = BUCKET
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, bucket_rows: int = BUCKET_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def best_fit_pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Packs all documents into sequences of at most ``capacity`` tokens.
 
     Returns per piece (doc_id, piece, start, length, ids_crc32, sequence_id, offset); offsets in a sequence are
     gapless from 0.  Null texts count as empty (id 0 alone), null ids stay null, repeated rows are packed each,
     other columns are ignored, and an empty table gives no rows.
     """
-    return packed(written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces"), capacity, bucket_rows)
+    return packed(written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces"), capacity)

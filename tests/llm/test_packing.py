@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -15,9 +16,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=150, deadline=None)
@@ -27,6 +26,21 @@ def test_ids_equal_the_tokenizer(tokenizer, texts):
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", " <|endoftext|><|endoftext|>", "a  <|endoftext|>  b", "<|endoftext|", "x<|endoftext|>y\n\n<|endoftext|>\n"])
+def test_added_tokens_are_matched_in_texts(tokenizer, text):
+    (got,) = P.encoder(PATH)([text])
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_that_take_in_blanks(tmp_path):
+    spec = json.load(open(PATH))
+    spec["added_tokens"][0]["rstrip"] = True
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(spec))
+    (got,) = P.Encoder(str(path))(["a <|endoftext|>  b"])
+    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(str(path)).encode("a <|endoftext|>  b", add_special_tokens=False).ids
+
+
 def test_cache_overflow(tokenizer, monkeypatch):
     monkeypatch.setattr(P, "CACHE_WORDS", 5)
     texts = ["one two three four five six seven", "eight nine two", "<|endoftext|> it's"]
@@ -69,7 +83,7 @@ def test_plan_equals_best_fit_of_single_pieces(case):
 def test_round_trip(spark, tokenizer, odd_docs, capacity):
     r = random.Random(4)
     docs = [(d["doc_id"], d["text"]) for d in odd_docs.select("doc_id", "text").collect() if d["doc_id"] != 100] + [(200 + i, "hello " * r.randrange(40)) for i in range(60)]
-    got = P.best_fit_pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH, capacity, bucket_rows=5).collect()
+    got = P.best_fit_pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH, capacity).collect()
     by = {}
     for x in got:
         by.setdefault(x["doc_id"], []).append(x)
@@ -105,3 +119,10 @@ def test_no_documents(no_docs):
 def test_repeated_rows_are_packed_each(odd_docs):
     got = P.best_fit_pack(odd_docs.where("doc_id = 100"), PATH).collect()
     assert len(got) == 2 and len({(x["sequence_id"], x["offset"]) for x in got}) == 2
+
+
+def test_many_equal_rows_share_no_task(spark):
+    docs = spark.range(0, 400, 1, 8).selectExpr("7L AS doc_id", "'one two three' AS text")
+    got = P.best_fit_pack(docs, PATH, 16).collect()
+    assert len(got) == 400 and len({(x["sequence_id"], x["offset"]) for x in got}) == 400
+    assert max(x["offset"] for x in got) + got[0]["length"] <= 16
