@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .store import broadcast_if_small
 
 WORD_BUCKETS = 1024
 CLASS_BUCKETS = 2048
@@ -28,6 +29,8 @@ SAMPLE_TEXTS = 2000
 NEIGHBOURS = 25
 SHARPNESS = 8
 THRESHOLD = 0.3
+#: Cosines that differ by less are ties.
+TIE = 1e-6
 
 _U = np.uint64
 
@@ -109,41 +112,54 @@ def train(counts: np.ndarray, labels: np.ndarray, prior: float, dimensions: int
 
 
 def vote(m: Model, counts: np.ndarray, neighbours: int = NEIGHBOURS, sharpness: int = SHARPNESS) -> np.ndarray:
-    """The weighted share of label 1 among the nearest labelled vectors; the prior where nothing is similar."""
+    """The weighted share of label 1 among the nearest labelled vectors; the prior where nothing is similar.
+
+    Products are in double precision and rounded to TIE; all that tie with the last neighbour vote like it, each with the
+    same part of the places that are left, so a score depends neither on the order of the labelled texts nor on the batch.
+    """
     if not len(m.labels):
         return np.full(len(counts), m.prior)
-    v = _unit(_weighted(counts, m.idf) @ m.basis)
+    v = _unit(_weighted(counts, m.idf) @ m.basis).astype(float)
     out = np.empty(len(v))
     k = min(neighbours, len(m.labels))
-    for at in range(0, len(v), 512):
-        cosine = v[at : at + 512] @ m.vectors.T
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 0).astype(float) ** sharpness
-        total = weight.sum(axis=1)
-        out[at : at + 512] = np.where(total > 1e-9, (weight * m.labels[near]).sum(axis=1) / np.maximum(total, 1e-9), m.prior)
+    vectors, labels = m.vectors.T.astype(float), m.labels.astype(float)
+    for at in range(0, len(v), 256):
+        cosine = np.rint(v[at : at + 256] @ vectors / TIE) * TIE
+        n, last = len(cosine), np.partition(cosine, len(labels) - k, axis=1)[:, len(labels) - k]
+        row, col = np.nonzero(cosine >= last[:, None])
+        near = cosine[row, col]
+        tied = near == last[row]
+        left = (k - np.bincount(row, ~tied, n)) / np.bincount(row, tied, n)
+        weight = np.maximum(near, 0) ** sharpness * np.where(tied, left[row], 1.0)
+        total = np.bincount(row, weight, n)
+        out[at : at + 256] = np.where(total > 1e-9, np.bincount(row, weight * labels[col], n) / np.maximum(total, 1e-9), m.prior)
     return np.clip(out, 0.0, 1.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_texts: int = SAMPLE_TEXTS, dimensions: int = DIMENSIONS, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from about ``sample_texts`` texts of each label, drawn by a hash of the id.
 
-    Null ids, labels and texts teach nothing; a label other than 1 counts as 0.
+    Null ids, labels and texts teach nothing; a label other than 1 counts as 0.  Label rows that repeat an id and a label
+    count once; an id with both labels teaches both.  Of rows of docs that repeat an id one teaches, that whose counts are
+    first in order.  So the sample is bounded by the ids drawn, whatever repeats.
     """
-    own = labels.select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) == 1).cast("int").alias("label")).where("id is not null and label is not null")
+    own = labels.select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) == 1).cast("int").alias("label")).where("id is not null and label is not null").distinct()
     sizes = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
     prior = sizes.get(1, 0) / sum(sizes.values()) if sizes else 0.5
     draw = F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = own.where(draw < F.when(F.col("label") == 1, F.lit(min(1.0, sample_texts / max(1, sizes.get(1, 0))))).otherwise(F.lit(min(1.0, sample_texts / max(1, sizes.get(0, 0))))))
+    share = {y: min(1.0, sample_texts / max(1, sizes.get(y, 0))) for y in (0, 1)}
+    drawn = own.where(draw < F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0])))
 
     def count(batches):
         for batch in batches:
-            rows = [np.minimum(c, 65535).astype("<u2") for _, part in term_counts(batch.column(2)) for c in part]
+            rows = [c.astype(">u4") for _, part in term_counts(batch.column(2)) for c in part]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "label", "counts"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    got = texts.join(F.broadcast(drawn), "id").select("id", "label", "text").mapInArrow(count, "id long, label int, counts binary").collect()
+    counted = texts.join(broadcast_if_small(drawn, drawn.count()), "id").select("id", "label", "text").mapInArrow(count, "id long, label int, counts binary")
+    got = counted.groupBy("id", "label").agg(F.min("counts").alias("counts")).collect()  # about two times sample_texts rows
     got = sorted((r["id"], r["label"], bytes(r["counts"])) for r in got)
-    counts = np.stack([np.frombuffer(c, "<u2") for *_, c in got]) if got else np.zeros((0, TERMS))
+    counts = np.stack([np.frombuffer(c, ">u4") for *_, c in got]).astype(np.int64) if got else np.zeros((0, TERMS))
     model = train(counts, np.array([y for _, y, _ in got]), prior, dimensions)
     del got, counts
     words.tidy()
@@ -152,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_t
 
 def quality(text: Column, model: Model, spark, neighbours: int = NEIGHBOURS, sharpness: int = SHARPNESS) -> Column:
     """The score of a text, 0 to 1, higher for likelier label 1.  Null and empty texts, and any under a model without
-    labelled texts, get the share of label 1 in all labels; whole texts are read, in bounded memory."""
+    labelled texts, get the share of label 1 in all labels; equal texts get equal scores; ties are as in ``vote``; whole texts are
+    read, in bounded memory."""
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -52,3 +52,26 @@ def test_odd_texts(spark, odd_docs, no_docs):
     none = Q.fit(no_docs, labels)
     assert all(r[0] == none.prior for r in odd_docs.select(Q.quality(F.col("text"), none, spark)).collect())
     assert Q.fit(odd_docs, labels.limit(0)).prior == 0.5 and Q.kept_quality(no_docs, model).count() == 0
+
+
+def test_ties_do_not_depend_on_order_or_batch():
+    r = np.random.default_rng(3)
+    counts = r.poisson(0.3, (30, Q.TERMS))
+    labelled = np.concatenate((counts[:20], counts[:1], counts[:1], counts[:1]))  # the first vector four times, with both labels
+    labels = np.array([0, 1] * 10 + [1, 1, 0])
+    model = Q.train(labelled, labels, 0.5, 8)
+    turned = Q.Model(model.idf, model.basis, model.vectors[::-1], model.labels[::-1], 0.5)
+    asked = np.concatenate((counts[20:], counts[:1]))
+    assert np.allclose(Q.vote(model, asked, 3), Q.vote(turned, asked, 3), atol=1e-12)
+    assert np.allclose(Q.vote(model, asked, 3), [Q.vote(model, x[None], 3)[0] for x in asked], atol=1e-12)
+    assert abs(Q.vote(model, counts[:1], 3)[0] - 0.5) < 1e-6  # the four share three places, two of them with label 1
+
+
+def test_counts_of_long_texts_and_repeated_labels(spark):
+    docs = spark.createDataFrame([(1, "word " * 70_000), (1, "word " * 70_000), (2, "%% " * 9), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 5 + [(2, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    model = Q.fit(docs, labels)
+    assert len(model.labels) == 2 and model.prior == 2 / 3
+    (_, counts), = Q.term_counts(pa.array(["word " * 70_000]))
+    assert counts.max() > 65535 and Q.vote(model, counts, 1)[0] > 0.99
+    assert np.allclose(Q._unit(Q._weighted(counts, model.idf) @ model.basis), model.vectors[0], atol=1e-5)
