@@ -97,10 +97,12 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
 w AS (SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda x: x <> '') AS ws FROM t),
-s AS (SELECT DISTINCT kind, id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
-n AS (SELECT id AS item_id, count(*)::BIGINT AS n_item FROM s WHERE kind = 'i' GROUP BY id),
-c AS (SELECT d.id AS doc_id, i.id AS item_id, count(*)::BIGINT AS n_shared FROM s d JOIN s i ON d.g = i.g AND d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id)
+i AS (SELECT id AS item_id, least(len(ws), 5) AS k, ws FROM w WHERE kind = 'i' AND len(ws) > 0),
+g AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda j: array_to_string(ws[j:j + k - 1], ' '))) AS g FROM i),
+s AS (SELECT DISTINCT id AS doc_id, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda j: array_to_string(ws[j:j + k - 1], ' '))) AS g
+      FROM w, (SELECT DISTINCT k FROM i) WHERE kind = 'd' AND len(ws) >= k),
+n AS (SELECT item_id, count(*)::BIGINT AS n_item FROM g GROUP BY item_id),
+c AS (SELECT doc_id, item_id, count(*)::BIGINT AS n_shared FROM s JOIN g USING (k, g) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item::DOUBLE AS containment FROM c JOIN n USING (item_id) WHERE n_shared >= 0.75 * n_item"""
 
 

@@ -39,6 +39,7 @@ def removed(spark: SparkSession, df: DataFrame) -> None:
             own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int, most: int = 1_000_000):
-    """df with a broadcast hint if its counted rows are at most ``most``, else as it is, for a shuffled join."""
-    return F.broadcast(df) if rows <= most else df
+def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64, most_bytes: int = 64 << 20):
+    """df with a broadcast hint if its counted rows, of about row_bytes each, take at most most_bytes; else as it is, for a
+    shuffled join."""
+    return F.broadcast(df) if rows * row_bytes <= most_bytes else df

@@ -259,7 +259,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
     slim = written(records.select("key", "url", "date", "payload_bytes", "payload_digest"), "arc-index")
     first = slim.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "url", "date")).alias("first"), F.count("*").alias("n"))
     again = first.where("n > 1").select("payload_digest", "payload_bytes", F.col("first.key").alias("first_key"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
-    joined = records.join(broadcast_if_small(again, again.count(), 200_000), ["payload_digest", "payload_bytes"], "left")
+    joined = records.join(broadcast_if_small(again, again.count(), 300), ["payload_digest", "payload_bytes"], "left")
     known = slim.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("payload_bytes") + 800), F.lit(0)).alias("volume")).first()
     schema = pa.schema([("record", pa.binary())])
 

@@ -7,7 +7,7 @@ def test_broadcast_only_below_the_bound(spark):
     df = spark.range(5)
     other = spark.range(100)
     plan = lambda d: other.join(d, "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(store.broadcast_if_small(df, 5, 5)) and "broadcast" not in plan(store.broadcast_if_small(df, 6, 5))
+    assert "broadcast" in plan(store.broadcast_if_small(df, 5, 10, 50)) and "broadcast" not in plan(store.broadcast_if_small(df, 6, 10, 50))
 
 
 def test_removed_deletes_written_tables_alone(spark, tmp_path):
