@@ -140,8 +140,8 @@ def repair(turns: DataFrame, costs: Costs | None = None, block_turns: int = BLOC
     turns of the repaired conversation.  The rendered pieces of a conversation in the order of seq, put together, are
     its text in the repaired form, so no conversation is ever one value in one task; inserted names the roles of empty turns
     before (after, with "...") a turn; the costs of a conversation add up to the least that a repair can cost.
-    Unknown or null roles may become any; a null text is empty; rows with a null conv_id are one conversation; equal
-    rows are turns each; markers within texts are broken by a backslash; an empty table gives no rows.
+    Unknown or null roles may become any; a null text is empty; a row with a null conv_id is a conversation of its own, as
+    nothing says what it belongs to; equal rows are turns each; markers within texts are broken by a backslash; an empty table gives no rows.
     """
     costs = costs or Costs()
     named = F.lower(F.trim(F.coalesce(F.col(role_col).cast("string"), F.lit(""))))
@@ -154,24 +154,25 @@ def repair(turns: DataFrame, costs: Costs | None = None, block_turns: int = BLOC
     thin = held.select("blk", "place", "row", "conv_id", "number")
 
     def parts(table):
-        """(conversation, rows, roles) of a block in order; a null id as such."""
+        """(conversation, rows, roles) of a block in order; each row of a null id is one."""
         table = table.sort_by("place")
         conv = table.column("conv_id").to_pylist()
         rows, roles = table.column("row").to_pylist(), table.column("number").to_pylist()
         at = 0
         for k in range(1, len(conv) + 1):
-            if k == len(conv) or conv[k] != conv[at]:
+            if k == len(conv) or conv[k] is None or conv[k] != conv[at]:
                 yield conv[at], rows[at:k], roles[at:k]
                 at = k
 
-    edge = pa.schema([("blk", pa.int32()), ("conv", pa.int64()), ("none", pa.bool_()), ("turns", pa.int64()), ("cost", pa.list_(pa.int64())), ("made", pa.list_(pa.int64()))])
+    edge = pa.schema([("blk", pa.int32()), ("conv", pa.int64()), ("turns", pa.int64()), ("cost", pa.list_(pa.int64())), ("made", pa.list_(pa.int64()))])
 
     def edges(key, table):
         own = list(parts(table))
-        out = [(key[0].as_py(), conv, conv is None, len(rows), *(m.reshape(-1).tolist() for m in matrix(roles, costs))) for conv, rows, roles in (own if len(own) < 2 else (own[0], own[-1]))]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), edge)], schema=edge)
+        own = own if len(own) < 2 else (own[0], own[-1])
+        out = [(key[0].as_py(), conv, len(rows), *(m.reshape(-1).tolist() for m in matrix(roles, costs))) for conv, rows, roles in own if conv is not None]
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(edge), edge)], schema=edge)
 
-    ends = thin.groupBy("blk").applyInArrow(edges, "blk int, conv long, none boolean, turns long, cost array<bigint>, made array<bigint>")
+    ends = thin.groupBy("blk").applyInArrow(edges, "blk int, conv long, turns long, cost array<bigint>, made array<bigint>")
     bound = pa.schema([("b", pa.int32()), ("conv", pa.int64()), ("state", pa.int32()), ("after", pa.int32()), ("seq", pa.int64()), ("made", pa.int64()), ("last", pa.bool_())])
 
     def states(key, table):
@@ -199,7 +200,7 @@ def repair(turns: DataFrame, costs: Costs | None = None, block_turns: int = BLOC
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), bound)], schema=bound)
 
     # one row per block and conversation at its edges: a conversation has at most as many as there are blocks
-    bounds = ends.groupBy("none", "conv").applyInArrow(states, "b int, conv long, state int, after int, seq long, made long, last boolean")
+    bounds = ends.groupBy("conv").applyInArrow(states, "b int, conv long, state int, after int, seq long, made long, last boolean")
 
     made = pa.schema([("row", pa.int64()), ("seq", pa.int64()), ("out_turn", pa.int64()), ("new_role", pa.string()), ("action", pa.string()), ("inserted", pa.string()), ("cost", pa.int64()), ("head", pa.string()), ("tail", pa.string())])
 

@@ -81,3 +81,12 @@ def test_odd_rows(spark):
         by[x["conv_id"]] = by.get(x["conv_id"], "") + x["rendered"]
     assert all(legal(t) for t in by.values()) and "<\\|im_end|>x" in by[None]
     assert C.repair(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_rows_without_a_conversation_stay_apart(spark):
+    rows = [(None, i, "user", f"t{i}") for i in range(7)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for block in (2, 3, 100):
+        got = [r for r in C.repair(df, block_turns=block).collect() if r["conv_id"] is None]
+        assert len(got) == 7 and all(r["seq"] == 0 and r["out_turn"] == 0 and r["inserted"] == "...assistant" for r in got)
+        assert sorted(r["rendered"].split("\n")[1].removesuffix("<|im_end|>") for r in got) == [f"t{i}" for i in range(7)]
