@@ -3,18 +3,21 @@
 Every run of k words in a document is looked up among the runs of the licence templates.  A hit at word i of the
 document and word j of a template votes for the diagonal i - j; an unbroken copy puts all its votes on one diagonal,
 an edited one on a few close ones.  Votes are counted by diagonal, close diagonals are merged, and spans are verified:
-short phrases word for word, long texts by the share of their runs that the span has.
+short phrases word for word, long texts by the share of their runs that the span has in the template's order.  Merged
+diagonals lie in a window of bounded width, so a span is hardly longer than its template.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from . import words
@@ -24,6 +27,8 @@ from .store import written
 SHORT_RUN, LONG_RUN, SHORT = 2, 4, 8
 #: Diagonals at most so far apart are one span.
 SLACK = 8
+#: A span's diagonals lie at most twice so far apart; a copy whose words moved by no more is in one window as a whole.
+DRIFT = 4 * SLACK
 #: Share of a long template's runs that makes a span count.
 COVERAGE = 0.6
 
@@ -151,31 +156,71 @@ def matched(rows: DataFrame, found: list[Template]) -> DataFrame:
     return met.where(F.col("at").isNull() | (F.col("run") == F.col("words"))).select("row", "doc_id", "n_words", "at", "template", "place")
 
 
-def spans(met: DataFrame, found: list[Template], slack: int = SLACK) -> DataFrame:
-    """(row, template, label, base, short, start, stop, coverage): merged diagonals of each document and template."""
+def aligned(hits: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """(length, first at, last at) of a longest chain of hits (at, place) in which both grow."""
+    ends: list[int] = []  # the least last place of a chain of each length, and which hit that is
+    held: list[int] = []
+    hits = sorted(hits, key=lambda x: (x[0], -x[1]))
+    before = [-1] * len(hits)
+    for i, (_, place) in enumerate(hits):
+        k = bisect_left(ends, place)
+        if k == len(ends):
+            ends.append(place), held.append(i)
+        else:
+            ends[k], held[k] = place, i
+        before[i] = held[k - 1] if k else -1
+    i = held[-1]
+    last = hits[i][0]
+    while before[i] >= 0:
+        i = before[i]
+    return len(ends), hits[i][0], last
+
+
+_VOTES = T.StructType([T.StructField("met", T.LongType()), T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
+
+
+@F.arrow_udf(_VOTES)
+def _ordered(column: pa.Array) -> pa.Array:
+    """``aligned`` of each list of (diagonal, places)."""
+    found = [aligned([(d["diagonal"] + p, p) for d in own for p in d["places"]]) for own in column.to_pylist()]
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], [], []))], ["met", "low", "high"])
+
+
+def spans(met: DataFrame, found: list[Template], slack: int = SLACK, drift: int = DRIFT) -> DataFrame:
+    """(row, template, label, base, short, start, stop, coverage): verified spans of each document and template.
+
+    A short phrase has a span per diagonal, with the share of its runs there.  Diagonals of a long template at most
+    ``slack`` apart are merged; where more than ``drift`` lie between the first and the last, overlapping windows of twice
+    that width are taken.  A span's coverage is the share of the template's runs that it has in order.
+    """
     facts = met.sparkSession.createDataFrame([(t.number, t.label, t.base, t.runs, len(t.words) <= SHORT, t.run) for t in found], "template int, label string, base boolean, runs int, short boolean, size int")
     met = met.where("at is not null")
     votes = met.groupBy("row", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(F.collect_set("place").alias("places"), F.min("at").alias("low"), F.max("at").alias("high"))
-    votes = votes.join(F.broadcast(facts), "template")
+    votes = votes.join(F.broadcast(facts), "template")  # bounded by the fixed list of templates
+    names = ["row", "template", "label", "base", "short"]
+    phrases = votes.where("short").select(*names, F.col("low").alias("start"), (F.col("high") + F.col("size")).alias("stop"), (F.size("places") / F.col("runs")).alias("coverage"))
+
     order = Window.partitionBy("row", "template").orderBy("diagonal")
-    # phrases must match as they are, so their diagonals stay apart
-    apart = F.col("short") | F.lag("diagonal").over(order).isNull() | (F.col("diagonal") - F.lag("diagonal").over(order) > slack)
-    grouped = votes.withColumn("span", F.sum(apart.cast("long")).over(order))
-    merged = grouped.groupBy("row", "template", "label", "base", "short", "runs", "size", "span").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("met"), F.min("low").alias("start"), (F.max("high") + F.first("size")).alias("stop"))
-    return merged.select("row", "template", "label", "base", "short", "start", "stop", (F.col("met") / F.col("runs")).alias("coverage"))
+    apart = F.lag("diagonal").over(order).isNull() | (F.col("diagonal") - F.lag("diagonal").over(order) > slack)
+    grouped = votes.where("not short").withColumn("span", F.sum(apart.cast("long")).over(order))
+    cell = F.floor((F.col("diagonal") - F.min("diagonal").over(Window.partitionBy("row", "template", "span"))) / (drift + 1))
+    windows = grouped.withColumn("cell", cell).withColumn("window", F.explode(F.sequence(F.greatest(F.col("cell") - 1, F.lit(0)), F.col("cell"))))
+    merged = windows.groupBy(*names, "runs", "size", "span", "window").agg(F.collect_list(F.struct("diagonal", "places")).alias("votes"))
+    long = merged.withColumn("chain", _ordered("votes")).select(*names, F.col("chain.low").alias("start"), (F.col("chain.high") + F.col("size")).alias("stop"), (F.col("chain.met") / F.col("runs")).alias("coverage"))
+    return phrases.unionByName(long)
 
 
-def scan(docs: DataFrame, found: list[Template] | None = None, coverage: float = COVERAGE, slack: int = SLACK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, found: list[Template] | None = None, coverage: float = COVERAGE, slack: int = SLACK, drift: int = DRIFT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row of docs.
 
     A short phrase counts where its words stand consecutively, a long template where a span has at least
-    ``coverage`` of its runs.  score is the largest share of a template that a document has in one place.  Texts
+    ``coverage`` of its runs in order.  score is the largest share of a template that a document has in one place.  Texts
     without words or null have no labels and score 0; null ids stay null; repeated rows are scanned each; an empty
     table gives no rows; other columns are ignored.
     """
     found = found or templates()
     got = written(matched(rolling_runs(docs, found, id_col, text_col), found), "hits")
-    every = spans(got, found, slack)
+    every = spans(got, found, slack, drift)
     good = F.col("coverage") >= F.when(F.col("short"), F.lit(1.0)).otherwise(F.lit(coverage))
     base = good & F.col("base")
     per = every.groupBy("row").agg(

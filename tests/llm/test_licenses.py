@@ -53,6 +53,80 @@ def test_edited_notice_is_found(spark, edit):
     assert got[1]["labels"] == got[2]["labels"] == ""
 
 
+def pieces(seed, n=8):
+    w = MIT.split()
+    own = [w[i : i + n] for i in range(0, len(w), n)]
+    random.Random(seed).shuffle(own)
+    return own
+
+
+def test_shuffled_notices_are_not_found(spark):
+    place = {tuple(p): k for k, p in enumerate(pieces_in_order())}
+    shuffled = [p for p in map(pieces, range(60)) if chain([(i, place[tuple(x)]) for i, x in enumerate(p)]) <= 3]
+    texts = [prose(1, 30) + " " + " ".join(x for p in own for x in p) + " " + prose(2, 30) for own in shuffled]
+    texts += [" ".join(" ".join(p) + " " + prose(i, 200) for i, p in enumerate(pieces_in_order()))]  # in order, but far apart
+    texts += [" ".join([" ".join(pieces_in_order()[0])] * 50)]
+    got = run(spark, texts)
+    assert len(got) > 30 and all(r["labels"] == "" and r["score"] < S.COVERAGE for r in got.values())
+
+
+def pieces_in_order(n=8):
+    w = MIT.split()
+    return [w[i : i + n] for i in range(0, len(w), n)]
+
+
+def chain(hits):
+    """The longest chain of hits by trying all ends."""
+    best = {}
+    for at, place in sorted(hits):
+        best[at, place] = 1 + max((v for (a, p), v in best.items() if a < at and p < place), default=0)
+    return max(best.values(), default=0)
+
+
+def test_aligned_equals_brute_force():
+    r = random.Random(1)
+    for _ in range(300):
+        hits = list({(r.randrange(12), r.randrange(12)) for _ in range(r.randrange(1, 14))})
+        n, first, last = S.aligned(hits)
+        assert n == chain(hits) and first <= last
+
+
+def test_labels_equal_brute_force(spark):
+    """Labels of long templates against all hits of a document in windows of diagonals."""
+    r = random.Random(9)
+    w = MIT.split()
+    texts = []
+    for i in range(60):
+        own = list(w)
+        for _ in range(r.randrange(12)):
+            at = r.randrange(len(own))
+            kind = r.randrange(4)
+            if kind == 0:
+                own[at] = "other"
+            elif kind == 1:
+                own[at:at] = ["more"] * r.randrange(1, 12)
+            elif kind == 2:
+                del own[at : at + r.randrange(1, 4)]
+            else:
+                to = r.randrange(len(own))
+                own = own[:at] + own[to : to + 6] + own[at:]
+        texts.append(" ".join(["x"] * r.randrange(5) + own))
+    got = run(spark, texts)
+    runs = [tuple(w[j : j + S.LONG_RUN]) for j in range(len(w) - S.LONG_RUN + 1)]
+    kinds = set()
+    for i, t in enumerate(texts):
+        x = words(t)
+        hits = [(a, p) for a in range(len(x)) for p, run_ in enumerate(runs) if tuple(x[a : a + S.LONG_RUN]) == run_]
+        widest = max((chain([h for h in hits if d <= h[0] - h[1] <= d + 2 * S.DRIFT]) for d in {a - p for a, p in hits}), default=0)
+        near = [sorted({a - p for a, p in hits})]
+        narrow = chain(hits) if near[0] and near[0][-1] - near[0][0] <= S.SLACK else 0
+        labelled = got[i]["labels"] == "mit"
+        kinds.add(labelled)
+        assert not labelled or widest >= S.COVERAGE * len(runs)
+        assert labelled or narrow < S.COVERAGE * len(runs)
+    assert kinds == {True, False}
+
+
 def test_spans_say_where(spark):
     found = S.templates()
     df = spark.createDataFrame([(1, "one two " + MIT + " three")], "doc_id long, text string")
