@@ -1,14 +1,15 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph in each shard.
 
-Vectors that are equal are indexed once.  They are dealt to shards of bounded size by a hash; each shard's graph is
-built in one task and stored as flat arrays (vectors, neighbours of the ground layer, neighbours of the layers above).
-Queries come in blocks; each block searches each shard, hits are scored exactly in double precision on the original
-vectors, and the shards' best are merged.
+Vectors of one direction are indexed once.  They are dealt to shards of bounded size by a hash; each shard's graph is
+built in a task of its own and stored as flat arrays (vectors, neighbours of the ground layer, neighbours of the layers
+above).  Queries stream past each shard in batches, so a shard is moved and loaded once however many there are; hits are
+scored exactly in double precision on the original vectors, and the shards' best are merged.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .store import written
+from .store import broadcast_if_small, written
 
 SHARD_VECTORS = 4096
-QUERY_BLOCK = 1024
 #: Neighbours of a vector in the layers above the ground; twice as many there.
 LINKS = 16
 #: Beam widths while building and while searching.
 BUILD, SEARCH = 64, 96
 SEED = 7
+#: Unit vectors whose components are equal on a grid of this step are one direction.
+GRID = 1e-12
+#: Shards are placed in so many tasks at most, one in each up to there.
+MOST_TASKS = 20_000
 
 
 class Graph:
@@ -169,12 +173,22 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _direction(vec: F.Column) -> F.Column:
+    """The unit vector on a grid, in whole numbers; equal for vectors that differ by a positive factor."""
+    scaled = F.transform(vec, lambda v: v / F.array_max(F.transform(vec, F.abs)))  # no overflow in the squares
+    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, v: a + v * v))
+    return F.transform(F.arrays_zip(scaled.alias("v"), F.array_repeat(norm, F.size(vec)).alias("n")), lambda x: F.rint(x["v"] / x["n"] / GRID).cast("long"))
+
+
 def distinct_vectors(vectors: DataFrame, k: int, id_col: str, vec_col: str) -> DataFrame:
-    """(rep, dim, vec, ids): each vector once; ids: its k + 1 smallest ids, all that can be among k nearest of any."""
-    own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & _valid(F.col("vec"))).distinct()
-    # the first k + 1 of each vector are also found before the shuffle, so many copies are no task of their own
-    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("vec").orderBy("id"))).where(F.col("rank") <= k + 1)
-    return ranked.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("rep"), F.size("vec").alias("dim"), "vec", "ids")
+    """(rep, dim, vec, ids): each direction once, with the vector of its smallest id; ids: its k + 1 smallest ids, all
+    that can be among k nearest of any."""
+    own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec")).where(F.col("id").isNotNull() & _valid(F.col("vec")))
+    own = own.groupBy("id", _direction(F.col("vec")).alias("way")).agg(F.min("vec").alias("vec"))
+    # the first k + 1 of each direction are also found before the shuffle, so many copies are no task of their own
+    ranked = own.withColumn("rank", F.row_number().over(Window.partitionBy("way").orderBy("id"))).where(F.col("rank") <= k + 1)
+    held = ranked.groupBy("way").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.min_by("vec", "id").alias("vec"))
+    return held.select(F.col("ids")[0].alias("rep"), F.size("vec").alias("dim"), "vec", "ids")
 
 
 INDEX = "shard long, dim int, n int, ids binary, reps binary, vectors binary, ground binary, layers int, upper binary, entry int"
@@ -183,14 +197,13 @@ INDEX = "shard long, dim int, n int, ids binary, reps binary, vectors binary, gr
 def build_index(vectors: DataFrame, k: int = 5, shard_vectors: int = SHARD_VECTORS, links: int = LINKS, width: int = BUILD, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """One row of flat arrays per shard, written.  Vectors of different lengths are in different shards."""
     own = written(distinct_vectors(vectors, k, id_col, vec_col), "vectors")
-    sizes = own.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_vectors)).alias("parts"))
-    dealt = own.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("parts")))
-    # shards are small in bytes but long in the making: a number of partitions that isn't lowered by their size
-    tasks = max(1, 2 * (own.count() // shard_vectors))
+    sizes = written(own.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(shard_vectors)).cast("long").alias("parts")), "sizes")
+    known = sizes.agg(F.count("*").alias("dims"), F.coalesce(F.sum("parts"), F.lit(0)).alias("shards")).first()
+    dealt = own.join(broadcast_if_small(sizes, known["dims"]), "dim").withColumn("shard", F.pmod(F.xxhash64("rep"), F.col("parts")))
 
     def build(key, table):
         table = table.sort_by("rep")
-        dim = key[0].as_py()
+        dim, shard = key[1].as_py(), key[2].as_py()
         original = _rows(table.column("vec"))
         g = Graph(_unit(original).astype(np.float32), links).build(width)
         ids = np.full((table.num_rows, k + 1), -1, np.int64)
@@ -199,10 +212,24 @@ def build_index(vectors: DataFrame, k: int = 5, shard_vectors: int = SHARD_VECTO
             ids[i, : len(x)] = x
             have[i, : len(x)] = True
         upper = np.stack(g.upper) if g.upper else np.zeros((0, table.num_rows, links), np.int32)
-        row = {"shard": key[1].as_py(), "dim": dim, "n": table.num_rows, "ids": ids.tobytes(), "reps": have.tobytes(), "vectors": original.astype("<f8").tobytes(), "ground": g.ground.tobytes(), "layers": len(g.upper), "upper": upper.tobytes(), "entry": g.entry}
+        row = {"shard": shard, "dim": dim, "n": table.num_rows, "ids": ids.tobytes(), "reps": have.tobytes(), "vectors": original.astype("<f8").tobytes(), "ground": g.ground.tobytes(), "layers": len(g.upper), "upper": upper.tobytes(), "entry": g.entry}
         return pa.Table.from_pylist([row], pa.schema([("shard", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("reps", pa.binary()), ("vectors", pa.binary()), ("ground", pa.binary()), ("layers", pa.int32()), ("upper", pa.binary()), ("entry", pa.int32())]))
 
-    return written(dealt.select("dim", "shard", "rep", "vec", "ids").repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, INDEX), "index")
+    own = _placed(dealt.select("dim", "shard", "rep", "vec", "ids"), known["shards"])
+    return written(own.groupBy("place", "dim", "shard").applyInArrow(build, INDEX), "index")
+
+
+def _placed(rows: DataFrame, shards: int) -> DataFrame:
+    """rows (dim, shard, ...), to be grouped by (place, dim, shard), with each shard in a partition of its own.
+
+    A hash of the shard would put several shards in some partitions and none in others, so place is a number whose hash is
+    known to lead to the shard's partition.
+    """
+    tasks = max(1, min(shards, MOST_TASKS))
+    # a row per task: of so many numbers each task has one but for a chance of e^-64 a task, which falls back on its own number
+    tried = rows.sparkSession.range(64 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("task")).agg(F.min("id").alias("place"))
+    dealt = rows.withColumn("task", F.pmod(F.col("dim") * F.lit(7919) + F.col("shard"), F.lit(tasks)).cast("int"))
+    return dealt.join(F.broadcast(tried), "task", "left").withColumn("place", F.coalesce("place", F.col("task").cast("long"))).drop("task").repartition(tasks, "place")
 
 
 def load(row: dict, links: int = LINKS) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
@@ -217,37 +244,51 @@ def load(row: dict, links: int = LINKS) -> tuple[Graph, np.ndarray, np.ndarray,
     return g.ready(), unit, ids, np.frombuffer(row["reps"], bool).reshape(ids.shape)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, width: int = SEARCH, block: int = QUERY_BLOCK, links: int = LINKS, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 5, width: int = SEARCH, links: int = LINKS, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query, by cosine, ties to the smaller id.
 
     A query's own id is no candidate.  Scores are exact cosines in double precision.  Rows that repeat an id and its
-    vector count once, among the vectors and among the queries; an id with several vectors is a candidate with each, and
+    direction count once, among the vectors and among the queries; an id with several directions is a candidate with each, and
     as a query has the nearest of them all.  Queries with an unsound vector or a null id have no rows, and so have those whose
     length no indexed vector has.
     """
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("query")).where(F.col("query_id").isNotNull() & _valid(F.col("query"))).distinct()
-    asked = asked.withColumn("dim", F.size("query"))
-    counts = asked.groupBy("dim").agg(F.ceil(F.count("*") / F.lit(block)).alias("blocks"))
-    asked = asked.join(F.broadcast(counts), "dim").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
-    shards = index.select("dim", "shard").join(F.broadcast(counts), "dim")
-    pairs = shards.select("dim", "shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    left = pairs.join(index, ["dim", "shard"]).select("dim", "shard", "block", "n", "ids", "reps", "vectors", "ground", "layers", "upper", "entry")
-    right = pairs.join(asked, ["dim", "block"]).select(F.col("dim").alias("d"), F.col("shard").alias("s"), F.col("block").alias("b"), "query_id", "query")
-
-    def look(key, held, own):
+    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("query")).where(F.col("query_id").isNotNull() & _valid(F.col("query")))
+    asked = asked.groupBy("query_id", _direction(F.col("query")).alias("way")).agg(F.min("query").alias("query")).select(F.size("query").alias("dim"), "query_id", "query")
+    count = index.count()
+    shards = index.groupBy("dim").agg(F.collect_list("shard").alias("shards"))
+    sent = asked.join(broadcast_if_small(shards, count), "dim").select("dim", F.explode("shards").alias("shard"), F.lit(1).alias("kind"), *[F.lit(None).cast(t).alias(n) for n, t in index.dtypes if n not in ("dim", "shard")], "query_id", "query")
+    kept = index.select("dim", "shard", F.lit(0).alias("kind"), *[n for n in index.columns if n not in ("dim", "shard")], F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("array<double>").alias("query"))
+    # a shard comes first in its group; should it not, queries wait for it
+    rows = _placed(kept.unionByName(sent), count).sortWithinPartitions("place", "dim", "shard", "kind")
+    names = [n for n in index.columns if n not in ("dim", "shard")]
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, waiting = None, []
+        for batch in batches:
+            kind = batch.column("kind").to_numpy()
+            first = np.flatnonzero(kind == 0)
+            if len(first):
+                shard = load({n: batch.column(n)[int(first[0])].as_py() for n in ["dim", *names]}, links)
+            own = batch.filter(pa.array(kind == 1)).select(["query_id", "query"])
+            if own.num_rows:
+                waiting.append(own)
+            if shard:
+                for part in waiting:
+                    yield hits(shard, part)
+                waiting = []
+
+    def hits(shard, own: pa.RecordBatch) -> pa.RecordBatch:
+        g, unit, names, have = shard
         ids, near, score = [], [], []
-        if held.num_rows and own.num_rows:
-            row = {c: held.column(c)[0].as_py() for c in held.column_names}
-            g, unit, names, have = load(row, links)
-            q = _unit(_rows(own.column("query")))
-            for name, exact, rough in zip(own.column("query_id").to_pylist(), q, q.astype(np.float32)):
-                found = [i for _, i in g.search(rough, width)]
-                sims = (unit[found] * exact).sum(axis=1)
-                cand = [(-s, int(c), s) for i, s in zip(found, sims.tolist()) for c in names[i][have[i]] if c != name]
-                for _, c, s in heapq.nsmallest(k, cand):
-                    ids.append(name), near.append(c), score.append(min(1.0, max(-1.0, s)))
-        return pa.table({"query_id": pa.array(ids, pa.int64()), "vec_id": pa.array(near, pa.int64()), "score": pa.array(score, pa.float64())})
-
-    hits = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("d", "s", "b")).applyInArrow(look, "query_id long, vec_id long, score double")
-    ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+        q = _unit(_rows(own.column("query")))
+        for name, exact, rough in zip(own.column("query_id").to_pylist(), q, q.astype(np.float32)):
+            found = [i for _, i in g.search(rough, width)]
+            sims = (unit[found] * exact).sum(axis=1)
+            cand = [(-s, int(c), s) for i, s in zip(found, sims.tolist()) for c in names[i][have[i]] if c != name]
+            for _, c, s in heapq.nsmallest(k, cand):
+                ids.append(name), near.append(c), score.append(min(1.0, max(-1.0, s)))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(near, pa.int64()), pa.array(score, pa.float64())], ["query_id", "vec_id", "score"])
+
+    found = rows.groupBy("place", "dim", "shard").applyInArrow(look, "query_id long, vec_id long, score double")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
