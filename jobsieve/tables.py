@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local: list[str] = []
 
@@ -39,3 +40,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, key: list[str], n: str, total: int, how: str = "left", most: int = 200_000) -> DataFrame:
+    """rows joined (left or inner) with ``keyed``, which has one row per key and, in column n, how many rows share the key.
+
+    Of ``total`` rows at most ``most`` keys can have more than total / most, whatever the data: those are joined by
+    broadcast, so a key that a third of all rows share is no task of its own, and the rest are shuffled.  If all of
+    keyed is as small, it is broadcast as a whole.  Both inputs are read more than once: write them first.
+    """
+    share = max(50, total // most)
+    often = F.col(n) > share
+    size = keyed.agg(F.count("*").alias("every"), F.count_if(often).alias("often")).first()
+    if size["every"] <= most:
+        return rows.join(F.broadcast(keyed), key, how)
+    if not size["often"]:
+        return rows.join(keyed, key, how)
+    hot = F.broadcast(keyed.where(often))
+    rest = rows.join(F.broadcast(keyed.where(often).select(*key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(keyed.where(~often), key, how))
