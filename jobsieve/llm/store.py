@@ -29,16 +29,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return tables.written(df, name)
 
 
-def removed(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes a table that ``written`` made and that nothing reads any more."""
+def removed(spark: SparkSession, *frames: DataFrame) -> None:
+    """Deletes tables that ``written`` made and that nothing reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     shared = path(shared_dir(spark)).toUri().getPath()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
         own = path(folder)
         if own.getParent().toUri().getPath() == shared:
             own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
+def deleted(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int = 64, most_bytes: int = 64 << 20):
     """df with a broadcast hint if its counted rows, of about row_bytes each, take at most most_bytes; else as it is, for a
     shuffled join."""

@@ -64,6 +64,43 @@ def test_a_large_group_with_members_at_all_distances(spark):
     assert run(spark, docs, block=16) == brute(docs)
 
 
+def test_large_buckets_are_dealt_by_a_second_band(spark):
+    """Texts that share a long passage, in groups of near copies: few bands tell all of them apart."""
+    r = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    docs = []
+    for _ in range(25):
+        own = [f"w{r.randrange(10**6)}" for _ in range(20)]
+        docs += [edited(own, r, rate) + " " + " ".join(passage) for rate in (0, 0.05, 0.1)]
+    docs = list(enumerate(docs))
+    want = brute(docs)
+    assert 3 < len({c for _, c, _ in want.values()})
+    assert run(spark, docs, block=8, large=4) == run(spark, docs, block=8, large=10**9) == want
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark):
+    a, q = " ".join(f"a{i}" for i in range(30)), " ".join(f"q{i}" for i in range(30))
+    rows = [(1, a), (1, q), (2, a), (3, q + " more"), (4, q), (5, "other text that is like none of them"), (5, a + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in N.near_duplicates(df).collect())
+    assert got == sorted([(1, 26, 1, True), (1, 26, 1, True), (2, 26, 1, False), (3, 27, 1, False), (4, 26, 1, False), (5, 4, 5, True), (5, 27, 1, False)])
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_BYTES", 1 << 12)
+    rows = [(1, i, 3000, 300) for i in range(2, 3000)] + [(5000, 5001, 1, 1 << 20), (5002, 5003, 1, 1 << 20)]
+    dealt = N.star_blocks(spark.createDataFrame(rows, "a long, b long, n long, bytes long")).collect()
+    sizes = {}
+    for r in dealt:
+        sizes.setdefault(r["blk"], []).append(r["a"][0])
+    assert len(dealt) == len(rows) and max(map(len, sizes.values())) < 40
+    assert sorted(map(len, (v for v in sizes.values() if v[0] >= 5000))) in ([1, 1], [2])
+    r = random.Random(1)
+    docs = list(enumerate(edited([f"w{r.randrange(10**6)}" for _ in range(n)], r, 0) for n in (50, 50, 3000, 3000)))
+    docs += [(i + 10, t + " end") for i, t in docs]
+    assert run(spark, docs) == brute(docs)
+
+
 def test_odd_texts(spark, odd_docs, no_docs):
     assert N.near_duplicates(no_docs).count() == 0
     rows = N.near_duplicates(odd_docs).collect()
