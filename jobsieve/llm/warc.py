@@ -1,9 +1,9 @@
 """Web archives: a legacy ARC writer, an ARC to WARC converter, and a WARC writer and reader.
 
 Archives are written by Spark's text writer (its bytes are written as they are, and its line separator is what
-ends a record), so they commit like any other Spark output, to any store that Spark can write.  Each file is read
-back whole by ``binaryFile``; the number of files follows the volume, so that each stays near ``FILE_BYTES`` before
-compression.
+ends the last record of a file), so they commit like any other Spark output, to any store that Spark can write.  A file
+is one value of that writer, filled with records up to ``FILE_BYTES`` before compression, and is read back whole by
+``binaryFile``.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import broadcast_if_small, new_path, written
+from ..tables import join_counted
+from .store import broadcast_if_small, deleted, new_path, removed, written
 
 FILE_BYTES = 16 << 20
 #: Payloads of fewer bytes are never revisits.
@@ -163,15 +164,27 @@ def warc_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 # --- Spark -------------------------------------------------------------------------------------------------------
 
 
-def write_records(records: DataFrame, path: str, separator: str, per_file: int) -> None:
-    """Writes the one binary column ``record`` as gzip-compressed archive files of at most ``per_file`` records;
-    separator ends each record."""
-    writer = records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", separator)
-    writer.option("maxRecordsPerFile", per_file).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+def write_files(files: DataFrame, path: str, separator: str) -> None:
+    """Writes each value of the one binary column ``file`` as a gzip-compressed archive file, separator behind it."""
+    writer = files.select(F.col("file").cast("string").alias("value")).write.option("lineSep", separator).option("maxRecordsPerFile", 1)
+    writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
-def _per_file(rows: int, volume: int, file_bytes: int) -> int:
-    return max(2, rows * file_bytes // max(volume, 1))
+def _filled(records: Iterator[bytes], separator: bytes, file_bytes: int, opening: bytes = b"") -> Iterator[pa.RecordBatch]:
+    """A batch for each file: records up to file_bytes, or one that is longer, behind the opening."""
+    held, size = [], 0
+
+    def file() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([separator.join(([opening] if opening else []) + held)], pa.binary())], ["file"])
+
+    for record in records:
+        if held and size + len(record) > file_bytes:
+            yield file()
+            held, size = [], 0
+        held.append(record)
+        size += len(record) + len(separator)
+    if held:
+        yield file()
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -207,44 +220,42 @@ def _in_parts(rows: Iterator[tuple], schema: pa.Schema, most: int = 8 << 20) ->
 def pages_to_arc(pages: DataFrame, path: str, version: int = 1, file_bytes: int = FILE_BYTES) -> None:
     """Writes (page_id, url, html) rows as ARC files of the given version; a null html is an empty payload."""
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
-    known = own.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length("html") + 400), F.lit(0)).alias("volume")).first()
-    per_file = _per_file(known["rows"], known["volume"], file_bytes)
-    schema = pa.schema([("record", pa.binary())])
 
     def encode(batches):
-        def rows():
-            n = 0
+        def records():
             for batch in batches:
                 for key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                    if n % per_file == 0:  # the writer begins a new file here
-                        n += 1
-                        yield (arc_heading(version, "pages.arc"),)
-                    n += 1
-                    yield (arc_record(version, "" if key is None else str(key), url, html.encode()),)
+                    yield arc_record(version, "" if key is None else str(key), url, html.encode())
+
+        yield from _filled(records(), b"\n", file_bytes, arc_heading(version, "pages.arc"))
+
+    write_files(own.mapInArrow(encode, "file binary"), path, "\n")
 
-        yield from _in_parts(rows(), schema)
 
-    write_records(own.mapInArrow(encode, "record binary"), path, "\n", per_file)
+def _captures(content: bytes) -> Iterator[tuple[int | None, str, str, bytes, bytes]]:
+    """(key, url, date, head, payload) of the records of an ARC file, but for its heading."""
+    for fields, block in arc_records(_unpacked(content)):
+        if not fields["url"].startswith("filedesc://"):
+            head, payload = split_http(block)
+            key = m[1] if (m := re.search(rb"(?im)^X-Record-Key: *(-?\d+)\r?$", head)) else None
+            yield int(key) if key else None, fields["url"], iso_time(fields["date"]), head, payload
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of ARC files as (key, url, date, head, payload, payload_bytes, payload_digest)."""
-    schema = pa.schema([("key", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("head", pa.binary()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
+def index_arc(spark: SparkSession, path: str) -> DataFrame:
+    """(path, nth, key, url, date, payload_bytes, payload_digest): the records of ARC files, nth in their file, without
+    their payloads."""
+    schema = pa.schema([("path", pa.string()), ("nth", pa.int64()), ("key", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
 
     def decode(batches):
         def rows():
             for batch in batches:
-                for column in batch.column(1):
-                    for fields, block in arc_records(_unpacked(column.as_py())):
-                        if fields["url"].startswith("filedesc://"):
-                            continue
-                        head, payload = split_http(block)
-                        key = m[1] if (m := re.search(rb"(?im)^X-Record-Key: *(-?\d+)\r?$", head)) else None
-                        yield (int(key) if key else None, fields["url"], iso_time(fields["date"]), head, payload, len(payload), sha1_base32(payload))
+                for name, content in zip(*batch.columns):
+                    for nth, (key, url, date, _, payload) in enumerate(_captures(content.as_py())):
+                        yield name.as_py(), nth, key, url, date, len(payload), sha1_base32(payload)
 
         yield from _in_parts(rows(), schema)
 
-    return read_files(spark, path).mapInArrow(decode, "key long, url string, date string, head binary, payload binary, payload_bytes long, payload_digest string")
+    return read_files(spark, path).mapInArrow(decode, "path string, nth long, key long, url string, date string, payload_bytes long, payload_digest string")
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
@@ -252,33 +263,36 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_revisit_byte
 
     Identifiers are UUIDs (version 5) of URL, time and key, so a second run gives the same ones.  Of the records of
     one payload (equal digest and length) of at least ``min_revisit_bytes``, that with the smallest key stays a
-    response, the others become revisits of it.  The firsts are pre-aggregated by digest and joined back, so a
-    payload that a third of all records share is no task of its own.
+    response, the others become revisits of it.  Which they are is found on an index without payloads, where the few
+    digests that very many records share are joined by broadcast; each file then gets the list of its revisits, so
+    payloads are never dealt by digest.
     """
-    records = read_arc(spark, arc_path)
-    slim = written(records.select("key", "url", "date", "payload_bytes", "payload_digest"), "arc-index")
-    first = slim.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "url", "date")).alias("first"), F.count("*").alias("n"))
-    again = first.where("n > 1").select("payload_digest", "payload_bytes", F.col("first.key").alias("first_key"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
-    joined = records.join(broadcast_if_small(again, again.count(), 300), ["payload_digest", "payload_bytes"], "left")
-    known = slim.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.col("payload_bytes") + 800), F.lit(0)).alias("volume")).first()
-    schema = pa.schema([("record", pa.binary())])
+    index = written(index_arc(spark, arc_path), "arc-index")
+    first = index.where(F.col("payload_bytes") >= min_revisit_bytes).groupBy("payload_digest", "payload_bytes").agg(F.min(F.struct(F.col("key").isNull().alias("none"), "key", "url", "date")).alias("first"), F.count("*").alias("n"))
+    again = written(first.where("n > 1").select("payload_digest", "payload_bytes", "n", F.col("first.key").alias("first_key"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date")), "arc-firsts")
+    met = join_counted(index, again, ["payload_digest", "payload_bytes"], "n", index.count(), "inner").where(~F.col("first_key").eqNullSafe(F.col("key")))
+    # a list has no more entries than its file has records
+    lists = written(met.groupBy("path").agg(F.collect_list(F.struct("nth", "first_key", "first_url", "first_date")).alias("revisits"), F.count("*").alias("n")), "arc-revisits")
+    size = lists.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def encode(batches):
-        def rows():
+        def records():
             for batch in batches:
-                for x in batch.to_pylist():
-                    own = record_id(x["url"], x["date"], str(x["key"]))
-                    extra = {} if x["key"] is None else {"X-Record-Key": str(x["key"])}
-                    kind = "response"
-                    if x["first_url"] is not None and x["first_key"] != x["key"]:
-                        kind = "revisit"
-                        extra |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": record_id(x["first_url"], x["first_date"], str(x["first_key"])), "WARC-Refers-To-Target-URI": x["first_url"], "WARC-Refers-To-Date": x["first_date"], "X-Refers-To-Key": str(x["first_key"]), "X-Payload-Length": str(x["payload_bytes"])}
-                    yield (warc_record(kind, own, x["url"], x["date"], x["payload_digest"], x["head"], x["payload"], extra),)
+                for content, revisits in zip(*batch.columns):
+                    of = {r["nth"]: r for r in revisits.as_py() or ()}
+                    for nth, (key, url, date, head, payload) in enumerate(_captures(content.as_py())):
+                        extra = {} if key is None else {"X-Record-Key": str(key)}
+                        kind, x = "response", of.get(nth)
+                        if x:
+                            kind = "revisit"
+                            extra |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": record_id(x["first_url"], x["first_date"], str(x["first_key"])), "WARC-Refers-To-Target-URI": x["first_url"], "WARC-Refers-To-Date": x["first_date"], "X-Refers-To-Key": str(x["first_key"]), "X-Payload-Length": str(len(payload))}
+                        yield warc_record(kind, record_id(url, date, str(key)), url, date, sha1_base32(payload), head, payload, extra)
 
-        yield from _in_parts(rows(), schema)
+        yield from _filled(records(), b"\r\n\r\n", file_bytes)
 
-    kept = joined.withColumn("payload", F.when(F.col("first_url").isNull() | F.col("first_key").eqNullSafe(F.col("key")), F.col("payload")).otherwise(F.lit(b"")))
-    write_records(kept.mapInArrow(encode, "record binary"), warc_path, "\r\n\r\n", _per_file(known["rows"], known["volume"], file_bytes))
+    files = read_files(spark, arc_path).join(broadcast_if_small(lists.select("path", "revisits"), size, 300), "path", "left").select("content", "revisits")
+    write_files(files.mapInArrow(encode, "file binary"), warc_path, "\r\n\r\n")
+    removed(spark, index, again, lists)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -318,4 +332,5 @@ def archive_pages(pages: DataFrame, arc_version: int = 1, min_revisit_bytes: int
     arc, warc = new_path(spark, "arc"), new_path(spark, "warc")
     pages_to_arc(pages, arc, arc_version, file_bytes)
     convert(spark, arc, warc, min_revisit_bytes, file_bytes)
+    deleted(spark, arc)
     return read_warc(spark, warc)

@@ -56,6 +56,20 @@ def test_many_copies_and_all_ids(spark):
     assert got == {i: hot if h == "hot" and i != hot else None for i, _, h in rows}
 
 
+def test_joins_beyond_the_bound_of_broadcasts(spark, monkeypatch):
+    plain = W.join_counted
+    monkeypatch.setattr(W, "join_counted", lambda *a: plain(*a, most=2))
+    monkeypatch.setattr(W, "broadcast_if_small", lambda df, *_: df)
+    test_many_copies_and_all_ids(spark)
+
+
+def test_files_are_filled_by_bytes():
+    records = [b"x" * n for n in (10, 10, 500, 10, 80, 30)]
+    files = [b.column(0)[0].as_py() for b in W._filled(iter(records), b"\n", 100, b"head")]
+    assert files == [b"\n".join([b"head", *records[:2]]), b"head\n" + records[2], b"\n".join([b"head", *records[3:5]]), b"head\n" + records[5]]
+    assert not list(W._filled(iter([]), b"\n", 100, b"head"))
+
+
 def test_arc_by_declared_lengths():
     two = W.arc_heading(2, "f.arc") + b"\n" + W.arc_record(2, "5", "http://x/a b", b"one\nhttp://fake 1 2 t 9\n") + b"\n" + W.arc_record(2, "6", "http://y", b"") + b"\n"
     got = list(W.arc_records(two))
