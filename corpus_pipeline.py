@@ -17,6 +17,10 @@ from jobsieve.llm.queries import BYTE_BPE, BYTE_RANKS
 from jobsieve.llm.store import broadcast_if_small, table, written
 
 
+#: Items of fewer words say nothing of a document that holds them: half of all documents hold the word "the".
+LEAST_ITEM_WORDS = 3
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs and a column that tells its rows apart: doc_id, or where ids are null or repeated a new one, which follows
     doc_id, nulls last."""
@@ -56,9 +60,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold an item of the benchmark; rows that repeat an id or have none are judged by their texts."""
+    """Drops documents that hold an item of the benchmark, of at least LEAST_ITEM_WORDS words; rows that repeat an id or have
+    none are judged by their texts."""
     keyed, key = _keyed(docs)
-    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col=key)
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), least_words=LEAST_ITEM_WORDS, id_col=key)
     return _without(keyed, key, found.select(F.col("doc_id").alias(key))).select(docs.columns)
 
 
