@@ -112,16 +112,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def in_buckets(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(key, node) for every band of every class."""
+    """(key, node, doc_id) for every band of every class."""
 
     def spread(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 keys = band_keys(_matrix(part.column(1)), bands, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(part.column(0).to_numpy(), bands))], ["key", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), *(pa.array(np.repeat(part.column(c).to_numpy(), bands)) for c in (0, 2))], ["key", "node", "doc_id"])
 
-    return classes.select("node", "sig").mapInArrow(spread, "key long, node long")
+    return classes.select("node", "sig", "doc_id").mapInArrow(spread, "key long, node long, doc_id long")
 
 
 def survivors(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: list[int], batch: int) -> np.ndarray:
@@ -336,8 +336,9 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     one = prints.where(known).groupBy("print").agg(F.min(F.struct("doc_id", "hash", "bytes")).alias("x"), F.count("*").alias("n"), F.first("sig").alias("sig"))
     classes = written(one.select(F.monotonically_increasing_id().alias("node"), "x.*", "n", "print", "sig"), "classes")
     rowed = in_buckets(classes, bands, rows)
-    shared = written(rowed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("rep")).where("n > 1"), "shared")
-    buckets = written(join_counted(rowed, shared, ["key"], "n", classes.count() * bands, "inner", 1_000_000), "buckets")
+    # the star's centre is the class of the smallest id, which copies are often made of
+    shared = written(rowed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("node", "doc_id").alias("rep")).where("n > 1"), "shared")
+    buckets = written(join_counted(rowed.select("key", "node"), shared, ["key"], "n", classes.count() * bands, "inner", 1_000_000), "buckets")
 
     pairs = written(buckets.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = written(star_survivors(pairs, classes, least, BATCH), "stars")
