@@ -99,7 +99,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for text in texts:
-            if not self.marks or not self.marks.search(text):
+            if not any(mark in text for mark in self.added):
                 yield self._between(text)
             elif self.plain:
                 yield b"".join(self.added[part] if k % 2 else self._between(part) for k, part in enumerate(self.marks.split(text)))
