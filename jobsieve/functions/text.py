@@ -24,6 +24,20 @@ def mentions(c: Column, tokens: Iterable[str]) -> Column:
     return F.lower(text(c)).rlike(tokens_pattern(own)) if own else F.lit(False)
 
 
+def terms_in(c: Column, tokens: Iterable[str]) -> Column:
+    """The distinct tokens that ``mentions`` finds one by one, as an array, from one pass over the text.
+
+    At each place the longest token is taken; those that it holds itself are added from a table.
+    """
+    own = sorted(set(tokens), key=lambda t: (-len(t), t))
+    if not own:
+        return F.array().cast("array<string>")
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text(c)), F.lit(f"(?<![a-z0-9])(?=({'|'.join(map(re.escape, own))})(?![a-z0-9]))"), F.lit(1)))
+    held = {t: [x for x in own if re.search(rf"(?<![a-z0-9]){re.escape(x)}(?![a-z0-9])", t)] for t in own}
+    table = F.create_map(*[x for t, inner in held.items() for x in (F.lit(t), F.array(*map(F.lit, inner)))])
+    return F.array_distinct(F.flatten(F.transform(found, lambda t: F.element_at(table, t))))
+
+
 #: A range or number of years near the word experience, or a requirement like "3+ years".
 YEARS = r"(?:^|[^0-9a-z])([0-9]{1,2})\s*(?:\+|(?:-|–|to)\s*([0-9]{1,2}))?\s*\+?\s*(?:years|year|yrs|yr)(?:[^a-z]|$)"
 AGES = r"(?:for|over|past|last|than)\s+(?:the\s+)?(?:past\s+|last\s+|more\s+than\s+)?[0-9]{1,3}\s*\+?\s*(?:years|year|yrs|yr)(?:[^a-z]|$)"

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import least_years, mentions, text
+from ..functions.text import least_years, mentions, terms_in, text
 from ..rules import BACKUP_TIER, DEFAULT, Rules
+from ..tables import written
+
+#: Rows of common paragraphs that are broadcast at most.
+COMMON = 200_000
 
 
 def paragraphs(postings: DataFrame, key: str, source: str, body: str) -> DataFrame:
@@ -23,6 +27,13 @@ def common_paragraphs(paras: DataFrame, key: str, source: str, least: int, share
     return found.select(source, "para_id")
 
 
+def without_common(paras: DataFrame, common: DataFrame, source: str) -> DataFrame:
+    """paras without the common ones, which are counted and broadcast if few, so that rows of a very common paragraph
+    never meet in one task."""
+    own = written(common, "common")
+    return paras.join(F.broadcast(own) if own.count() <= COMMON else own, [source, "para_id"], "left_anti")
+
+
 def without_boilerplate(postings: DataFrame, rules: Rules = DEFAULT, key: str = "job_id", source: str = "source", body: str = "text") -> DataFrame:
     """postings with ``own_text``: body without the paragraphs that most postings of the source share.
 
@@ -31,7 +42,7 @@ def without_boilerplate(postings: DataFrame, rules: Rules = DEFAULT, key: str =
     paras = paragraphs(postings, key, source, body)
     sizes = postings.groupBy(source).agg(F.count("*").alias("n"))
     common = common_paragraphs(paras, key, source, rules.boilerplate_postings, rules.boilerplate_share, sizes)
-    left = paras.join(common, [source, "para_id"], "left_anti")
+    left = without_common(paras, common, source)
     own = left.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "para"))), lambda x: x["para"]), "\n").alias("own_text"))
     return postings.join(own, key, "left").withColumn("own_text", text(F.col("own_text")))
 
@@ -55,38 +66,62 @@ def relevant(body: Column, rules: Rules = DEFAULT) -> Column:
     return mentions(body, dict.fromkeys(terms))
 
 
-def reject_reason(rules: Rules = DEFAULT) -> Column:
-    """The first rule that a posting (title, department, text, own_text) fails; null if it qualifies."""
+def tier_terms(rules: Rules = DEFAULT) -> dict[str, int]:
+    """Each term of the tiers and its best tier."""
+    return {t: number for number in sorted(rules.tiers, reverse=True) for t in rules.tiers[number]}
+
+
+def every_term(rules: Rules = DEFAULT) -> list[str]:
+    return list(dict.fromkeys([*tier_terms(rules), *rules.relevance, *rules.demoted]))
+
+
+def _any(found: Column, terms) -> Column:
+    return F.arrays_overlap(found, F.array(*map(F.lit, terms))) if terms else F.lit(False)
+
+
+def reject_reason(rules: Rules = DEFAULT, found: Column | None = None) -> Column:
+    """The first rule that a posting (title, department, text, own_text) fails; null if it qualifies.
+
+    found: the terms of title and own_text, of ``every_term``, if they are known already.
+    """
     title, place, own = F.col("title"), F.concat_ws(" ", "title", "department"), F.concat_ws("\n", "title", "own_text")
-    top = [t for number in sorted(rules.tiers) for t in rules.tiers[number]]
+    found = terms_in(own, every_term(rules)) if found is None else found
+    near = _any(found, [*rules.relevance, *tier_terms(rules)])
     whole = relevant(F.concat_ws("\n", "title", "text"), rules)
     return (
         F.when(mentions(title, rules.senior), "senior")
         .when(mentions(place, rules.sales), "sales")
         .when(mentions(place, rules.marketing), "marketing")
         .when(~early_career(title, F.col("text"), rules), "experience")
-        .when(~relevant(own, rules) & whole, "boilerplate")
-        .when(mentions(own, rules.infrastructure) & ~mentions(own, top), "infrastructure")
-        .when(~relevant(own, rules), "relevance")
+        .when(~near & whole, "boilerplate")
+        .when(mentions(own, rules.infrastructure) & ~_any(found, list(tier_terms(rules))), "infrastructure")
+        .when(~near, "relevance")
     )
 
 
-def fit_score(rules: Rules = DEFAULT) -> Column:
-    """How many of the tiers' terms a posting has, those of a better tier counting more."""
-    own = F.lower(F.concat_ws("\n", "title", "own_text"))
-    parts = [mentions(own, [t]).cast("double") * (10.0 ** (3 - number)) for number in sorted(rules.tiers) for t in rules.tiers[number]]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out + p
-    return out
+def fit_score(found: Column, rules: Rules = DEFAULT) -> Column:
+    """How many of the tiers' terms are among those found, those of a better tier counting more."""
+    terms = [t for own in rules.tiers.values() for t in own]
+    worth = {t: sum(10.0 ** (3 - number) for number in rules.tiers if t in rules.tiers[number]) for t in terms}
+    table = F.create_map(*[F.lit(x) for kv in worth.items() for x in kv])
+    return F.aggregate(found, F.lit(0.0), lambda total, t: total + F.coalesce(F.element_at(table, t), F.lit(0.0)))
+
+
+def best_tier(found: Column, rules: Rules = DEFAULT) -> Column:
+    """``tier`` from the terms found."""
+    table = F.create_map(*[F.lit(x) for kv in tier_terms(rules).items() for x in kv])
+    best = F.coalesce(F.array_min(F.transform(found, lambda t: F.element_at(table, t))), F.lit(BACKUP_TIER))
+    return F.when(_any(found, rules.demoted), BACKUP_TIER).otherwise(best).cast("int")
 
 
 def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """postings with qualifies, reject_reason, tier (null unless it qualifies), fit_score and rules_version.
 
-    The one place where another classifier could stand, as a function from DataFrame to DataFrame.
+    The terms of a posting's own text are found once, for all rules.  The one place where another classifier could stand,
+    as a function from DataFrame to DataFrame.
     """
-    own = without_boilerplate(postings, rules).withColumn("reject_reason", reject_reason(rules))
+    found = F.col("_terms")
+    own = without_boilerplate(postings, rules).withColumn("_terms", terms_in(F.concat_ws("\n", "title", "own_text"), every_term(rules)))
+    own = own.withColumn("reject_reason", reject_reason(rules, found))
     good = F.col("reject_reason").isNull()
-    body = F.concat_ws("\n", "title", "own_text")
-    return own.withColumns({"qualifies": good, "tier": F.when(good, tier(body, rules)).cast("int"), "fit_score": F.when(good, fit_score(rules)), "rules_version": F.lit(rules.version)})
+    return own.withColumns({"qualifies": good, "tier": F.when(good, best_tier(found, rules)), "fit_score": F.when(good, fit_score(found, rules)), "rules_version": F.lit(rules.version)}).drop("_terms")

@@ -21,21 +21,32 @@ def discovery_type(duplicate: Column, processed: Column, baseline: Column, catch
     )
 
 
+def met(rows: DataFrame, seen_source: DataFrame, history: DataFrame) -> DataFrame:
+    """rows (job_id, source) with ``seen``, ``baseline`` and ``late`` as the state has them or, for identities met for
+    the first time, as they will be.
+
+    Such an identity is late if its source's last run wasn't ok (or there was none), since it may be older than this run.
+    It stays so in the state: one whose details fail at first is late also when they come.
+    """
+    state = seen_source.select("job_id", F.lit(True).alias("seen"), "baseline", F.col("late").alias("_late"))
+    last = history.select("source", F.col("status").alias("_last"))
+    own = rows.join(state, "job_id", "left").join(F.broadcast(last), "source", "left")  # last: one row per source
+    no = F.lit(False)
+    late = F.when(F.col("seen"), F.coalesce("_late", no)).otherwise(F.coalesce(F.col("_last"), F.lit("not_run")) != "ok")
+    return own.withColumns({"seen": F.coalesce("seen", no), "baseline": F.coalesce("baseline", no), "late": late}).drop("_late", "_last")
+
+
 def discovered(found: DataFrame, seen_jobs: DataFrame, seen_source: DataFrame, history: DataFrame, baseline_run: bool) -> DataFrame:
     """found (job_id, canonical_id, source, duplicate) with discovery_type.
 
     A job known under another source's identity is a duplicate, under its own it was processed.  An identity first
-    met in a baseline run stays baseline.  An identity met for the first time is a catch-up if its source's last run
-    wasn't ok (or there was none), since it may be older than this run.
+    met in a baseline run stays baseline, one that was late stays a catch-up (see ``met``).
     """
-    known = seen_jobs.groupBy("canonical_id").agg(F.first("source").alias("_source"), F.lit(True).alias("_known"))
-    state = seen_source.select("job_id", F.col("baseline").alias("_baseline"), F.lit(True).alias("_seen"))
-    last = history.select("source", F.col("status").alias("_last"))
-    own = found.join(known, "canonical_id", "left").join(state, "job_id", "left").join(F.broadcast(last), "source", "left")  # last: one row per source
+    known = seen_jobs.groupBy("canonical_id").agg(F.min("source").alias("_source"), F.lit(True).alias("_known"))
+    own = met(found.join(known, "canonical_id", "left"), seen_source, history)
     other = F.col("_known") & (F.col("_source") != F.col("source"))
-    late = F.col("_seen").isNull() & (F.coalesce(F.col("_last"), F.lit("not_run")) != "ok")
-    kind = discovery_type(F.col("duplicate") | F.coalesce(other, F.lit(False)), F.col("_known"), F.lit(baseline_run) | F.coalesce("_baseline", F.lit(False)), late)
-    return own.withColumn("discovery_type", kind).drop("_source", "_known", "_baseline", "_seen", "_last")
+    kind = discovery_type(F.col("duplicate") | F.coalesce(other, F.lit(False)), F.col("_known"), F.lit(baseline_run) | F.col("baseline"), F.col("late"))
+    return own.withColumn("discovery_type", kind).drop("_source", "_known", "seen", "baseline", "late")
 
 
 def decision(found: DataFrame, kind: str = "discovery_type") -> DataFrame:

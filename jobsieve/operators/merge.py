@@ -23,6 +23,7 @@ def merged_seen(old: DataFrame, run: DataFrame) -> DataFrame:
         F.min("first_seen_run").alias("first_seen_run"),
         F.max("last_seen_run").alias("last_seen_run"),
         F.bool_or("baseline").alias("baseline"),
+        F.bool_or("late").alias("late"),
     )
 
 

@@ -6,18 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..tables import written
-
-
-def keepers(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """(key, keeper): of the rows of a key the values of ``order`` of the first one.  An aggregate with a partial
-    step, so a key that very many rows share is no task of its own, unlike a window."""
-    return df.groupBy(key).agg(F.min(F.struct(*order)).alias("keeper"))
+from ..tables import join_counted, written
 
 
 def mark_duplicates(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """df with ``duplicate``: whether another row of the key comes first; order must tell all rows apart."""
-    return df.join(keepers(df, key, order), key).withColumn("duplicate", F.struct(*order) != F.col("keeper")).drop("keeper")
+    """df with ``duplicate``: whether another row of the key comes first; order must tell all rows apart.  A row without a
+    key is no duplicate.
+
+    Only keys of several rows are joined back, those that very many rows share by broadcast.
+    """
+    shared = written(df.groupBy(key).agg(F.min(F.struct(*order)).alias("keeper"), F.count("*").alias("_n")).where(F.col("_n") > 1), "keepers")
+    total = shared.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    marked = join_counted(df, shared, [key], "_n", total)
+    return marked.withColumn("duplicate", F.coalesce(F.struct(*order) != F.col("keeper"), F.lit(False))).drop("keeper", "_n")
 
 
 def keep_first(df: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -46,7 +46,7 @@ def evaluate(listings: DataFrame, details: DataFrame, state: dict[str, DataFrame
     got = identified(details).where((F.coalesce("fetch_status", F.lit("ok")) == "ok") & F.col("title").isNotNull() & F.col("text").isNotNull())
     got = _one_per_job(gate.fetch(gated, got).select("job_id", "title", "department", "text", "posted_at"), ["posted_at"])
     full = got.join(gated.select("job_id", "canonical_id", "source", "url", "location"), "job_id")
-    found = classify.classify(full, rules)
+    found = written(classify.classify(full, rules), "classified")  # read by the ranks, the duplicates and the rest
     good = rank.mark_duplicates(found.where("qualifies"), "canonical_id", ["source", "job_id"])
     good = discovery.discovered(good, state["seen_jobs"], state["seen_source_jobs"], state["source_status"], baseline)
     ranked = rank.global_rank(good, [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()])
@@ -89,29 +89,48 @@ def run(spark: SparkSession, root: str, registry: DataFrame, listings: DataFrame
 def next_state(state: dict[str, DataFrame], gated: DataFrame, scanned: DataFrame, stored: DataFrame, status: DataFrame, name: str, baseline: bool) -> dict[str, DataFrame]:
     """The state after a run.  Sources that failed are in no listing, so their rows stay as they are."""
     resolved = stored.select("job_id", F.lit(gate.RESOLVED).alias("_status")).distinct()
-    tried = gated.join(resolved, "job_id", "left").select("job_id", "source", F.coalesce("_status", F.lit(gate.UNRESOLVED)).alias("status"), F.lit(1).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(baseline).alias("baseline"))
+    tried = discovery.met(gated.select("job_id", "source"), state["seen_source_jobs"], state["source_status"]).join(resolved, "job_id", "left")
+    tried = tried.select("job_id", "source", F.coalesce("_status", F.lit(gate.UNRESOLVED)).alias("status"), F.lit(1).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(baseline).alias("baseline"), "late")
     again = _one_per_job(identified(scanned), ["scanned_at"]).join(gated.select("job_id"), "job_id", "left_anti")
-    again = again.select("job_id", "source", F.lit(gate.RESOLVED).alias("status"), F.lit(0).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(False).alias("baseline"))
+    again = again.select("job_id", "source", F.lit(gate.RESOLVED).alias("status"), F.lit(0).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(False).alias("baseline"), F.lit(False).alias("late"))
     jobs = stored.where("qualifies and not duplicate").select("canonical_id", "job_id", "source", "tier", F.lit(name).alias("first_seen_run"), "discovery_type", "rules_version")
     last = status.select("source", "status", F.lit(name).alias("run_id"))
     history = state["source_status"].join(last.select("source"), "source", "left_anti").unionByName(last)
     return {"seen_source_jobs": merge.merged_seen(state["seen_source_jobs"], tried.unionByName(again)), "seen_jobs": merge.merged_jobs(state["seen_jobs"], jobs), "source_status": history}
 
 
-def reclassify(spark: SparkSession, root: str, run_name: str, rules: Rules, suffix: str = "reclassified") -> tuple[str, DataFrame]:
-    """Stored postings of a run under other rules: a new folder, tiers in the state moved, nobody notified.
+def reclassified(old: DataFrame, seen_jobs: DataFrame, rules: Rules, run_name: str) -> tuple[DataFrame, DataFrame]:
+    """(postings, seen_jobs): stored postings under other rules, with old_tier, and the state that follows from them.
 
-    Returns the new folder's run id and (job_id, old_tier, new_tier) of the postings whose tier differs.
+    Known jobs get their new tier; a job that newly qualifies enters the state as processed, so that the same job from
+    another source is a duplicate later.  One that no longer qualifies stays known.
     """
-    root = root.rstrip("/")
-    name, store = f"{run_name}-{suffix}", StateStore(spark, f"{root}/state")
     inputs = ["job_id", "canonical_id", "source", "url", "location", "title", "department", "text", "posted_at"]
-    old = read_run(spark, root, run_name)
-    before = old.select("job_id", F.col("tier").alias("old_tier"), F.coalesce("duplicate", F.lit(False)).alias("duplicate"), "discovery_type")
-    found = classify.classify(old.select(*inputs), rules).join(before, "job_id")
+    before = old.select("job_id", F.col("tier").alias("old_tier"), "discovery_type")
+    found = written(classify.classify(old.select(*inputs), rules).join(before, "job_id"), "classified")
     kind = F.coalesce("discovery_type", F.lit("previously_processed"))
-    good = rank.global_rank(found.where("qualifies").withColumn("discovery_type", kind), [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()])
+    good = rank.mark_duplicates(found.where("qualifies").withColumn("discovery_type", kind), "canonical_id", ["source", "job_id"])
+    good = rank.global_rank(good, [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()])
     every = written(good.unionByName(found.where(~F.col("qualifies")), allowMissingColumns=True), "reclassified")
+    moved = every.where("tier is not null").groupBy("canonical_id").agg(F.min("tier").alias("_tier"))
+    jobs = seen_jobs.join(moved, "canonical_id", "left").withColumn("rules_version", F.when(F.col("_tier").isNotNull(), rules.version).otherwise(F.col("rules_version"))).withColumn("tier", F.coalesce("_tier", "tier")).drop("_tier")
+    fresh = every.where("qualifies and not duplicate").join(seen_jobs.select("canonical_id"), "canonical_id", "left_anti")
+    fresh = fresh.select("canonical_id", "job_id", "source", "tier", F.lit(run_name).alias("first_seen_run"), F.lit("previously_processed").alias("discovery_type"), "rules_version")
+    return every, merge.merged_jobs(jobs, fresh)
+
+
+def reclassify(spark: SparkSession, root: str, run_name: str, rules: Rules, suffix: str = "reclassified") -> tuple[str, DataFrame]:
+    """Stored postings of a run under other rules: a new folder, the state corrected, nobody notified.
+
+    Returns the new folder's run id and (job_id, old_tier, new_tier) of the postings whose tier differs.  The same
+    reclassification a second time raises before anything is written.
+    """
+    root = root.rstrip("/")
+    name, store = f"{run_name}-{suffix}", StateStore(spark, f"{root}/state")
+    if store.current() == name:
+        raise ValueError(f"{name} is current")
+    state = store.load()
+    every, jobs = reclassified(read_run(spark, root, run_name), state["seen_jobs"], rules, run_name)
     write_run(every, root, name)
     folder = f"{root}/runs/{name}"
     listed = every.where("qualifies")
@@ -119,9 +138,6 @@ def reclassify(spark: SparkSession, root: str, run_name: str, rules: Rules, suff
     reports.write_report(spark, f"{folder}/{reports.SHORTLIST}", f"Priority 1 and 2, {name}", listed.where("tier IN (1, 2)"))
     reports.write_report(spark, f"{folder}/{reports.NEW_JOBS}", f"New jobs, {name}", listed.limit(0))
     reports.write_json(spark, f"{folder}/{reports.DECISION}", reports.decision_document(name, []))
-    state = store.load()
-    moved = every.where("tier is not null").select("canonical_id", F.col("tier").alias("_tier")).groupBy("canonical_id").agg(F.min("_tier").alias("_tier"))
-    jobs = state["seen_jobs"].join(moved, "canonical_id", "left").withColumn("rules_version", F.when(F.col("_tier").isNotNull(), rules.version).otherwise(F.col("rules_version"))).withColumn("tier", F.coalesce("_tier", "tier")).drop("_tier")
     store.write(name, state | {"seen_jobs": jobs})
     store.commit(name)
     reports.deliver(spark, folder, None)

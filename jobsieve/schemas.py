@@ -14,7 +14,7 @@ SOURCES = _of("source string, enabled boolean, path string")
 LISTINGS = _of("source string, native_id string, url string, title string, location string, scanned_at timestamp")
 SOURCE_STATUS = _of("source string, status string, error string")
 DETAILS = _of("source string, native_id string, url string, title string, department string, text string, posted_at timestamp, fetch_status string")
-SEEN_SOURCE_JOBS = _of("job_id string, source string, status string, attempts int, first_seen_run string, last_seen_run string, baseline boolean")
+SEEN_SOURCE_JOBS = _of("job_id string, source string, status string, attempts int, first_seen_run string, last_seen_run string, baseline boolean, late boolean")
 SEEN_JOBS = _of("canonical_id string, job_id string, source string, tier int, first_seen_run string, discovery_type string, rules_version string")
 STATUS_HISTORY = _of("source string, status string, run_id string")
 
