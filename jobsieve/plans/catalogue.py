@@ -1,7 +1,8 @@
 """The query catalogue: each operation of the engine over the driver's tables, and SQL that gives the same rows.
 
-The driver's tables hold no postings, so each query is a stand-in of the same plan: documents for postings, their
-source for the company, labels for state, pages for links, events for sightings, part sizes for years.
+The driver's tables hold no postings.  Some queries are stand-ins of the same plan: documents for postings, their
+source for the company, labels for state, pages for links, events for sightings.  The others run the engine's own rules,
+runs and files over postings derived from documents (``postings``).
 """
 
 from __future__ import annotations
@@ -15,7 +16,13 @@ from ..functions import text as X
 from ..functions import time as S
 from ..operators import classify, discovery, gate, health, merge, rank
 from ..rules import DEFAULT
-from ..tables import table
+from ..sinks import files, reports
+from ..sources import registry
+from ..sources.state import StateStore, read_json_state, read_run
+from ..streaming.intake import intake, listing_stream
+from ..tables import new_path, table, written
+from .. import schemas
+from . import daily, postings
 
 #: Stand-in terms of the tiers, frequent in the invented prose.
 STAND_IN = DEFAULT.with_version("catalogue", tiers={1: ("that", "thereof", "der"), 2: ("with", "nicht"), 3: ("the", "la", "sch")})
@@ -65,22 +72,42 @@ def detail_fetch(spark, d):
     return gate.fetch(gated, docs, "doc_id").select("doc_id", "n_chars", F.md5("text").alias("text_md5"))
 
 
-def experience_filter(spark, d):
-    return table(spark, d, "part").where(F.col("p_size").between(0, DEFAULT.most_years)).select("p_partkey", "p_size")
+def _classified(spark, d) -> DataFrame:
+    return classify.classify(postings.postings(spark, d))
 
 
-def exclusion_filter(spark, d):
-    return _docs(spark, d).where(~X.mentions(F.col("text"), ["the", "nicht"])).select("doc_id", "source")
+def posting_identity(spark, d):
+    return postings.postings(spark, d).select("doc_id", "job_id", "canonical_id")
+
+
+def years_asked(spark, d):
+    return postings.listed(spark, d).select("doc_id", X.least_years(F.concat_ws("\n", "title", "text")).alias("years"))
+
+
+def experience_filter(spark, d):
+    return postings.listed(spark, d).where(classify.early_career(F.col("title"), F.col("text"))).select("doc_id", "source")
 
 
 def relevance_filter(spark, d):
-    return _docs(spark, d).where(X.mentions(F.col("text"), ["that", "with", "der"])).select("doc_id", "source")
+    return postings.listed(spark, d).where(classify.relevant(F.col("title"))).select("doc_id", "source")
+
+
+def own_text(spark, d):
+    return classify.without_boilerplate(postings.postings(spark, d)).select("doc_id", F.md5("own_text").alias("own_md5"))
+
+
+def classified(spark, d):
+    return _classified(spark, d).select("doc_id", "qualifies", "reject_reason", "tier", "fit_score", "rules_version")
+
+
+def exclusion_filter(spark, d):
+    return _classified(spark, d).where(F.col("reject_reason").isin("senior", "sales", "marketing", "infrastructure", "boilerplate")).select("doc_id", "reject_reason")
 
 
 def boilerplate_strip(spark, d):
     docs = _docs(spark, d)
     lines = docs.select("doc_id", "source", F.explode(F.split(X.text(F.col("text")), "\n")).alias("para")).withColumn("para_id", F.md5("para"))
-    left = lines.join(classify.common_paragraphs(lines, "doc_id", "source", 3), ["source", "para_id"], "left_anti")
+    left = classify.without_common(lines, classify.common_paragraphs(lines, "doc_id", "source", 3), "source")
     kept = left.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.length("para")).alias("n_left"))
     zero = F.lit(0)
     return docs.select("doc_id").join(kept, "doc_id", "left").select("doc_id", F.coalesce("n_lines", zero).cast("long").alias("n_lines"), F.coalesce("n_left", zero).cast("long").alias("n_left"))
@@ -100,7 +127,8 @@ def _order() -> list[Column]:
 
 
 def rank_by_fit(spark, d):
-    return rank.top(_tiered(spark, d).select("doc_id", "tier", "n_chars"), _order(), 50)
+    good = _classified(spark, d).where("qualifies").select("doc_id", "tier", "fit_score", "job_id")
+    return rank.global_rank(good, [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()]).select("doc_id", "tier", "fit_score", "rank")
 
 
 def top_per_source(spark, d):
@@ -155,9 +183,10 @@ def source_health(spark, d):
 
 
 def state_merge(spark, d):
-    old = _state(spark, d).select("doc_id", F.lit(1).alias("version"), "status")
-    new = _docs(spark, d).where("n_chars < 2000").select("doc_id", F.lit(2).alias("version"), F.lit(gate.UNRESOLVED).alias("status"))
-    return merge.latest(old.unionByName(new))
+    job, no = F.col("doc_id").cast("string").alias("job_id"), F.lit(False)
+    old = table(spark, d, "labels").select(job, F.lit("old").alias("source"), _status(), F.lit(1).alias("attempts"), F.lit("r1").alias("first_seen_run"), F.lit("r1").alias("last_seen_run"), F.lit(True).alias("baseline"), no.alias("late"))
+    new = _docs(spark, d).where("n_chars < 2000").select(job, "source", F.lit(gate.UNRESOLVED).alias("status"), F.lit(1).alias("attempts"), F.lit("r2").alias("first_seen_run"), F.lit("r2").alias("last_seen_run"), no.alias("baseline"), (F.col("source") == "src7").alias("late"))
+    return merge.merged_seen(old, new)
 
 
 def first_last_seen(spark, d):
@@ -168,9 +197,78 @@ def run_buckets(spark, d):
     return table(spark, d, "events").groupBy(S.run_day(F.col("ts")).alias("run_day")).agg(F.count("*").alias("n"))
 
 
+#: Rules of a reclassification: one term demoted, another relevant.
+WIDER = DEFAULT.with_version("2", demoted=("cuda",), relevance=(*DEFAULT.relevance, "scientist"))
+
+
 def reclassify_diff(spark, d):
-    both = _tiered(spark, d).withColumn("new_tier", F.when(F.col("lang") == "de", 4).otherwise(F.col("tier")))
-    return both.where("tier <> new_tier").groupBy(F.col("tier").alias("old_tier"), "new_tier").agg(F.count("*").alias("n"))
+    old = written(classify.classify(postings.postings(spark, d)).withColumn("discovery_type", F.lit(discovery.NEW)), "old")
+    every, _ = daily.reclassified(old, spark.createDataFrame([], schemas.SEEN_JOBS), WIDER, "r1")
+    return every.where(~F.col("old_tier").eqNullSafe(F.col("tier"))).select("job_id", "old_tier", F.col("tier").alias("new_tier"))
+
+
+def landed_sources(spark, d):
+    """Listings by source, as the registry of the second day leads to them."""
+    known = registry.load_registry(spark, f"{postings.world(spark, d)}/sources2.json")
+    return known.select("source").join(registry.scan_listings(spark, known).groupBy("source").agg(F.count("*").alias("n")), "source", "left")
+
+
+def json_state(spark, d):
+    return read_json_state(spark, f"{postings.world(spark, d)}/status1.json", schemas.STATUS_HISTORY, "source")
+
+
+def run_postings(spark, d):
+    names = ["job_id", "source", "qualifies", "reject_reason", "tier", "fit_score", "rank", "duplicate", "discovery_type"]
+    return read_run(spark, postings.world(spark, d), postings.RUNS[1]).select(names)
+
+
+def run_state(spark, d):
+    return StateStore(spark, f"{postings.world(spark, d)}/state").load()["seen_source_jobs"]
+
+
+def run_seen_jobs(spark, d):
+    return StateStore(spark, f"{postings.world(spark, d)}/state").load()["seen_jobs"].select("canonical_id", "job_id", "source", "tier", "first_seen_run", "discovery_type", "rules_version")
+
+
+def run_health(spark, d):
+    return StateStore(spark, f"{postings.world(spark, d)}/state").load()["source_status"]
+
+
+def run_documents(spark, d):
+    """Of each file of the second run how many postings it has, and a flag: blocked sources named, notified, sent."""
+    folder = f"{postings.world(spark, d)}/runs/{postings.RUNS[1]}"
+    rows = []
+    for name in (reports.REPORT, reports.SHORTLIST, reports.NEW_JOBS):
+        lines = files.read_text(spark, f"{folder}/{name}").splitlines()
+        rows.append((name, sum(x.startswith("- **P") for x in lines), any(": blocked**" in x for x in lines)))
+    decision, delivery = (reports.read_json(spark, f"{folder}/{x}") for x in (reports.DECISION, reports.DELIVERY))
+    rows += [(reports.DECISION, decision["n_new"], decision["should_notify"]), (reports.DELIVERY, len(decision["job_ids"]), delivery["status"] == "sent")]
+    return spark.createDataFrame(rows, "document string, n long, flag boolean")
+
+
+def report_lines(spark, d):
+    return reports.rendered(daily.read_back(spark, postings.world(spark, d), postings.RUNS[1]))
+
+
+def shortlist_lines(spark, d):
+    return reports.rendered(daily.read_back(spark, postings.world(spark, d), postings.RUNS[1], "shortlist"))
+
+
+def new_job_lines(spark, d):
+    return reports.rendered(daily.read_back(spark, postings.world(spark, d), postings.RUNS[1], "new"))
+
+
+def intake_stream(spark, d):
+    """Landed listings through the file stream, each identity once."""
+    target = new_path(spark, "intake")
+    intake(listing_stream(spark, f"{postings.world(spark, d)}/landing/*/listings"), target, f"{target}-checkpoint").awaitTermination()
+    return spark.read.parquet(target).select("job_id", "canonical_id", "source")
+
+
+def run_ids(spark, d):
+    """The id of the run due on each day that has events."""
+    days = table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().collect()  # a row per day
+    return spark.createDataFrame([(r["day"], S.run_id(S.due(r["day"]))) for r in days], "day date, run_id string")
 
 
 def schedule_utc(spark, d):
@@ -181,7 +279,8 @@ def schedule_utc(spark, d):
 _NAMES = """source_registry listing_scan job_identity unseen_anti_join unseen_or_unresolved detail_fetch experience_filter
 exclusion_filter relevance_filter boilerplate_strip priority_tier rank_by_fit top_per_source dedup_keep_first duplicate_groups
 discovery_type notify_decision report priority_shortlist new_jobs source_health state_merge first_last_seen run_buckets
-reclassify_diff schedule_utc""".split()
+reclassify_diff schedule_utc posting_identity years_asked own_text classified landed_sources json_state run_postings
+run_state run_seen_jobs run_health run_documents report_lines shortlist_lines new_job_lines intake_stream run_ids""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
 
@@ -199,22 +298,112 @@ f AS (SELECT k.doc_id, k.source, k.tier, CASE WHEN r > 1 THEN 'duplicate_posting
       WHEN k.doc_id < 100 THEN 'historical_baseline' ELSE 'new_posting' END AS discovery_type FROM k LEFT JOIN labels l USING (doc_id))"""
 _URL = r"lower(regexp_replace(regexp_replace(regexp_replace(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://', ''), '[?#].*$', ''), '^([wW]{3}|[mM])\.', ''))"
 
+def _sql(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _list(values) -> str:
+    return f"[{', '.join(map(_sql, values))}]"
+
+
+def _any_of(column: str, tokens) -> str:
+    return f"regexp_matches({column}, {_sql(X.tokens_pattern(tokens))})"
+
+
+_JOB = "md5(source || '|' || doc_id)"
+_POSTINGS = rf"""SELECT doc_id, source, {_JOB} AS job_id,
+    CASE WHEN doc_id % 10 = 1 THEN md5('jobs.example.com/g' || (doc_id // 40)) ELSE md5(source || '.example.com/' || doc_id) END AS canonical_id,
+    CASE WHEN doc_id % 19 <> 5 THEN {_list(postings.TITLES)}[doc_id % {len(postings.TITLES)} + 1] END AS title,
+    CASE WHEN doc_id % 17 = 0 THEN 'Sales Operations' ELSE 'Engineering' END AS department,
+    concat_ws(chr(10), text, {_list(postings.NEEDS)}[doc_id % {len(postings.NEEDS)} + 1], CASE WHEN source = {_sql(postings.PLAIN[0])} THEN {_sql(postings.PLAIN[1])} ELSE {_sql(postings.SHARED)} END) AS text FROM documents"""
+_PLAIN = f"regexp_replace(replace(lower(concat_ws(chr(10), title, text)), '–', '-'), {_sql(X.AGES)}, ' ', 'g')"
+_YEARS = f"coalesce(try_cast(nullif(regexp_extract({_PLAIN}, {_sql(X.NEAR)}, 1), '') AS INT), try_cast(nullif(regexp_extract({_PLAIN}, {_sql(X.YEARS)}, 1), '') AS INT))"
+_EARLY = f"({_any_of('lower(coalesce(title, chr(32)))', DEFAULT.early)} OR coalesce({_YEARS} <= {DEFAULT.most_years}, {_any_of('lower(text)', DEFAULT.early)}))"
+
+
+def _relevant(column: str, rules=DEFAULT) -> str:
+    return _any_of(column, dict.fromkeys([*rules.relevance, *(t for own in rules.tiers.values() for t in own)]))
+
+
+def _with_classified(name: str, source: str, rules=DEFAULT) -> str:
+    """Common table expressions that end in ``name``: the rows of ``source`` classified."""
+    terms = [t for n in sorted(rules.tiers) for t in rules.tiers[n]]
+    fit = " + ".join(f"CASE WHEN {_any_of('own', [t])} THEN {10.0 ** (3 - n)}::DOUBLE ELSE 0 END" for n in sorted(rules.tiers) for t in rules.tiers[n])
+    tier = " ".join(f"WHEN {_any_of('own', rules.tiers[n])} THEN {n}" for n in sorted(rules.tiers))
+    demoted = f"WHEN {_any_of('own', rules.demoted)} THEN 4" if rules.demoted else ""
+    return rf"""{name}_p AS (SELECT * FROM (SELECT job_id, source, unnest(string_split(text, chr(10))) AS para, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM {source}) WHERE trim(para) <> ''),
+    {name}_n AS (SELECT source, count(*) AS n FROM {source} GROUP BY source),
+    {name}_c AS (SELECT source, trim(para) AS para FROM {name}_p JOIN {name}_n USING (source) GROUP BY source, trim(para), n
+        HAVING count(DISTINCT job_id) >= {rules.boilerplate_postings} AND count(DISTINCT job_id) >= {rules.boilerplate_share} * n),
+    {name}_o AS (SELECT job_id, string_agg(para, chr(10) ORDER BY place) AS own_text FROM {name}_p p
+        WHERE NOT EXISTS (SELECT 1 FROM {name}_c c WHERE c.source = p.source AND c.para = trim(p.para)) GROUP BY job_id),
+    {name}_l AS (SELECT s.*, coalesce(own_text, '') AS own_text, lower(concat_ws(chr(10), title, coalesce(own_text, ''))) AS own, lower(concat_ws(chr(10), title, text)) AS whole,
+        lower(coalesce(title, '')) AS head, lower(concat_ws(' ', title, department)) AS spot FROM {source} s LEFT JOIN {name}_o USING (job_id)),
+    {name}_r AS (SELECT *, CASE WHEN {_any_of('head', rules.senior)} THEN 'senior' WHEN {_any_of('spot', rules.sales)} THEN 'sales' WHEN {_any_of('spot', rules.marketing)} THEN 'marketing'
+        WHEN NOT {_EARLY} THEN 'experience' WHEN NOT {_relevant('own', rules)} AND {_relevant('whole', rules)} THEN 'boilerplate'
+        WHEN {_any_of('own', rules.infrastructure)} AND NOT {_any_of('own', terms)} THEN 'infrastructure' WHEN NOT {_relevant('own', rules)} THEN 'relevance' END AS reject_reason FROM {name}_l),
+    {name} AS (SELECT *, reject_reason IS NULL AS qualifies, CASE WHEN reject_reason IS NULL THEN CASE {demoted} {tier} ELSE 4 END END AS tier,
+        CASE WHEN reject_reason IS NULL THEN {fit} END AS fit_score FROM {name}_r)"""
+
+
+_CLASSIFIED = f"WITH p AS ({_POSTINGS}), {_with_classified('c', 'p')}"
+_WORLD = f"""WITH p AS ({_POSTINGS}),
+d1 AS (SELECT * FROM p WHERE doc_id % 3 = 0 AND source <> 'src7'), r1 AS (SELECT * FROM d1 WHERE doc_id % 11 <> 0 AND title IS NOT NULL),
+{_with_classified('c1', 'r1')},
+q1 AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY source, job_id) AS r FROM c1 WHERE qualifies),
+d2 AS (SELECT * FROM p WHERE source <> 'src9'), g2 AS (SELECT * FROM d2 WHERE job_id NOT IN (SELECT job_id FROM r1)),
+r2 AS (SELECT * FROM g2 WHERE doc_id % 13 <> 0 AND title IS NOT NULL),
+{_with_classified('c2', 'r2')},
+q2 AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY source, job_id) AS r FROM c2 WHERE qualifies),
+f2 AS (SELECT q.*, row_number() OVER (ORDER BY q.tier, q.fit_score DESC, q.job_id) AS rank, CASE WHEN q.r > 1 OR k.source <> q.source THEN 'duplicate_posting' WHEN k.source IS NOT NULL THEN 'previously_processed'
+       WHEN q.job_id IN (SELECT job_id FROM d1) THEN 'historical_baseline' WHEN q.source = 'src7' THEN 'catch_up' ELSE 'new_posting' END AS discovery_type
+       FROM q2 q LEFT JOIN (SELECT canonical_id, source FROM q1 WHERE r = 1) k USING (canonical_id))"""
+
+
+def _literal(column: str) -> str:
+    return rf"regexp_replace({column}, '([\`*_{{}}\[\]()#+!|<>~-])', '\\\1', 'g')"
+
+
+_LINES = rf"{_WORLD} SELECT rank, '- **P' || tier || '** ' || {_literal('title')} || ' (' || {_literal("source || ', NY'")} || '), ' || discovery_type || ' `' || job_id || '`' AS line FROM f2"
+
 ORACLE_SQL: dict[str, str] = {
+    "posting_identity": f"SELECT doc_id, job_id, canonical_id FROM ({_POSTINGS})",
+    "years_asked": f"SELECT doc_id, {_YEARS} AS years FROM ({_POSTINGS})",
+    "own_text": f"{_CLASSIFIED} SELECT doc_id, md5(own_text) AS own_md5 FROM c",
+    "classified": f"{_CLASSIFIED} SELECT doc_id, qualifies, reject_reason, tier, fit_score, '1' AS rules_version FROM c",
+    "landed_sources": "SELECT source, count(*) AS n FROM documents GROUP BY source",
+    "json_state": f"SELECT DISTINCT source, CASE WHEN source = 'src7' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[0]}' AS run_id FROM documents",
+    "run_postings": f"{_WORLD} SELECT c.job_id, c.source, c.qualifies, c.reject_reason, c.tier, c.fit_score, f.rank, f.r > 1 AS duplicate, f.discovery_type FROM c2 c LEFT JOIN f2 f USING (job_id)",
+    "run_state": f"""{_WORLD}, e AS (SELECT job_id, source, job_id IN (SELECT job_id FROM d1) AS one, job_id IN (SELECT job_id FROM d2) AS two, job_id IN (SELECT job_id FROM g2) AS gated FROM p)
+        SELECT job_id, source, CASE WHEN job_id IN (SELECT job_id FROM r1) OR job_id IN (SELECT job_id FROM r2) THEN 'resolved' ELSE 'unresolved' END AS status, one::INT + gated::INT AS attempts,
+        CASE WHEN one THEN '{postings.RUNS[0]}' ELSE '{postings.RUNS[1]}' END AS first_seen_run, CASE WHEN two THEN '{postings.RUNS[1]}' ELSE '{postings.RUNS[0]}' END AS last_seen_run,
+        one AS baseline, one OR source = 'src7' AS late FROM e WHERE one OR two""",
+    "run_seen_jobs": f"""{_WORLD} SELECT canonical_id, job_id, source, tier, '{postings.RUNS[0]}' AS first_seen_run, 'historical_baseline' AS discovery_type, '1' AS rules_version FROM q1 WHERE r = 1
+        UNION ALL SELECT canonical_id, job_id, source, tier, '{postings.RUNS[1]}', discovery_type, '1' FROM f2 WHERE r = 1 AND canonical_id NOT IN (SELECT canonical_id FROM q1)""",
+    "run_health": f"SELECT DISTINCT source, CASE WHEN source = 'src9' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[1]}' AS run_id FROM documents",
+    "run_documents": f"""{_WORLD} SELECT 'report.md' AS document, count(*) AS n, true AS flag FROM f2 UNION ALL SELECT 'priority_shortlist.md', count(*), false FROM f2 WHERE tier <= 2
+        UNION ALL SELECT 'new_jobs.md', count(*), false FROM f2 WHERE discovery_type = 'new_posting' UNION ALL SELECT 'notification.json', count(*), count(*) > 0 FROM f2 WHERE discovery_type = 'new_posting'
+        UNION ALL SELECT 'notification_delivery.json', count(*), count(*) > 0 FROM f2 WHERE discovery_type = 'new_posting'""",
+    "report_lines": _LINES,
+    "shortlist_lines": f"{_LINES} WHERE tier <= 2",
+    "new_job_lines": f"{_LINES} WHERE discovery_type = 'new_posting'",
+    "intake_stream": f"SELECT job_id, canonical_id, source FROM ({_POSTINGS})",
+    "run_ids": "SELECT DISTINCT ts::DATE AS day, strftime(((ts::DATE + INTERVAL 10 HOUR) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC', '%Y%m%dT%H%M%SZ') AS run_id FROM events",
     "source_registry": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "listing_scan": "SELECT doc_id, source, lang, n_chars FROM documents",
     "job_identity": rf"SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) AS host, md5(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1)) || '|' || regexp_replace({_URL}, '/+$', '')) AS job_id FROM pages",
     "unseen_anti_join": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "unseen_or_unresolved": "SELECT d.doc_id, d.source, CASE WHEN l.doc_id IS NULL THEN 'unseen' ELSE 'unresolved' END AS reason FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.quality = 0",
     "detail_fetch": "SELECT d.doc_id, d.n_chars, md5(d.text) AS text_md5 FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.quality = 0",
-    "experience_filter": "SELECT p_partkey, p_size FROM part WHERE p_size BETWEEN 0 AND 5",
-    "exclusion_filter": f"SELECT doc_id, source FROM documents WHERE NOT {_has('the', 'nicht')}",
-    "relevance_filter": f"SELECT doc_id, source FROM documents WHERE {_has('that', 'with', 'der')}",
+    "experience_filter": f"SELECT doc_id, source FROM ({_POSTINGS}) WHERE {_EARLY}",
+    "exclusion_filter": f"{_CLASSIFIED} SELECT doc_id, reject_reason FROM c WHERE reject_reason IN ('senior', 'sales', 'marketing', 'infrastructure', 'boilerplate')",
+    "relevance_filter": f"SELECT doc_id, source FROM ({_POSTINGS}) WHERE {_relevant("lower(coalesce(title, ''))")}",
     "boilerplate_strip": """WITH p AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS para FROM documents),
         c AS (SELECT source, para FROM p GROUP BY source, para HAVING count(DISTINCT doc_id) >= 3),
         k AS (SELECT doc_id, count(*) AS n_lines, sum(length(para))::BIGINT AS n_left FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.source = p.source AND c.para = p.para) GROUP BY doc_id)
         SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_left, 0) AS n_left FROM documents LEFT JOIN k USING (doc_id)""",
     "priority_tier": f"SELECT {_TIER} AS tier, count(*) AS n FROM documents GROUP BY 1",
-    "rank_by_fit": f"SELECT doc_id, tier, n_chars, row_number() OVER (ORDER BY tier, n_chars DESC, doc_id)::INT AS rank FROM (SELECT doc_id, n_chars, {_TIER} AS tier FROM documents) QUALIFY rank <= 50",
+    "rank_by_fit": f"{_CLASSIFIED} SELECT doc_id, tier, fit_score, row_number() OVER (ORDER BY tier, fit_score DESC, job_id) AS rank FROM c WHERE qualifies",
     "top_per_source": f"SELECT doc_id, source, tier, n_chars, row_number() OVER (PARTITION BY source ORDER BY tier, n_chars DESC, doc_id)::INT AS rank FROM (SELECT doc_id, source, n_chars, {_TIER} AS tier FROM documents) QUALIFY rank <= 3",
     "dedup_keep_first": "SELECT min(doc_id) AS doc_id, md5(lower(text)) AS text_key FROM documents GROUP BY 2",
     "duplicate_groups": "SELECT md5(lower(text)) AS text_key, count(*) AS n, count(DISTINCT source) AS n_sources FROM documents GROUP BY 1 HAVING count(*) > 1",
@@ -225,11 +414,12 @@ ORACLE_SQL: dict[str, str] = {
     "new_jobs": f"{_FOUND} SELECT doc_id, source, tier FROM f WHERE tier <= 3 AND discovery_type = 'new_posting'",
     "source_health": """WITH p AS (SELECT source, count(*) AS n, sum(toxic) * 100 >= 15 * count(*) AS bad FROM labels JOIN documents USING (doc_id) WHERE source <> 'src7' GROUP BY source)
         SELECT source, CASE WHEN bad THEN 'blocked' WHEN n IS NOT NULL THEN 'ok' ELSE 'not_run' END AS status, CASE WHEN NOT bad THEN n END AS n FROM (SELECT DISTINCT source FROM documents) LEFT JOIN p USING (source)""",
-    "state_merge": """WITH s AS (SELECT doc_id, 1 AS version, CASE WHEN quality = 1 THEN 'resolved' ELSE 'unresolved' END AS status FROM labels
-        UNION ALL SELECT doc_id, 2, 'unresolved' FROM documents WHERE n_chars < 2000)
-        SELECT doc_id, max(version) AS version, CASE WHEN bool_or(status = 'resolved') THEN 'resolved' ELSE 'unresolved' END AS status FROM s GROUP BY doc_id""",
+    "state_merge": """WITH s AS (SELECT doc_id::VARCHAR AS job_id, 'old' AS source, CASE WHEN quality = 1 THEN 'resolved' ELSE 'unresolved' END AS status, 'r1' AS run, true AS baseline, false AS late FROM labels
+        UNION ALL SELECT doc_id::VARCHAR, source, 'unresolved', 'r2', false, source = 'src7' FROM documents WHERE n_chars < 2000)
+        SELECT job_id, arg_min(source, run) AS source, CASE WHEN bool_or(status = 'resolved') THEN 'resolved' ELSE 'unresolved' END AS status, count(*)::INT AS attempts,
+        min(run) AS first_seen_run, max(run) AS last_seen_run, bool_or(baseline) AS baseline, bool_or(late) AS late FROM s GROUP BY job_id""",
     "first_last_seen": "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM events GROUP BY user_id",
     "run_buckets": "SELECT (((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') - INTERVAL 10 HOUR)::DATE AS run_day, count(*) AS n FROM events GROUP BY 1",
-    "reclassify_diff": f"SELECT tier AS old_tier, 4 AS new_tier, count(*) AS n FROM (SELECT lang, {_TIER} AS tier FROM documents) WHERE lang = 'de' AND tier <> 4 GROUP BY 1",
+    "reclassify_diff": f"{_CLASSIFIED}, {_with_classified('w', 'p', WIDER)} SELECT c.job_id, c.tier AS old_tier, w.tier AS new_tier FROM c JOIN w USING (job_id) WHERE c.tier IS DISTINCT FROM w.tier",
     "schedule_utc": "SELECT year(o_orderdate)::INT AS year, hour(((o_orderdate::DATE + INTERVAL 10 HOUR) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC')::INT AS utc_hour, count(*) AS n FROM orders GROUP BY 1, 2",
 }

