@@ -85,7 +85,8 @@ class Model:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.log1p(counts).astype(np.float32) * idf
+    x = np.log1p(counts, dtype=np.float32)
+    x *= idf
     x[:, WORD_BUCKETS + CLASS_BUCKETS :] = np.sqrt(counts[:, WORD_BUCKETS + CLASS_BUCKETS :])  # shares, once of unit length
     for a, b, w in BLOCKS:
         norm = np.sqrt((x[:, a:b] ** 2).sum(axis=1, keepdims=True))
@@ -152,16 +153,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_t
 
     def count(batches):
         for batch in batches:
-            rows = [c.astype(">u4") for _, part in term_counts(batch.column(2)) for c in part]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], ["id", "label", "counts"])
+            rows = [(np.flatnonzero(c), c) for _, part in term_counts(batch.column(2)) for c in part]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, pa.binary()) for x in ([at.astype(">u2").tobytes() for at, _ in rows], [c[at].astype(">u4").tobytes() for at, c in rows]))], ["id", "label", "terms", "counts"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    counted = texts.join(broadcast_if_small(drawn, drawn.count()), "id").select("id", "label", "text").mapInArrow(count, "id long, label int, counts binary")
-    got = counted.groupBy("id", "label").agg(F.min("counts").alias("counts")).collect()  # about two times sample_texts rows
-    got = sorted((r["id"], r["label"], bytes(r["counts"])) for r in got)
-    counts = np.stack([np.frombuffer(c, ">u4") for *_, c in got]).astype(np.int64) if got else np.zeros((0, TERMS))
-    model = train(counts, np.array([y for _, y, _ in got]), prior, dimensions)
-    del got, counts
+    counted = texts.join(broadcast_if_small(drawn, drawn.count()), "id").select("id", "label", "text").mapInArrow(count, "id long, label int, terms binary, counts binary")
+    # about two times sample_texts rows, of the terms that they have
+    got = sorted(tuple(r) for r in counted.groupBy("id", "label").agg(F.min(F.struct("terms", "counts")).alias("x")).select("id", "label", "x.*").collect())
+    counts = np.zeros((len(got), TERMS), np.float32)
+    for row, (_, _, at, c) in zip(counts, got):
+        row[np.frombuffer(at, ">u2").astype(np.int64)] = np.frombuffer(c, ">u4")
+    labelled = np.array([y for _, y, *_ in got])
+    del got
+    model = train(counts, labelled, prior, dimensions)
+    del counts
     words.tidy()
     return model
 
