@@ -89,8 +89,8 @@ def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x *= idf
     x[:, WORD_BUCKETS + CLASS_BUCKETS :] = np.sqrt(counts[:, WORD_BUCKETS + CLASS_BUCKETS :])  # shares, once of unit length
     for a, b, w in BLOCKS:
-        norm = np.sqrt((x[:, a:b] ** 2).sum(axis=1, keepdims=True))
-        x[:, a:b] *= w / np.maximum(norm, 1e-12)
+        norm = np.sqrt(np.einsum("ij,ij->i", x[:, a:b], x[:, a:b], dtype=np.float64))[:, None]
+        x[:, a:b] *= (w / np.maximum(norm, 1e-12)).astype(np.float32)
     return x
 
 
@@ -99,10 +99,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def train(counts: np.ndarray, labels: np.ndarray, prior: float, dimensions: int = DIMENSIONS) -> Model:
-    """A model of labelled count rows: a seeded randomised decomposition, so equal samples give equal models."""
+    """A model of labelled count rows: a seeded randomised decomposition, so equal samples give equal models.
+
+    counts in single precision are spent: their memory becomes that of the weighted rows, some rows at a time.
+    """
     n = len(counts)
-    idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-    x = _weighted(counts, idf)
+    idf = np.log((1 + n) / (1 + np.count_nonzero(counts, axis=0))).astype(np.float32) + np.float32(0.1)
+    x = counts if counts.dtype == np.float32 else np.empty(counts.shape, np.float32)
+    for at in range(0, n, 256):
+        x[at : at + 256] = _weighted(counts[at : at + 256], idf)
     start = np.random.default_rng(5).standard_normal((x.shape[1], min(dimensions + 8, max(n, 1)))).astype(np.float32)
     q = start
     for _ in range(4):
