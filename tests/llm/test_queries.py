@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", list(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     got, want = queries.QUERIES[name](spark, FOLDER).toPandas(), c.sql(queries.ORACLE_SQL[name]).df()
     names = sorted(want.columns)
