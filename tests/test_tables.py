@@ -11,7 +11,7 @@ def test_counted_joins_equal_plain_ones(spark):
     for how in ("left", "inner"):
         want = sorted(map(str, rows.join(keyed, "k", how).select("k", "id", "n", "first").collect()))
         for most in (1_000, 100, 2):
-            got = join_counted(rows, keyed, ["k"], "n", 3000, how, most).select("k", "id", "n", "first")
+            got = join_counted(rows, keyed, ["k"], "n", 3000, how, 1, most).select("k", "id", "n", "first")
             assert sorted(map(str, got.collect())) == want
-    plan = join_counted(rows, keyed, ["k"], "n", 3000, "left", 100)._jdf.queryExecution().executedPlan().toString()
+    plan = join_counted(rows, keyed, ["k"], "n", 3000, "left", 1, 100)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Union" in plan
