@@ -155,7 +155,7 @@ def star_survivors(pairs: DataFrame, classes: DataFrame, least: list[int], batch
                 yield pa.RecordBatch.from_arrays(part.columns[:4], ["a", "b", "n", "bytes"]).filter(pa.array(mask))
 
     # a centre's row has its signature, so fewer of them are broadcast
-    met = join_counted(pairs, left, ["a"], "n", count, "inner", 50_000).join(right, "b")
+    met = join_counted(pairs, left, ["a"], "n", count, "inner", row_bytes=64 + 4 * BANDS * ROWS).join(right, "b")
     return met.select("a", "b", "n", (F.col("bytes_a") + F.col("bytes_b")).alias("bytes"), "sig_a", "sig_b").mapInArrow(compare, "a long, b long, n long, bytes long")
 
 
@@ -335,10 +335,11 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
     # a class is a set of shingles; the row that stands for it has its smallest doc_id
     one = prints.where(known).groupBy("print").agg(F.min(F.struct("doc_id", "hash", "bytes")).alias("x"), F.count("*").alias("n"), F.first("sig").alias("sig"))
     classes = written(one.select(F.monotonically_increasing_id().alias("node"), "x.*", "n", "print", "sig"), "classes")
-    rowed = in_buckets(classes, bands, rows)
+    rowed = written(in_buckets(classes, bands, rows), "keys")
     # the star's centre is the class of the smallest id, which copies are often made of
     shared = written(rowed.groupBy("key").agg(F.count("*").alias("n"), F.min_by("node", "doc_id").alias("rep")).where("n > 1"), "shared")
-    buckets = written(join_counted(rowed.select("key", "node"), shared, ["key"], "n", classes.count() * bands, "inner", 1_000_000), "buckets")
+    buckets = written(join_counted(rowed.select("key", "node"), shared, ["key"], "n", classes.count() * bands, "inner"), "buckets")
+    removed(spark, rowed)
 
     pairs = written(buckets.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     stars = written(star_survivors(pairs, classes, least, BATCH), "stars")
@@ -348,7 +349,7 @@ def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, ban
 
     labelled = written(buckets.where("n > 2").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled")
     mixed = written(labelled.groupBy("key").agg((F.min("component") != F.max("component")).alias("mixed"), F.max("n").alias("m")).where("mixed").select("key", "m"), "mixed")
-    members = written(join_counted(labelled, mixed, ["key"], "m", labelled.count(), "inner", 1_000_000).select("key", "node", "component", "n", F.lit(-1).alias("band"), F.lit(-1).alias("own")), "members")
+    members = written(join_counted(labelled, mixed, ["key"], "m", labelled.count(), "inner").select("key", "node", "component", "n", F.lit(-1).alias("band"), F.lit(-1).alias("own")), "members")
     often = members.where(F.col("n") > large)
     if not often.isEmpty():
         members = written(members.where(F.col("n") <= large).unionByName(refined(often, classes, bands, rows)), "members")
