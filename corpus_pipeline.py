@@ -17,10 +17,6 @@ from jobsieve.llm.queries import BYTE_BPE, BYTE_RANKS
 from jobsieve.llm.store import broadcast_if_small, table, written
 
 
-#: Items of fewer words say nothing of a document that holds them: half of all documents hold the word "the".
-LEAST_ITEM_WORDS = 3
-
-
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """docs and a column that tells its rows apart: doc_id, or where ids are null or repeated a new one, which follows
     doc_id, nulls last."""
@@ -42,12 +38,14 @@ def _without(docs: DataFrame, key: str, dropped: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts, texts without a letter, and those that no language fits best."""
+    """Drops documents without a language: null texts, texts without a letter, and those that no language fits best.  Rows that
+    repeat an id or have none are judged each by its text."""
     return language.kept_languages(docs, language.fit(docs, BYTE_RANKS))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose neighbours in the latent space are mostly of low quality."""
+    """Drops documents whose neighbours in the latent space are mostly of low quality.  Rows that repeat an id or have none are
+    judged each by its text."""
     return quality.kept_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
@@ -59,16 +57,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _without(keyed, key, found.select(F.col("doc_id").alias(key))).select(docs.columns)
 
 
-def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold an item of the benchmark, of at least LEAST_ITEM_WORDS words; rows that repeat an id or have
-    none are judged by their texts."""
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str, least_words: int = 1) -> DataFrame:
+    """Drops documents that hold an item of the benchmark, of any size unless least_words says otherwise; rows that repeat an id or
+    have none are judged by their texts."""
     keyed, key = _keyed(docs)
-    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), least_words=LEAST_ITEM_WORDS, id_col=key)
+    found = contaminated(keyed, table(spark, sf_dir, "benchmark"), least_words=least_words, id_col=key)
     return _without(keyed, key, found.select(F.col("doc_id").alias(key))).select(docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences of 2048 tokens."""
+    """Packs what is left into sequences of 2048 tokens, each row for itself, whatever its id."""
     return best_fit_pack(docs, BYTE_BPE)
 
 
