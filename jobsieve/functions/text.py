@@ -24,33 +24,82 @@ def mentions(c: Column, tokens: Iterable[str]) -> Column:
     return F.lower(text(c)).rlike(tokens_pattern(own)) if own else F.lit(False)
 
 
-def terms_in(c: Column, tokens: Iterable[str]) -> Column:
-    """The distinct tokens that ``mentions`` finds one by one, as an array, from one pass over the text.
+def words_of(terms: Iterable[str]) -> dict[str, list[str]]:
+    """Each term and the words that it is made of."""
+    return {t: [w for w in re.split("[^a-z0-9]+", t) if w] for t in dict.fromkeys(terms)}
 
-    At each place the longest token is taken; those that it holds itself are added from a table.
-    """
-    own = sorted(set(tokens), key=lambda t: (-len(t), t))
+
+def known_words(c: Column, terms: Iterable[str]) -> Column:
+    """The words of the terms that a text has: it is split once, and its words are looked up in the dictionary of them."""
+    own = sorted({w for words in words_of(terms).values() for w in words})
     if not own:
         return F.array().cast("array<string>")
-    found = F.array_distinct(F.regexp_extract_all(F.lower(text(c)), F.lit(f"(?<![a-z0-9])(?=({'|'.join(map(re.escape, own))})(?![a-z0-9]))"), F.lit(1)))
-    held = {t: [x for x in own if re.search(rf"(?<![a-z0-9]){re.escape(x)}(?![a-z0-9])", t)] for t in own}
-    table = F.create_map(*[x for t, inner in held.items() for x in (F.lit(t), F.array(*map(F.lit, inner)))])
-    return F.array_distinct(F.flatten(F.transform(found, lambda t: F.element_at(table, t))))
+    return F.array_intersect(F.split(F.lower(text(c)), "[^a-z0-9]+"), F.lit(own))
 
 
-#: A range or number of years near the word experience, or a requirement like "3+ years".
-YEARS = r"(?:^|[^0-9a-z])([0-9]{1,2})\s*(?:\+|(?:-|–|to)\s*([0-9]{1,2}))?\s*\+?\s*(?:years|year|yrs|yr)(?:[^a-z]|$)"
-AGES = r"(?:for|over|past|last|than)\s+(?:the\s+)?(?:past\s+|last\s+|more\s+than\s+)?[0-9]{1,3}\s*\+?\s*(?:years|year|yrs|yr)(?:[^a-z]|$)"
-NEAR = r"(?:^|[^0-9a-z])([0-9]{1,2})\s*(?:\+|(?:-|–|to)\s*[0-9]{1,2})?\s*\+?\s*(?:years|year|yrs|yr)[^.;\n]{0,40}experience"
+def terms_in(c: Column, terms: Iterable[str], words: Column | None = None) -> Column:
+    """The distinct terms that ``mentions`` finds one by one, as an array.
+
+    words: ``known_words`` of the text, if they are known already.  A term of one word is among them or isn't there; one of several
+    words, or with other characters, is looked for in the few texts that have all its words.
+    """
+    own = words_of(terms)
+    if not own:
+        return F.array().cast("array<string>")
+    words = known_words(c, own) if words is None else words
+    single = [t for t, parts in own.items() if [t] == parts]
+    found = F.array_intersect(words, F.lit(single)) if single else F.array().cast("array<string>")
+    hits = []
+    for term, parts in own.items():
+        if term not in single:
+            all_of = F.size(F.array_intersect(words, F.lit(parts))) == len(set(parts)) if parts else F.lit(True)
+            hits.append(F.when(all_of, F.when(mentions(c, [term]), term)))
+    return F.concat(found, F.array_compact(F.array(*hits))) if hits else found
+
+
+# Numbers in words, the words of years, bounds from above, and what makes a number of years an age.
+NUMBERS = {w: n for n, w in enumerate("zero one two three four five six seven eight nine ten eleven twelve".split())} | {"fifteen": 15, "twenty": 20}
+YEAR_WORDS = ("years", "year", "yrs", "yr")
+AT_MOST = ("up to", "less than", "fewer than", "no more than", "at most", "under", "below", "within", "maximum of", "max")
+AGES = ("for", "over", "past", "last", "than")
+_NUMBER = rf"(?:[0-9]{{1,2}}|{'|'.join(NUMBERS)})"
+_MENTION = rf"(?:({'|'.join(AT_MOST)})\s+)?({_NUMBER})(?:\.[0-9])?\s*\+?\s*(?:\([0-9]{{1,2}}\+?\)\s*)?(?:(?:[-–—]|to|or)\s*({_NUMBER})\s*)?\+?(?:or more\s*)?\s*(?:{'|'.join(YEAR_WORDS)})(?:[^a-z0-9]|$)"
+MENTION = rf"(?:^|[^a-z0-9.]){_MENTION}"
+_AGED = rf"(?:^|[^a-z])(?:{'|'.join(AGES)})\s+(?:the\s+)?(?:past\s+|last\s+|more\s+than\s+|about\s+|nearly\s+)?{_MENTION}"
+
+
+def _number(c: Column) -> Column:
+    table = F.create_map(*[F.lit(x) for kv in NUMBERS.items() for x in kv])
+    return F.coalesce(c.try_cast("int"), F.try_element_at(table, c))
+
+
+def _interval(mention: Column) -> Column:
+    """(least, most) of a mention: "up to n" begins at 0, a plain n and "n or more" have no most."""
+    bound, low, high = (F.regexp_extract(mention, MENTION, k) for k in (1, 2, 3))
+    least, most = _number(low), _number(high)
+    return F.when(mention.isNotNull(), F.struct(F.when(bound != "", 0).otherwise(least).alias("least"), F.when(bound != "", F.coalesce(most, least)).otherwise(most).alias("most")))
+
+
+def years_asked(c: Column) -> Column:
+    """(least, most) years that a text asks for, null if it names none; most is null where it isn't bounded.
+
+    A text falls into clauses at full stops before white space, semicolons and line ends.  The first clause that names both
+    years and experience decides, by the last number of years in front of that word, else by the first behind it,
+    whatever is around it ("over 3 years of experience").  Without such a clause the first number of years counts
+    that isn't an age ("for 30 years we have").  Numbers are digits or words up to twelve, fifteen and twenty.
+    """
+    lower, place = F.lower(text(c)), F.lit(0)
+    every = lambda x: F.regexp_extract_all(x, F.lit(MENTION), place)
+    clauses = F.filter(F.split(lower, r"[;\n]+|\.(?:\s+|$)"), lambda x: x.contains("year") | x.contains("yr"))
+    before = lambda x: F.try_element_at(every(F.regexp_extract(x, "(?s)^(.*?)experience", 1)), F.lit(-1))
+    behind = lambda x: F.get(every(F.regexp_extract(x, "(?s)experience(.*)$", 1)), place)
+    near = F.filter(F.transform(clauses, lambda x: F.when(x.contains("experience"), F.coalesce(before(x), behind(x)))), lambda x: x.isNotNull())
+    plain = F.filter(F.transform(clauses, lambda x: F.get(every(F.regexp_replace(x, _AGED, " ")), place)), lambda x: x.isNotNull())
+    return F.when(lower.contains("year") | lower.contains("yr"), _interval(F.coalesce(F.get(near, place), F.get(plain, place))))
 
 
 def least_years(c: Column) -> Column:
-    """The least years that a text asks for: of a number near "experience" if there is one, else of the first number
-    that isn't an age ("for 30 years we have"); null if none is named."""
-    own = F.regexp_replace(F.lower(text(c)), "–", "-")
-    plain = F.regexp_replace(own, AGES, " ")
-    near = F.regexp_extract(plain, NEAR, 1).try_cast("int")
-    return F.coalesce(near, F.regexp_extract(plain, YEARS, 1).try_cast("int"))
+    return years_asked(c)["least"]
 
 
 def canonical_url(c: Column) -> Column:
@@ -64,17 +113,25 @@ def host(c: Column) -> Column:
     return F.lower(F.regexp_extract(c, r"^[a-zA-Z]+://([^/:?#]+)", 1))
 
 
-def job_id(source: Column, native_id: Column, url: Column) -> Column:
-    """The identity of a listing: source and native id, or source and canonical URL; without either the plan fails."""
-    key = F.coalesce(F.nullif(F.trim(native_id), F.lit("")), canonical_url(url))
-    return F.when(key.isNull() | source.isNull(), F.raise_error(F.lit("a listing needs a source, and a native id or a URL"))).otherwise(F.md5(F.concat_ws("|", source, key)))
+# Parameters that tell where a reader came from, and not which page it is.
+TRACKING = ("utm", "utm_[a-z]+", "gclid", "fbclid", "msclkid", "ref", "referrer", "src", "gh_src", "trk", "trackingid")
+
 
+def url_key(c: Column) -> Column:
+    """The page that a URL names: ``canonical_url`` with its query, but for parameters of tracking and in the order of their
+    names, and with its fragment where that is a path ("#/job/3")."""
+    own = F.trim(text(c))
+    query = F.lower(F.regexp_extract(own, r"^[^?#]*\?([^#]*)", 1))
+    kept = F.sort_array(F.filter(F.split(query, "&"), lambda x: (x != "") & ~F.regexp_like(x, F.lit(f"^(?:{'|'.join(TRACKING)})(?:=|$)"))))
+    route = F.lower(F.regexp_extract(own, "#(!?/.*)$", 1))
+    tail = F.concat(F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""), F.when(route != "", F.concat(F.lit("#"), route)).otherwise(""))
+    return F.concat(canonical_url(c), tail)
 
-def canonical_id(job: Column, native_id: Column, url: Column) -> Column:
-    """The identity of a job across sources: its canonical URL, with the query where that alone tells jobs apart."""
-    bare = canonical_url(url)
-    ident = F.regexp_extract(F.lower(text(url)), r"[?&](jobid|job_id|gh_jid|reqid|req_id|id)=([^&#]+)", 2)
-    return F.when(bare.isNotNull(), F.md5(F.concat_ws("|", bare, F.nullif(ident, F.lit(""))))).otherwise(job)
+
+def job_id(source: Column, native_id: Column, url: Column) -> Column:
+    """The identity of a job within its source: source and native id, or source and page; without either the plan fails."""
+    key = F.coalesce(F.nullif(F.trim(native_id), F.lit("")), url_key(url))
+    return F.when(key.isNull() | source.isNull(), F.raise_error(F.lit("a listing needs a source, and a native id or a URL"))).otherwise(F.md5(F.concat_ws("|", source, key)))
 
 
 def markdown(c: Column) -> Column:

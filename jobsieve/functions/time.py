@@ -44,3 +44,8 @@ def run_day(ts: Column) -> Column:
 def due_utc(day: Column) -> Column:
     """The UTC instant of 10:00 New York on a day."""
     return F.to_utc_timestamp(F.to_date(day).cast("timestamp") + F.expr("interval 10 hours"), ZONE)
+
+
+def run_id_of(ts: Column) -> Column:
+    """``run_id`` of a UTC timestamp, as a column."""
+    return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import least_years, mentions, terms_in, text
+from ..functions.text import known_words, least_years, mentions, terms_in, text
 from ..rules import BACKUP_TIER, DEFAULT, Rules
 from ..tables import written
 
 #: Rows of common paragraphs that are broadcast at most.
 COMMON = 200_000
+#: Common paragraphs of all sources that are broadcast as lists to look in.
+LISTED = 1_000
 
 
 def paragraphs(postings: DataFrame, key: str, source: str, body: str) -> DataFrame:
@@ -30,8 +32,11 @@ def common_paragraphs(paras: DataFrame, key: str, source: str, least: int, share
 def without_common(paras: DataFrame, common: DataFrame, source: str) -> DataFrame:
     """paras without the common ones, which are counted and broadcast if few, so that rows of a very common paragraph
     never meet in one task."""
-    own = written(common, "common")
-    return paras.join(F.broadcast(own) if own.count() <= COMMON else own, [source, "para_id"], "left_anti")
+    return _met(paras, written(common, "common"), source, "left_anti")
+
+
+def _met(paras: DataFrame, common: DataFrame, source: str, how: str) -> DataFrame:
+    return paras.join(F.broadcast(common) if common.count() <= COMMON else common, [source, "para_id"], how)
 
 
 def without_boilerplate(postings: DataFrame, rules: Rules = DEFAULT, key: str = "job_id", source: str = "source", body: str = "text") -> DataFrame:
@@ -39,12 +44,16 @@ def without_boilerplate(postings: DataFrame, rules: Rules = DEFAULT, key: str =
 
     Every posting keeps its row; one that is all boilerplate has an empty own_text.
     """
-    paras = paragraphs(postings, key, source, body)
+    paras = paragraphs(postings, key, source, body).drop("para")
     sizes = postings.groupBy(source).agg(F.count("*").alias("n"))
-    common = common_paragraphs(paras, key, source, rules.boilerplate_postings, rules.boilerplate_share, sizes)
-    left = without_common(paras, common, source)
-    own = left.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "para"))), lambda x: x["para"]), "\n").alias("own_text"))
-    return postings.join(own, key, "left").withColumn("own_text", text(F.col("own_text")))
+    common = written(common_paragraphs(paras, key, source, rules.boilerplate_postings, rules.boilerplate_share, sizes), "common")
+    if common.count() <= LISTED:
+        own = postings.join(F.broadcast(common.groupBy(source).agg(F.collect_set("para_id").alias("_common"))), source, "left")
+    else:  # of each posting its own common paragraphs; a very common one is met by broadcast
+        held = _met(paras, common, source, "left_semi").groupBy(key).agg(F.collect_set("para_id").alias("_common"))
+        own = postings.join(held, key, "left")
+    lines = F.filter(F.split(text(F.col(body)), "\n"), lambda x: (F.trim(x) != "") & ~F.coalesce(F.array_contains("_common", F.md5(F.trim(x))), F.lit(False)))
+    return own.withColumn("own_text", F.array_join(lines, "\n")).drop("_common")
 
 
 def tier(body: Column, rules: Rules = DEFAULT) -> Column:
@@ -58,12 +67,11 @@ def tier(body: Column, rules: Rules = DEFAULT) -> Column:
 
 def early_career(title: Column, body: Column, rules: Rules = DEFAULT) -> Column:
     years = least_years(F.concat_ws("\n", title, body))
-    return mentions(title, rules.early) | F.coalesce(years <= rules.most_years, mentions(body, rules.early))
+    return mentions(title, rules.early) | F.coalesce(years <= rules.most_years, F.size(terms_in(body, rules.early)) > 0)
 
 
 def relevant(body: Column, rules: Rules = DEFAULT) -> Column:
-    terms = [*rules.relevance, *(t for own in rules.tiers.values() for t in own)]
-    return mentions(body, dict.fromkeys(terms))
+    return F.size(terms_in(body, [*rules.relevance, *(t for own in rules.tiers.values() for t in own)])) > 0
 
 
 def tier_terms(rules: Rules = DEFAULT) -> dict[str, int]:
@@ -72,30 +80,30 @@ def tier_terms(rules: Rules = DEFAULT) -> dict[str, int]:
 
 
 def every_term(rules: Rules = DEFAULT) -> list[str]:
-    return list(dict.fromkeys([*tier_terms(rules), *rules.relevance, *rules.demoted]))
+    return list(dict.fromkeys([*tier_terms(rules), *rules.relevance, *rules.demoted, *rules.infrastructure, *rules.early]))
 
 
 def _any(found: Column, terms) -> Column:
     return F.arrays_overlap(found, F.array(*map(F.lit, terms))) if terms else F.lit(False)
 
 
-def reject_reason(rules: Rules = DEFAULT, found: Column | None = None) -> Column:
-    """The first rule that a posting (title, department, text, own_text) fails; null if it qualifies.
+def reject_reason(rules: Rules, found: Column, whole: Column) -> Column:
+    """The first rule that a posting (title, department, text) fails; null if it qualifies.
 
-    found: the terms of title and own_text, of ``every_term``, if they are known already.
+    found: the terms of title and own_text, whole: those of title and text, both of ``every_term``.
     """
-    title, place, own = F.col("title"), F.concat_ws(" ", "title", "department"), F.concat_ws("\n", "title", "own_text")
-    found = terms_in(own, every_term(rules)) if found is None else found
-    near = _any(found, [*rules.relevance, *tier_terms(rules)])
-    whole = relevant(F.concat_ws("\n", "title", "text"), rules)
+    title, place = F.col("title"), F.concat_ws(" ", "title", "department")
+    tiers = list(tier_terms(rules))
+    near, all_of = [*rules.relevance, *tiers], F.concat_ws("\n", "title", "text")
+    early = mentions(title, rules.early) | F.coalesce(least_years(all_of) <= rules.most_years, _any(whole, rules.early))
     return (
         F.when(mentions(title, rules.senior), "senior")
         .when(mentions(place, rules.sales), "sales")
         .when(mentions(place, rules.marketing), "marketing")
-        .when(~early_career(title, F.col("text"), rules), "experience")
-        .when(~near & whole, "boilerplate")
-        .when(mentions(own, rules.infrastructure) & ~_any(found, list(tier_terms(rules))), "infrastructure")
-        .when(~near, "relevance")
+        .when(~early, "experience")
+        .when(~_any(found, near) & _any(whole, near), "boilerplate")
+        .when(_any(found, rules.infrastructure) & ~_any(found, tiers), "infrastructure")
+        .when(~_any(found, near), "relevance")
     )
 
 
@@ -117,11 +125,16 @@ def best_tier(found: Column, rules: Rules = DEFAULT) -> Column:
 def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     """postings with qualifies, reject_reason, tier (null unless it qualifies), fit_score and rules_version.
 
-    The terms of a posting's own text are found once, for all rules.  The one place where another classifier could stand,
-    as a function from DataFrame to DataFrame.
+    The words of a posting are looked up in the dictionary of the rules' terms once, and so are those of its own text.  The
+    result is written, so that filters and ranks on it don't evaluate the rules again.  The one place where another
+    classifier could stand, as a function from DataFrame to DataFrame.
     """
-    found = F.col("_terms")
-    own = without_boilerplate(postings, rules).withColumn("_terms", terms_in(F.concat_ws("\n", "title", "own_text"), every_term(rules)))
-    own = own.withColumn("reject_reason", reject_reason(rules, found))
-    good = F.col("reject_reason").isNull()
-    return own.withColumns({"qualifies": good, "tier": F.when(good, best_tier(found, rules)), "fit_score": F.when(good, fit_score(found, rules)), "rules_version": F.lit(rules.version)}).drop("_terms")
+    terms = every_term(rules)
+    own = without_boilerplate(postings, rules)
+    texts = {"_own": F.concat_ws("\n", "title", "own_text"), "_whole": F.concat_ws("\n", "title", "text")}
+    own = own.withColumns({f"{k}_words": known_words(x, terms) for k, x in texts.items()})
+    own = own.withColumns({f"{k}_terms": terms_in(x, terms, F.col(f"{k}_words")) for k, x in texts.items()})
+    own = own.withColumn("reject_reason", reject_reason(rules, F.col("_own_terms"), F.col("_whole_terms")))
+    good, found = F.col("reject_reason").isNull(), F.col("_own_terms")
+    own = own.withColumns({"qualifies": good, "tier": F.when(good, best_tier(found, rules)), "fit_score": F.when(good, fit_score(found, rules)), "rules_version": F.lit(rules.version)})
+    return written(own.drop("_own_words", "_whole_words", "_own_terms", "_whole_terms"), "classified")

@@ -37,16 +37,14 @@ def met(rows: DataFrame, seen_source: DataFrame, history: DataFrame) -> DataFram
 
 
 def discovered(found: DataFrame, seen_jobs: DataFrame, seen_source: DataFrame, history: DataFrame, baseline_run: bool) -> DataFrame:
-    """found (job_id, canonical_id, source, duplicate) with discovery_type.
+    """found (job_id, source, duplicate) with discovery_type.
 
-    A job known under another source's identity is a duplicate, under its own it was processed.  An identity first
-    met in a baseline run stays baseline, one that was late stays a catch-up (see ``met``).
+    A job that evidence links to another source's is a duplicate, one known by its own identity was processed.  An identity
+    first met in a baseline run stays baseline, one that was late stays a catch-up (see ``met``).
     """
-    known = seen_jobs.groupBy("canonical_id").agg(F.min("source").alias("_source"), F.lit(True).alias("_known"))
-    own = met(found.join(known, "canonical_id", "left"), seen_source, history)
-    other = F.col("_known") & (F.col("_source") != F.col("source"))
-    kind = discovery_type(F.col("duplicate") | F.coalesce(other, F.lit(False)), F.col("_known"), F.lit(baseline_run) | F.col("baseline"), F.col("late"))
-    return own.withColumn("discovery_type", kind).drop("_source", "_known", "seen", "baseline", "late")
+    own = met(found.join(seen_jobs.select("job_id", F.lit(True).alias("_known")), "job_id", "left"), seen_source, history)
+    kind = discovery_type(F.col("duplicate"), F.col("_known"), F.lit(baseline_run) | F.col("baseline"), F.col("late"))
+    return own.withColumn("discovery_type", kind).drop("_known", "seen", "baseline", "late")
 
 
 def decision(found: DataFrame, kind: str = "discovery_type") -> DataFrame:

@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from .gate import RESOLVED
 
 
-def latest(states: DataFrame, key: str = "doc_id", version: str = "version", status: str = "status") -> DataFrame:
-    """Of each key the row of the largest version; what was resolved once stays so.  Aggregates with a partial step."""
-    return states.groupBy(key).agg(F.max(version).alias(version), F.when(F.bool_or(F.col(status) == RESOLVED), RESOLVED).otherwise(F.max_by(status, version)).alias(status))
+#: Which part of a state a row is from; the larger came later.
+PART = "_part"
 
 
-def merged_seen(old: DataFrame, run: DataFrame) -> DataFrame:
-    """seen_source_jobs after a run: each identity once; attempts add up, first and last runs stretch."""
-    both = old.unionByName(run)
-    return both.groupBy("job_id").agg(
+def merged_seen(rows: DataFrame) -> DataFrame:
+    """seen_source_jobs of all parts: each identity once; attempts add up, first and last runs stretch, what was resolved once stays so."""
+    return rows.groupBy("job_id").agg(
         F.min_by("source", "first_seen_run").alias("source"),
         F.when(F.bool_or(F.col("status") == RESOLVED), RESOLVED).otherwise(F.max_by("status", "last_seen_run")).alias("status"),
         F.sum("attempts").cast("int").alias("attempts"),
@@ -27,12 +25,15 @@ def merged_seen(old: DataFrame, run: DataFrame) -> DataFrame:
     )
 
 
-def merged_jobs(old: DataFrame, run: DataFrame) -> DataFrame:
-    """seen_jobs after a run: each canonical job once, as it was first met."""
-    names = [c for c in old.columns if c != "canonical_id"]
-    both = old.unionByName(run)
-    first = both.groupBy("canonical_id").agg(F.min(F.struct("first_seen_run", *[c for c in names if c != "first_seen_run"])).alias("x"))
-    return first.select("canonical_id", *[F.col(f"x.{c}").alias(c) for c in names])
+def merged_jobs(rows: DataFrame) -> DataFrame:
+    """seen_jobs of all parts: each job once, as it was first met, but with the tier of the latest part."""
+    names = [c for c in rows.columns if c not in ("job_id", "tier", "rules_version", PART)]
+    return rows.groupBy("job_id").agg(*[F.min_by(c, PART).alias(c) for c in names], *[F.max_by(c, PART).alias(c) for c in ("tier", "rules_version")])
+
+
+def merged_status(rows: DataFrame) -> DataFrame:
+    """source_status of all parts: of each source the latest."""
+    return rows.groupBy("source").agg(*[F.max_by(c, PART).alias(c) for c in ("status", "run_id")])
 
 
 def first_last(events: DataFrame, key: str, ts: str) -> DataFrame:

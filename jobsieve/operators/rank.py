@@ -34,11 +34,6 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], k: int) -> Dat
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)
 
 
-def top(df: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """The first k rows of all with their rank: a top-k per task, then one sort of at most k rows."""
-    return df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-
-
 def global_rank(df: DataFrame, order: list[Column]) -> DataFrame:
     """df with ``rank`` from 1 in the total order.  Rows are range-partitioned and sorted; a rank is the place in its
     partition plus the sizes of those before it, so no task sees all rows."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import time as S
-from ..operators import classify, discovery, gate, health, merge, rank
+from ..operators import classify, discovery, gate, health, likeness, merge, rank
 from ..rules import DEFAULT
 from ..sinks import files, reports
 from ..sources import registry
@@ -77,11 +77,12 @@ def _classified(spark, d) -> DataFrame:
 
 
 def posting_identity(spark, d):
-    return postings.postings(spark, d).select("doc_id", "job_id", "canonical_id")
+    return postings.postings(spark, d).select("doc_id", "job_id", "url_key")
 
 
 def years_asked(spark, d):
-    return postings.listed(spark, d).select("doc_id", X.least_years(F.concat_ws("\n", "title", "text")).alias("years"))
+    years = X.years_asked(F.concat_ws("\n", "title", "text"))
+    return postings.listed(spark, d).select("doc_id", years.alias("asked")).select("doc_id", F.col("asked.least").alias("years"), F.col("asked.most").alias("most_years"))
 
 
 def experience_filter(spark, d):
@@ -89,7 +90,24 @@ def experience_filter(spark, d):
 
 
 def relevance_filter(spark, d):
-    return postings.listed(spark, d).where(classify.relevant(F.col("title"))).select("doc_id", "source")
+    return postings.listed(spark, d).where(classify.relevant(F.concat_ws("\n", "title", "text"))).select("doc_id", "source")
+
+
+def alike_postings(spark, d):
+    """Pairs of different texts that are alike, each by its first posting."""
+    own = postings.listed(spark, d).select("doc_id", likeness.runs_of(F.concat_ws("\n", "title", "text")).alias("runs"))
+    own = written(own.withColumn("class", likeness.class_of(F.col("runs"))), "runs")
+    first = own.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    pairs = likeness.alike(written(likeness.classes(own), "classes"))
+    one, two = (first.select(F.col("class").alias(x), F.col("doc_id").alias(f"doc_{x}")) for x in "ab")
+    both = pairs.join(one, "a").join(two, "b")
+    return both.select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
+
+
+def duplicate_jobs(spark, d):
+    """Jobs that another source lists too, on the same page or with a text that is alike."""
+    known = spark.createDataFrame([], schemas.SEEN_JOBS).select(daily.KNOWN)
+    return likeness.mark_duplicates(_classified(spark, d).where("qualifies"), known).select("job_id", "source", "canonical_id", "duplicate")
 
 
 def own_text(spark, d):
@@ -186,7 +204,7 @@ def state_merge(spark, d):
     job, no = F.col("doc_id").cast("string").alias("job_id"), F.lit(False)
     old = table(spark, d, "labels").select(job, F.lit("old").alias("source"), _status(), F.lit(1).alias("attempts"), F.lit("r1").alias("first_seen_run"), F.lit("r1").alias("last_seen_run"), F.lit(True).alias("baseline"), no.alias("late"))
     new = _docs(spark, d).where("n_chars < 2000").select(job, "source", F.lit(gate.UNRESOLVED).alias("status"), F.lit(1).alias("attempts"), F.lit("r2").alias("first_seen_run"), F.lit("r2").alias("last_seen_run"), no.alias("baseline"), (F.col("source") == "src7").alias("late"))
-    return merge.merged_seen(old, new)
+    return merge.merged_seen(old.unionByName(new))
 
 
 def first_last_seen(spark, d):
@@ -201,10 +219,27 @@ def run_buckets(spark, d):
 WIDER = DEFAULT.with_version("2", demoted=("cuda",), relevance=(*DEFAULT.relevance, "scientist"))
 
 
+_reclassified: dict[tuple, str] = {}
+
+
+def _reclassification(spark, d) -> str:
+    """The root of a first run that was reclassified."""
+    root = postings.world(spark, d, days=1)
+    if root not in _reclassified.values():
+        daily.reclassify(spark, root, postings.RUNS[0], WIDER)
+        _reclassified[spark.sparkContext.applicationId, d] = root
+    return root
+
+
 def reclassify_diff(spark, d):
-    old = written(classify.classify(postings.postings(spark, d)).withColumn("discovery_type", F.lit(discovery.NEW)), "old")
-    every, _ = daily.reclassified(old, spark.createDataFrame([], schemas.SEEN_JOBS), WIDER, "r1")
-    return every.where(~F.col("old_tier").eqNullSafe(F.col("tier"))).select("job_id", "old_tier", F.col("tier").alias("new_tier"))
+    root = _reclassification(spark, d)
+    before, after = (read_run(spark, root, name).select("job_id", F.col("tier").alias(f"{k}_tier")) for k, name in (("old", postings.RUNS[0]), ("new", f"{postings.RUNS[0]}-reclassified")))
+    return before.join(after, "job_id").where(~F.col("old_tier").eqNullSafe(F.col("new_tier")))
+
+
+def reclassified_jobs(spark, d):
+    """The state after the reclassification."""
+    return StateStore(spark, f"{_reclassification(spark, d)}/state").load()["seen_jobs"].select("job_id", "canonical_id", "tier", "first_seen_run", "discovery_type", "rules_version")
 
 
 def landed_sources(spark, d):
@@ -218,7 +253,7 @@ def json_state(spark, d):
 
 
 def run_postings(spark, d):
-    names = ["job_id", "source", "qualifies", "reject_reason", "tier", "fit_score", "rank", "duplicate", "discovery_type"]
+    names = ["job_id", "canonical_id", "source", "qualifies", "reject_reason", "tier", "fit_score", "rank", "duplicate", "discovery_type"]
     return read_run(spark, postings.world(spark, d), postings.RUNS[1]).select(names)
 
 
@@ -242,10 +277,25 @@ def run_documents(spark, d):
         lines = files.read_text(spark, f"{folder}/{name}").splitlines()
         rows.append((name, sum(x.startswith("- **P") for x in lines), any(": blocked**" in x for x in lines)))
     decision, delivery = (reports.read_json(spark, f"{folder}/{x}") for x in (reports.DECISION, reports.DELIVERY))
-    rows += [(reports.DECISION, decision["n_new"], decision["should_notify"]), (reports.DELIVERY, len(decision["job_ids"]), delivery["status"] == "sent")]
+    rows += [(reports.DECISION, decision["n_new"], decision["should_notify"]), (reports.DELIVERY, int(delivery["notification_id"] == decision["notification_id"]), delivery["status"] == "sent")]
     return spark.createDataFrame(rows, "document string, n long, flag boolean")
 
 
+def traced_postings(spark, d):
+    """How many postings the second run reports, and how many of them no landed listing has."""
+    root = postings.world(spark, d)
+    found = read_run(spark, root, postings.RUNS[1]).where("qualifies").select("job_id")
+    known = registry.load_registry(spark, f"{root}/sources2.json")
+    listed = registry.identified(registry.scan_listings(spark, known)).select("job_id", F.lit(1).alias("listed"))
+    return found.join(listed.distinct(), "job_id", "left").agg(F.count("*").alias("n_reported"), F.count_if("listed is null").alias("n_untraced"))
+
+
+def gated_stream(spark, d):
+    """The postings of the second batch of a stream of landed listings, each batch a run."""
+    names = ["job_id", "canonical_id", "source", "qualifies", "reject_reason", "tier", "fit_score", "rank", "duplicate", "discovery_type"]
+    return read_run(spark, postings.world(spark, d, stream=True), f"{postings.RUNS[1]}-s1").select(names)
+
+
 def report_lines(spark, d):
     return reports.rendered(daily.read_back(spark, postings.world(spark, d), postings.RUNS[1]))
 
@@ -261,14 +311,13 @@ def new_job_lines(spark, d):
 def intake_stream(spark, d):
     """Landed listings through the file stream, each identity once."""
     target = new_path(spark, "intake")
-    intake(listing_stream(spark, f"{postings.world(spark, d)}/landing/*/listings"), target, f"{target}-checkpoint").awaitTermination()
-    return spark.read.parquet(target).select("job_id", "canonical_id", "source")
+    intake(listing_stream(spark, f"{postings.world(spark, d)}/landing/*/listings/*"), target, f"{target}-checkpoint").awaitTermination()
+    return spark.read.parquet(target).select("job_id", "url_key", "source")
 
 
 def run_ids(spark, d):
     """The id of the run due on each day that has events."""
-    days = table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().collect()  # a row per day
-    return spark.createDataFrame([(r["day"], S.run_id(S.due(r["day"]))) for r in days], "day date, run_id string")
+    return table(spark, d, "events").select(F.to_date("ts").alias("day")).distinct().select("day", S.run_id_of(S.due_utc(F.col("day"))).alias("run_id"))
 
 
 def schedule_utc(spark, d):
@@ -280,7 +329,8 @@ _NAMES = """source_registry listing_scan job_identity unseen_anti_join unseen_or
 exclusion_filter relevance_filter boilerplate_strip priority_tier rank_by_fit top_per_source dedup_keep_first duplicate_groups
 discovery_type notify_decision report priority_shortlist new_jobs source_health state_merge first_last_seen run_buckets
 reclassify_diff schedule_utc posting_identity years_asked own_text classified landed_sources json_state run_postings
-run_state run_seen_jobs run_health run_documents report_lines shortlist_lines new_job_lines intake_stream run_ids""".split()
+run_state run_seen_jobs run_health run_documents report_lines shortlist_lines new_job_lines intake_stream run_ids
+alike_postings duplicate_jobs reclassified_jobs traced_postings gated_stream""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
 
@@ -307,17 +357,37 @@ def _list(values) -> str:
 
 
 def _any_of(column: str, tokens) -> str:
-    return f"regexp_matches({column}, {_sql(X.tokens_pattern(tokens))})"
+    return f"regexp_matches({column}, {_sql('(^|[^a-z0-9])(' + '|'.join(t.replace('.', '[.]').replace('+', '[+]') for t in tokens) + ')([^a-z0-9]|$)')})"
 
 
 _JOB = "md5(source || '|' || doc_id)"
 _POSTINGS = rf"""SELECT doc_id, source, {_JOB} AS job_id,
-    CASE WHEN doc_id % 10 = 1 THEN md5('jobs.example.com/g' || (doc_id // 40)) ELSE md5(source || '.example.com/' || doc_id) END AS canonical_id,
+    CASE doc_id % 10 WHEN 1 THEN 'jobs.example.com/g' || (doc_id // 40) WHEN 2 THEN source || '.example.com/job?lang=en&pid=' || doc_id
+        WHEN 3 THEN source || '.example.com#/job/' || doc_id WHEN 4 THEN source || '.example.com/apply' ELSE source || '.example.com/' || doc_id END AS url_key,
     CASE WHEN doc_id % 19 <> 5 THEN {_list(postings.TITLES)}[doc_id % {len(postings.TITLES)} + 1] END AS title,
     CASE WHEN doc_id % 17 = 0 THEN 'Sales Operations' ELSE 'Engineering' END AS department,
     concat_ws(chr(10), text, {_list(postings.NEEDS)}[doc_id % {len(postings.NEEDS)} + 1], CASE WHEN source = {_sql(postings.PLAIN[0])} THEN {_sql(postings.PLAIN[1])} ELSE {_sql(postings.SHARED)} END) AS text FROM documents"""
-_PLAIN = f"regexp_replace(replace(lower(concat_ws(chr(10), title, text)), '–', '-'), {_sql(X.AGES)}, ' ', 'g')"
-_YEARS = f"coalesce(try_cast(nullif(regexp_extract({_PLAIN}, {_sql(X.NEAR)}, 1), '') AS INT), try_cast(nullif(regexp_extract({_PLAIN}, {_sql(X.YEARS)}, 1), '') AS INT))"
+# Mentions of years, written again for the other dialect: the engine's patterns aren't used.
+_N = "([0-9]{1,2}|zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|fifteen|twenty)"
+_BOUND = "((up to|less than|fewer than|no more than|at most|under|below|within|maximum of|max)\\s+)?"
+_SAID = _BOUND + _N + "(\\.[0-9])?\\s*\\+?\\s*(\\([0-9]{1,2}\\+?\\)\\s*)?(([-–—]|to|or)\\s*" + _N + "\\s*)?\\+?(or more\\s*)?\\s*(years|year|yrs|yr)([^a-z0-9]|$)"
+_MENTIONED = _sql("(^|[^a-z0-9.])" + _SAID)
+_AGE = _sql("(^|[^a-z])(for|over|past|last|than)\\s+(the\\s+)?(past\\s+|last\\s+|more\\s+than\\s+|about\\s+|nearly\\s+)?" + _SAID)
+_CLAUSES = r"list_filter(regexp_split_to_array(lower(concat_ws(chr(10), title, text)), '[;\n]+|\.(\s+|$)'), lambda x: contains(x, 'year') OR contains(x, 'yr'))"
+_NEAR = f"""list_filter(list_transform({_CLAUSES}, lambda x: CASE WHEN contains(x, 'experience') THEN coalesce(
+    regexp_extract_all(x[1:strpos(x, 'experience') - 1], {_MENTIONED})[-1], regexp_extract_all(x[strpos(x, 'experience') + 10:], {_MENTIONED})[1]) END), lambda x: x IS NOT NULL)[1]"""
+_OTHER = f"list_filter(list_transform({_CLAUSES}, lambda x: regexp_extract_all(regexp_replace(x, {_AGE}, ' ', 'g'), {_MENTIONED})[1]), lambda x: x IS NOT NULL)[1]"
+
+
+def _number(part: int) -> str:
+    said = f"regexp_extract(coalesce({_NEAR}, {_OTHER}), {_MENTIONED}, {part})"
+    words = "['zero', 'one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten', 'eleven', 'twelve', '', '', 'fifteen', '', '', '', '', 'twenty']"
+    return f"coalesce(try_cast(nullif({said}, '') AS INT), list_position({words}, nullif({said}, ''))::INT - 1)"
+
+
+_BOUNDED = f"coalesce(regexp_extract(coalesce({_NEAR}, {_OTHER}), {_MENTIONED}, 3), '') <> ''"
+_YEARS = f"CASE WHEN {_BOUNDED} THEN 0 ELSE {_number(4)} END"
+_MOST = f"CASE WHEN {_BOUNDED} THEN coalesce({_number(9)}, {_number(4)}) ELSE {_number(9)} END"
 _EARLY = f"({_any_of('lower(coalesce(title, chr(32)))', DEFAULT.early)} OR coalesce({_YEARS} <= {DEFAULT.most_years}, {_any_of('lower(text)', DEFAULT.early)}))"
 
 
@@ -346,18 +416,35 @@ def _with_classified(name: str, source: str, rules=DEFAULT) -> str:
         CASE WHEN reject_reason IS NULL THEN {fit} END AS fit_score FROM {name}_r)"""
 
 
+def _with_duplicates(name: str, new: str, known: str = "") -> str:
+    """Common table expressions that end in ``name``: the rows of ``new`` against all pairs of them and of ``known``."""
+    columns = "job_id, source, url_key, title, own_text"
+    older = f"UNION ALL SELECT {columns}, canonical_id, 0 AS fresh FROM {known}" if known else ""
+    return rf"""{name}_w AS (SELECT *, list_filter(regexp_split_to_array(lower(concat_ws(chr(10), title, own_text)), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+        FROM (SELECT {columns}, job_id AS canonical_id, 1 AS fresh FROM {new} {older})),
+    {name}_t AS (SELECT *, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS runs FROM {name}_w),
+    {name}_s AS (SELECT job_id, fresh, len(runs) AS n, unnest(runs) AS run FROM {name}_t WHERE len(runs) >= 10),
+    {name}_e AS (SELECT a.job_id AS a, b.job_id AS b, b.fresh FROM {name}_s a JOIN {name}_s b ON a.run = b.run AND a.fresh = 1 AND a.job_id <> b.job_id
+            GROUP BY a.job_id, b.job_id, b.fresh, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+        UNION SELECT x.job_id, y.job_id, y.fresh FROM {name}_w x JOIN {name}_w y ON x.url_key = y.url_key AND x.fresh = 1 AND x.job_id <> y.job_id
+            WHERE x.url_key NOT IN (SELECT url_key FROM {name}_w GROUP BY url_key, source HAVING count(DISTINCT job_id) > 1)),
+    {name}_f AS (SELECT x.job_id, min({{'fresh': y.fresh, 'source': y.source, 'job_id': y.job_id, 'canonical_id': y.canonical_id}}) AS first FROM {name}_e
+        JOIN {name}_w x ON x.job_id = a AND x.fresh = 1 JOIN {name}_w y ON y.job_id = b AND y.fresh = {name}_e.fresh
+        WHERE y.source <> x.source AND (y.fresh = 0 OR y.source < x.source) GROUP BY x.job_id),
+    {name} AS (SELECT n.*, first IS NOT NULL AS duplicate, coalesce(first.canonical_id, job_id) AS canonical_id FROM {new} n LEFT JOIN {name}_f USING (job_id))"""
+
+
 _CLASSIFIED = f"WITH p AS ({_POSTINGS}), {_with_classified('c', 'p')}"
-_WORLD = f"""WITH p AS ({_POSTINGS}),
+_FIRST_RUN = f"""WITH p AS ({_POSTINGS}),
 d1 AS (SELECT * FROM p WHERE doc_id % 3 = 0 AND source <> 'src7'), r1 AS (SELECT * FROM d1 WHERE doc_id % 11 <> 0 AND title IS NOT NULL),
-{_with_classified('c1', 'r1')},
-q1 AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY source, job_id) AS r FROM c1 WHERE qualifies),
+{_with_classified('c1', 'r1')}, o1 AS (SELECT * FROM c1 WHERE qualifies), {_with_duplicates('q1', 'o1')}, k1 AS (SELECT * FROM q1 WHERE NOT duplicate)"""
+_WORLD = f"""{_FIRST_RUN},
 d2 AS (SELECT * FROM p WHERE source <> 'src9'), g2 AS (SELECT * FROM d2 WHERE job_id NOT IN (SELECT job_id FROM r1)),
 r2 AS (SELECT * FROM g2 WHERE doc_id % 13 <> 0 AND title IS NOT NULL),
-{_with_classified('c2', 'r2')},
-q2 AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY source, job_id) AS r FROM c2 WHERE qualifies),
-f2 AS (SELECT q.*, row_number() OVER (ORDER BY q.tier, q.fit_score DESC, q.job_id) AS rank, CASE WHEN q.r > 1 OR k.source <> q.source THEN 'duplicate_posting' WHEN k.source IS NOT NULL THEN 'previously_processed'
-       WHEN q.job_id IN (SELECT job_id FROM d1) THEN 'historical_baseline' WHEN q.source = 'src7' THEN 'catch_up' ELSE 'new_posting' END AS discovery_type
-       FROM q2 q LEFT JOIN (SELECT canonical_id, source FROM q1 WHERE r = 1) k USING (canonical_id))"""
+{_with_classified('c2', 'r2')}, o2 AS (SELECT * FROM c2 WHERE qualifies), {_with_duplicates('q2', 'o2', 'k1')},
+f2 AS (SELECT *, row_number() OVER (ORDER BY tier, fit_score DESC, job_id) AS rank, CASE WHEN duplicate THEN 'duplicate_posting'
+       WHEN job_id IN (SELECT job_id FROM d1) THEN 'historical_baseline' WHEN source = 'src7' THEN 'catch_up' ELSE 'new_posting' END AS discovery_type FROM q2)"""
+_RUN = f"{_WORLD} SELECT c.job_id, coalesce(f.canonical_id, c.job_id) AS canonical_id, c.source, c.qualifies, c.reject_reason, c.tier, c.fit_score, f.rank, f.duplicate, f.discovery_type FROM c2 c LEFT JOIN f2 f USING (job_id)"
 
 
 def _literal(column: str) -> str:
@@ -367,27 +454,38 @@ def _literal(column: str) -> str:
 _LINES = rf"{_WORLD} SELECT rank, '- **P' || tier || '** ' || {_literal('title')} || ' (' || {_literal("source || ', NY'")} || '), ' || discovery_type || ' `' || job_id || '`' AS line FROM f2"
 
 ORACLE_SQL: dict[str, str] = {
-    "posting_identity": f"SELECT doc_id, job_id, canonical_id FROM ({_POSTINGS})",
-    "years_asked": f"SELECT doc_id, {_YEARS} AS years FROM ({_POSTINGS})",
+    "posting_identity": f"SELECT doc_id, job_id, url_key FROM ({_POSTINGS})",
+    "years_asked": f"SELECT doc_id, {_YEARS} AS years, {_MOST} AS most_years FROM ({_POSTINGS})",
+    "alike_postings": rf"""WITH p AS ({_POSTINGS}),
+        w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(concat_ws(chr(10), title, text)), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM p),
+        t AS (SELECT doc_id, list_sort(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END) AS runs FROM w WHERE len(ws) > 0),
+        f AS (SELECT min(doc_id) AS doc_id, runs FROM t GROUP BY runs), s AS (SELECT doc_id, len(runs) AS n, unnest(runs) AS run FROM f)
+        SELECT a.doc_id AS doc_a, b.doc_id AS doc_b FROM s a JOIN s b ON a.run = b.run AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))""",
+    "duplicate_jobs": f"{_CLASSIFIED}, o AS (SELECT * FROM c WHERE qualifies), {_with_duplicates('q', 'o')} SELECT job_id, source, canonical_id, duplicate FROM q",
+    "traced_postings": f"{_WORLD} SELECT count(*) AS n_reported, 0::BIGINT AS n_untraced FROM f2",
+    "gated_stream": _RUN,
+    "reclassified_jobs": f"""{_FIRST_RUN}, {_with_classified('w', 'r1', WIDER)}, ow AS (SELECT * FROM w WHERE qualifies), {_with_duplicates('qw', 'ow', 'k1')}
+        SELECT job_id, k1.canonical_id, coalesce(w.tier, k1.tier) AS tier, '{postings.RUNS[0]}' AS first_seen_run, 'historical_baseline' AS discovery_type, CASE WHEN w.tier IS NULL THEN '1' ELSE '2' END AS rules_version FROM k1 JOIN w USING (job_id)
+        UNION ALL SELECT job_id, canonical_id, tier, '{postings.RUNS[0]}', 'previously_processed', '2' FROM qw WHERE NOT duplicate AND job_id NOT IN (SELECT job_id FROM k1)""",
     "own_text": f"{_CLASSIFIED} SELECT doc_id, md5(own_text) AS own_md5 FROM c",
     "classified": f"{_CLASSIFIED} SELECT doc_id, qualifies, reject_reason, tier, fit_score, '1' AS rules_version FROM c",
     "landed_sources": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "json_state": f"SELECT DISTINCT source, CASE WHEN source = 'src7' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[0]}' AS run_id FROM documents",
-    "run_postings": f"{_WORLD} SELECT c.job_id, c.source, c.qualifies, c.reject_reason, c.tier, c.fit_score, f.rank, f.r > 1 AS duplicate, f.discovery_type FROM c2 c LEFT JOIN f2 f USING (job_id)",
+    "run_postings": _RUN,
     "run_state": f"""{_WORLD}, e AS (SELECT job_id, source, job_id IN (SELECT job_id FROM d1) AS one, job_id IN (SELECT job_id FROM d2) AS two, job_id IN (SELECT job_id FROM g2) AS gated FROM p)
         SELECT job_id, source, CASE WHEN job_id IN (SELECT job_id FROM r1) OR job_id IN (SELECT job_id FROM r2) THEN 'resolved' ELSE 'unresolved' END AS status, one::INT + gated::INT AS attempts,
         CASE WHEN one THEN '{postings.RUNS[0]}' ELSE '{postings.RUNS[1]}' END AS first_seen_run, CASE WHEN two THEN '{postings.RUNS[1]}' ELSE '{postings.RUNS[0]}' END AS last_seen_run,
         one AS baseline, one OR source = 'src7' AS late FROM e WHERE one OR two""",
-    "run_seen_jobs": f"""{_WORLD} SELECT canonical_id, job_id, source, tier, '{postings.RUNS[0]}' AS first_seen_run, 'historical_baseline' AS discovery_type, '1' AS rules_version FROM q1 WHERE r = 1
-        UNION ALL SELECT canonical_id, job_id, source, tier, '{postings.RUNS[1]}', discovery_type, '1' FROM f2 WHERE r = 1 AND canonical_id NOT IN (SELECT canonical_id FROM q1)""",
+    "run_seen_jobs": f"""{_WORLD} SELECT canonical_id, job_id, source, tier, '{postings.RUNS[0]}' AS first_seen_run, 'historical_baseline' AS discovery_type, '1' AS rules_version FROM k1
+        UNION ALL SELECT canonical_id, job_id, source, tier, '{postings.RUNS[1]}', discovery_type, '1' FROM f2 WHERE NOT duplicate""",
     "run_health": f"SELECT DISTINCT source, CASE WHEN source = 'src9' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[1]}' AS run_id FROM documents",
     "run_documents": f"""{_WORLD} SELECT 'report.md' AS document, count(*) AS n, true AS flag FROM f2 UNION ALL SELECT 'priority_shortlist.md', count(*), false FROM f2 WHERE tier <= 2
         UNION ALL SELECT 'new_jobs.md', count(*), false FROM f2 WHERE discovery_type = 'new_posting' UNION ALL SELECT 'notification.json', count(*), count(*) > 0 FROM f2 WHERE discovery_type = 'new_posting'
-        UNION ALL SELECT 'notification_delivery.json', count(*), count(*) > 0 FROM f2 WHERE discovery_type = 'new_posting'""",
+        UNION ALL SELECT 'notification_delivery.json', 1, count(*) > 0 FROM f2 WHERE discovery_type = 'new_posting'""",
     "report_lines": _LINES,
     "shortlist_lines": f"{_LINES} WHERE tier <= 2",
     "new_job_lines": f"{_LINES} WHERE discovery_type = 'new_posting'",
-    "intake_stream": f"SELECT job_id, canonical_id, source FROM ({_POSTINGS})",
+    "intake_stream": f"SELECT job_id, url_key, source FROM ({_POSTINGS})",
     "run_ids": "SELECT DISTINCT ts::DATE AS day, strftime(((ts::DATE + INTERVAL 10 HOUR) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC', '%Y%m%dT%H%M%SZ') AS run_id FROM events",
     "source_registry": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "listing_scan": "SELECT doc_id, source, lang, n_chars FROM documents",
@@ -397,7 +495,7 @@ ORACLE_SQL: dict[str, str] = {
     "detail_fetch": "SELECT d.doc_id, d.n_chars, md5(d.text) AS text_md5 FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.doc_id IS NULL OR l.quality = 0",
     "experience_filter": f"SELECT doc_id, source FROM ({_POSTINGS}) WHERE {_EARLY}",
     "exclusion_filter": f"{_CLASSIFIED} SELECT doc_id, reject_reason FROM c WHERE reject_reason IN ('senior', 'sales', 'marketing', 'infrastructure', 'boilerplate')",
-    "relevance_filter": f"SELECT doc_id, source FROM ({_POSTINGS}) WHERE {_relevant("lower(coalesce(title, ''))")}",
+    "relevance_filter": f"SELECT doc_id, source FROM ({_POSTINGS}) WHERE {_relevant('lower(concat_ws(chr(10), title, text))')}",
     "boilerplate_strip": """WITH p AS (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS para FROM documents),
         c AS (SELECT source, para FROM p GROUP BY source, para HAVING count(DISTINCT doc_id) >= 3),
         k AS (SELECT doc_id, count(*) AS n_lines, sum(length(para))::BIGINT AS n_left FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.source = p.source AND c.para = p.para) GROUP BY doc_id)
@@ -420,6 +518,6 @@ ORACLE_SQL: dict[str, str] = {
         min(run) AS first_seen_run, max(run) AS last_seen_run, bool_or(baseline) AS baseline, bool_or(late) AS late FROM s GROUP BY job_id""",
     "first_last_seen": "SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM events GROUP BY user_id",
     "run_buckets": "SELECT (((ts AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York') - INTERVAL 10 HOUR)::DATE AS run_day, count(*) AS n FROM events GROUP BY 1",
-    "reclassify_diff": f"{_CLASSIFIED}, {_with_classified('w', 'p', WIDER)} SELECT c.job_id, c.tier AS old_tier, w.tier AS new_tier FROM c JOIN w USING (job_id) WHERE c.tier IS DISTINCT FROM w.tier",
+    "reclassify_diff": f"{_FIRST_RUN}, {_with_classified('w', 'r1', WIDER)} SELECT c1.job_id, c1.tier AS old_tier, w.tier AS new_tier FROM c1 JOIN w USING (job_id) WHERE c1.tier IS DISTINCT FROM w.tier",
     "schedule_utc": "SELECT year(o_orderdate)::INT AS year, hour(((o_orderdate::DATE + INTERVAL 10 HOUR) AT TIME ZONE 'America/New_York') AT TIME ZONE 'UTC')::INT AS utc_hour, count(*) AS n FROM orders GROUP BY 1, 2",
 }

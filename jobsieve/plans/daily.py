@@ -6,11 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.time import run_id as make_id
-from ..operators import classify, discovery, gate, health, merge, rank
+from ..operators import classify, discovery, gate, health, likeness, rank
 from ..rules import DEFAULT, Rules
 from ..sinks import reports
 from ..sources.registry import identified
@@ -36,38 +37,57 @@ def _one_per_job(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.groupBy("job_id").agg(F.min(F.struct(*first)).alias("x")).select("job_id", *[F.col(f"x.{c}").alias(c) for c in names])
 
 
-def evaluate(listings: DataFrame, details: DataFrame, state: dict[str, DataFrame], rules: Rules, baseline: bool) -> tuple[DataFrame, DataFrame]:
+#: What duplicates and states need of known jobs.
+KNOWN = ["job_id", "canonical_id", "source", "url_key", "runs"]
+
+
+def evaluate(listings: DataFrame, details: DataFrame, store: StateStore, rules: Rules, baseline: bool) -> tuple[DataFrame, DataFrame]:
     """(gate, postings): the listings whose details count, and these classified, ranked and compared with the state.
 
     A posting whose details failed, or lack a title or text, is in the gate alone: it stays unresolved.
     """
-    own = _one_per_job(identified(listings), ["scanned_at"])
-    gated = written(gate.gated(own, state["seen_source_jobs"]), "gate")
+    spark, own = listings.sparkSession, _one_per_job(identified(listings), ["scanned_at"])
+    gated = written(store.without("seen_source_jobs", own, f"status = '{gate.RESOLVED}'"), "gate")
+    if gated.isEmpty():  # nothing is opened or classified again
+        return gated, spark.createDataFrame([], schemas.POSTINGS)
     got = identified(details).where((F.coalesce("fetch_status", F.lit("ok")) == "ok") & F.col("title").isNotNull() & F.col("text").isNotNull())
     got = _one_per_job(gate.fetch(gated, got).select("job_id", "title", "department", "text", "posted_at"), ["posted_at"])
-    full = got.join(gated.select("job_id", "canonical_id", "source", "url", "location"), "job_id")
-    found = written(classify.classify(full, rules), "classified")  # read by the ranks, the duplicates and the rest
-    good = rank.mark_duplicates(found.where("qualifies"), "canonical_id", ["source", "job_id"])
-    good = discovery.discovered(good, state["seen_jobs"], state["seen_source_jobs"], state["source_status"], baseline)
+    full = got.join(gated.select("job_id", "source", "url", "url_key", "location"), "job_id")
+    found = classify.classify(full, rules)
+    rest = found.where(~F.col("qualifies")).withColumn("canonical_id", F.col("job_id"))
+    if found.where("qualifies").isEmpty():
+        return gated, rest
+    state = store.load()
+    good = likeness.mark_duplicates(found.where("qualifies"), state["seen_jobs"].select(KNOWN))
+    ids = gated.select("job_id")
+    good = discovery.discovered(good, store.lookup("seen_jobs", ids), store.lookup("seen_source_jobs", ids), state["source_status"], baseline)
     ranked = rank.global_rank(good, [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()])
-    rest = found.where(~F.col("qualifies"))
     return gated, ranked.unionByName(rest, allowMissingColumns=True)
 
 
-def run(spark: SparkSession, root: str, registry: DataFrame, listings: DataFrame, details: DataFrame, status: DataFrame, as_of: datetime, mode: str = "daily", rules: Rules = DEFAULT, send: Send | None = None) -> Outcome:
+def run(spark: SparkSession, root: str, registry: DataFrame, listings: DataFrame, details: DataFrame, status: DataFrame, as_of: datetime, mode: str = "daily", rules: Rules = DEFAULT, send: Send | None = None, batch: tuple[str, int] | None = None) -> Outcome | None:
     """One incremental run; mode is ``daily`` or ``baseline`` (which never notifies).
 
     Order: data and reports, the decision, new state, the pointer (the commit), then delivery.  A rerun on the same
-    input gates nothing and notifies nobody.
+    input gates nothing and notifies nobody.  batch: the stream and the number of its batch that this run takes in; one that
+    the state already holds changes nothing, but for a delivery that wasn't begun.
     """
     if mode not in ("daily", "baseline"):
         raise ValueError(f"no such mode: {mode}")
-    root, name = root.rstrip("/"), make_id(as_of)
+    root, name = root.rstrip("/"), make_id(as_of, "" if batch is None else f"{batch[0]}{batch[1]}")
     folder, store = f"{root}/runs/{name}", StateStore(spark, f"{root}/state")
-    state = store.load()
+    if batch is not None and store.committed_batch(batch[0]) >= batch[1]:
+        if reports.read_json(spark, f"{folder}/{reports.DECISION}") and name == store.current():
+            reports.deliver(spark, folder, send)
+        return None
     scanned = health.from_ok_sources(listings, status)
-    gated, postings = evaluate(scanned, details, state, rules, mode == "baseline")
-    write_run(postings, root, name)
+    gated, postings = evaluate(scanned, details, store, rules, mode == "baseline")
+    seen = Observation("run")
+    if "discovery_type" not in postings.columns:  # none of them qualifies
+        postings = postings.withColumn("discovery_type", F.lit(None).cast("string"))
+    is_new = F.coalesce(F.col("qualifies") & (F.col("discovery_type") == discovery.NEW), F.lit(False))
+    digest = F.sum(F.when(is_new, F.xxhash64("job_id").cast("decimal(38,0)")))
+    write_run(postings.observe(seen, F.count_if(is_new).alias("n_new"), digest.cast("string").alias("digest")), root, name)
     stored = read_run(spark, root, name)
     good = stored.where("qualifies")
 
@@ -78,45 +98,47 @@ def run(spark: SparkSession, root: str, registry: DataFrame, listings: DataFrame
     reports.write_report(spark, f"{folder}/{reports.SHORTLIST}", f"Priority 1 and 2, {name}", good.where("tier IN (1, 2)"))
     new = good.where(F.col("discovery_type") == discovery.NEW)
     reports.write_report(spark, f"{folder}/{reports.NEW_JOBS}", f"New jobs, {name}", new)
-    decision = reports.decision_document(name, [r["job_id"] for r in new.select("job_id").toLocalIterator()])
+    decision = reports.decision_document(name, seen.get["n_new"], seen.get["digest"])
     reports.write_json(spark, f"{folder}/{reports.DECISION}", decision)
 
-    store.write(name, next_state(state, gated, scanned, stored, status, name, mode == "baseline"))
+    store.append(name, delta(store, gated, scanned, stored, status, name, mode == "baseline"), batch)
     store.commit(name)
-    return Outcome(name, folder, decision, reports.deliver(spark, folder, send), gated.count())
+    delivery = reports.deliver(spark, folder, send)
+    store.compact()
+    return Outcome(name, folder, decision, delivery, gated.count())
 
 
-def next_state(state: dict[str, DataFrame], gated: DataFrame, scanned: DataFrame, stored: DataFrame, status: DataFrame, name: str, baseline: bool) -> dict[str, DataFrame]:
-    """The state after a run.  Sources that failed are in no listing, so their rows stay as they are."""
+def delta(store: StateStore, gated: DataFrame, scanned: DataFrame, stored: DataFrame, status: DataFrame, name: str, baseline: bool) -> dict[str, DataFrame]:
+    """What a run adds to the state.  Sources that failed are in no listing, so nothing is said of their identities."""
     resolved = stored.select("job_id", F.lit(gate.RESOLVED).alias("_status")).distinct()
-    tried = discovery.met(gated.select("job_id", "source"), state["seen_source_jobs"], state["source_status"]).join(resolved, "job_id", "left")
+    met = discovery.met(gated.select("job_id", "source"), store.lookup("seen_source_jobs", gated), store.load()["source_status"])
+    tried = met.join(resolved, "job_id", "left")
     tried = tried.select("job_id", "source", F.coalesce("_status", F.lit(gate.UNRESOLVED)).alias("status"), F.lit(1).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(baseline).alias("baseline"), "late")
     again = _one_per_job(identified(scanned), ["scanned_at"]).join(gated.select("job_id"), "job_id", "left_anti")
     again = again.select("job_id", "source", F.lit(gate.RESOLVED).alias("status"), F.lit(0).alias("attempts"), F.lit(name).alias("first_seen_run"), F.lit(name).alias("last_seen_run"), F.lit(False).alias("baseline"), F.lit(False).alias("late"))
-    jobs = stored.where("qualifies and not duplicate").select("canonical_id", "job_id", "source", "tier", F.lit(name).alias("first_seen_run"), "discovery_type", "rules_version")
-    last = status.select("source", "status", F.lit(name).alias("run_id"))
-    history = state["source_status"].join(last.select("source"), "source", "left_anti").unionByName(last)
-    return {"seen_source_jobs": merge.merged_seen(state["seen_source_jobs"], tried.unionByName(again)), "seen_jobs": merge.merged_jobs(state["seen_jobs"], jobs), "source_status": history}
+    jobs = stored.where("qualifies and not duplicate").select(*KNOWN, "tier", F.lit(name).alias("first_seen_run"), "discovery_type", "rules_version")
+    return {"seen_source_jobs": tried.unionByName(again), "seen_jobs": jobs, "source_status": status.select("source", "status", F.lit(name).alias("run_id"))}
 
 
-def reclassified(old: DataFrame, seen_jobs: DataFrame, rules: Rules, run_name: str) -> tuple[DataFrame, DataFrame]:
-    """(postings, seen_jobs): stored postings under other rules, with old_tier, and the state that follows from them.
+def reclassified(old: DataFrame, store: StateStore, rules: Rules, run_name: str) -> tuple[DataFrame, DataFrame]:
+    """(postings, seen_jobs): stored postings under other rules, with old_tier, and what follows for the state.
 
     Known jobs get their new tier; a job that newly qualifies enters the state as processed, so that the same job from
     another source is a duplicate later.  One that no longer qualifies stays known.
     """
-    inputs = ["job_id", "canonical_id", "source", "url", "location", "title", "department", "text", "posted_at"]
+    inputs = ["job_id", "source", "url", "url_key", "location", "title", "department", "text", "posted_at"]
     before = old.select("job_id", F.col("tier").alias("old_tier"), "discovery_type")
-    found = written(classify.classify(old.select(*inputs), rules).join(before, "job_id"), "classified")
+    found = classify.classify(old.select(*inputs), rules).join(before, "job_id")
     kind = F.coalesce("discovery_type", F.lit("previously_processed"))
-    good = rank.mark_duplicates(found.where("qualifies").withColumn("discovery_type", kind), "canonical_id", ["source", "job_id"])
+    good = likeness.mark_duplicates(found.where("qualifies").withColumn("discovery_type", kind), store.load()["seen_jobs"].select(KNOWN))
     good = rank.global_rank(good, [F.col("tier").asc(), F.col("fit_score").desc(), F.col("job_id").asc()])
-    every = written(good.unionByName(found.where(~F.col("qualifies")), allowMissingColumns=True), "reclassified")
-    moved = every.where("tier is not null").groupBy("canonical_id").agg(F.min("tier").alias("_tier"))
-    jobs = seen_jobs.join(moved, "canonical_id", "left").withColumn("rules_version", F.when(F.col("_tier").isNotNull(), rules.version).otherwise(F.col("rules_version"))).withColumn("tier", F.coalesce("_tier", "tier")).drop("_tier")
-    fresh = every.where("qualifies and not duplicate").join(seen_jobs.select("canonical_id"), "canonical_id", "left_anti")
-    fresh = fresh.select("canonical_id", "job_id", "source", "tier", F.lit(run_name).alias("first_seen_run"), F.lit("previously_processed").alias("discovery_type"), "rules_version")
-    return every, merge.merged_jobs(jobs, fresh)
+    rest = found.where(~F.col("qualifies")).withColumn("canonical_id", F.col("job_id"))
+    every = written(good.unionByName(rest, allowMissingColumns=True), "reclassified")
+    known = written(store.lookup("seen_jobs", every), "known")
+    moved = known.drop("tier", "rules_version").join(every.where("tier is not null").select("job_id", "tier", "rules_version"), "job_id")
+    fresh = every.where("qualifies and not duplicate").join(known.select("job_id"), "job_id", "left_anti")
+    fresh = fresh.select(*KNOWN, "tier", F.lit(run_name).alias("first_seen_run"), F.lit("previously_processed").alias("discovery_type"), "rules_version")
+    return every, moved.unionByName(fresh)
 
 
 def reclassify(spark: SparkSession, root: str, run_name: str, rules: Rules, suffix: str = "reclassified") -> tuple[str, DataFrame]:
@@ -127,18 +149,17 @@ def reclassify(spark: SparkSession, root: str, run_name: str, rules: Rules, suff
     """
     root = root.rstrip("/")
     name, store = f"{run_name}-{suffix}", StateStore(spark, f"{root}/state")
-    if store.current() == name:
+    if name == store.current() or name in store.manifest()["deltas"]:
         raise ValueError(f"{name} is current")
-    state = store.load()
-    every, jobs = reclassified(read_run(spark, root, run_name), state["seen_jobs"], rules, run_name)
+    every, jobs = reclassified(read_run(spark, root, run_name), store, rules, run_name)
     write_run(every, root, name)
     folder = f"{root}/runs/{name}"
     listed = every.where("qualifies")
     reports.write_report(spark, f"{folder}/{reports.REPORT}", f"Qualifying roles, {name}", listed)
     reports.write_report(spark, f"{folder}/{reports.SHORTLIST}", f"Priority 1 and 2, {name}", listed.where("tier IN (1, 2)"))
     reports.write_report(spark, f"{folder}/{reports.NEW_JOBS}", f"New jobs, {name}", listed.limit(0))
-    reports.write_json(spark, f"{folder}/{reports.DECISION}", reports.decision_document(name, []))
-    store.write(name, state | {"seen_jobs": jobs})
+    reports.write_json(spark, f"{folder}/{reports.DECISION}", reports.decision_document(name, 0, None))
+    store.append(name, {"seen_jobs": jobs})
     store.commit(name)
     reports.deliver(spark, folder, None)
     return name, every.where(~F.col("old_tier").eqNullSafe(F.col("tier"))).select("job_id", "old_tier", F.col("tier").alias("new_tier"))

@@ -1,8 +1,9 @@
-"""Postings derived from the driver's documents, and two runs over them from landed files, for queries with SQL.
+"""Postings derived from the driver's documents, and runs over them from landed files, for queries with SQL.
 
-A document is a posting: its id picks a title, a department and a line of requirements, every posting of a source has
-one paragraph in common, and some share a URL with others.  The first run is a baseline over a third of them with one source
-blocked, the second a daily run over all with another one blocked; some details fail in each.
+This belongs to the catalogue: the driver's tables hold no postings.  A document is a posting: its id picks a title, a department and a
+line of requirements, every posting of a source has one paragraph in common, and some share a page with others.  The
+first run is a baseline over a third of them with one source blocked, the second a daily run over all with another one blocked;
+some details fail in each.  Every company lands in a folder of its own.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from ..functions.time import run_id
 from ..sinks.files import write_text
 from ..sources import registry as R
 from ..tables import new_path, table, written
+from ..streaming.intake import gated_runs, listing_stream
 from . import daily
 
 TITLES = ("CUDA Intern", "Senior ML Engineer", "ML Intern", "vLLM New Grad", "Sales Intern, AI", "Marketing Intern", "Account Clerk", "IT Support Intern", "TensorRT-LLM Engineer", "HPC Engineer", "Kitchen Intern", "Data Scientist", "Junior MLOps [remote]|x", "Model Serving Engineer")
-NEEDS = ("0-2 years of experience", "3+ years", "10 years of experience", "for 30 years we have built", "2 to 4 yrs", "entry level role, no CUDA needed", "AI inference on GPU systems. 1 year", "deep learning lab, 1 year", "robots and deep learning, graduate")
+NEEDS = ("0-2 years of experience", "3+ years", "10 years of experience", "for 30 years we have built", "2 to 4 yrs", "more than 2 years of experience", "over 3 years of experience with CUDA", "a minimum of seven years experience", "up to 8 years", "entry level role, no CUDA needed", "AI inference on GPU systems. 1 year", "deep learning lab, 1 year", "robots and deep learning, graduate")
 SHARED = "Join our AI company."
 #: A source whose common paragraph doesn't name AI, and that paragraph.
 PLAIN = ("src6", "Join our company.")
@@ -29,7 +31,7 @@ DAYS = (datetime(2026, 1, 5, 15, tzinfo=UTC), datetime(2026, 1, 6, 15, tzinfo=UT
 RUNS = tuple(map(run_id, DAYS))
 #: Of each day: the source that is blocked, and the divisor of ids whose details fail.
 BLOCKED, FAILED = ("src7", "src9"), (11, 13)
-_worlds: dict[tuple[str, str], str] = {}
+_worlds: dict[tuple, str] = {}
 
 
 def _pick(values: tuple[str, ...]) -> Column:
@@ -38,37 +40,55 @@ def _pick(values: tuple[str, ...]) -> Column:
 
 def listed(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, source, native_id, url, title, location, department, text) of every document."""
-    own = F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/"), F.col("doc_id"), F.lit("?utm=1"))
-    url = F.when(F.col("doc_id") % 10 == 1, F.concat(F.lit("https://jobs.example.com/g"), F.floor(F.col("doc_id") / 40))).otherwise(own)
+    i, site = F.col("doc_id"), F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.com/"))
+    url = (
+        F.when(i % 10 == 1, F.concat(F.lit("https://jobs.example.com/g"), F.floor(i / 40), F.lit("?utm_source=x")))  # a page of several sources
+        .when(i % 10 == 2, F.concat(site, F.lit("job?lang=en&pid="), i, F.lit("&gclid=q")))  # jobs that the query tells apart
+        .when(i % 10 == 3, F.concat(site, F.lit("#/job/"), i))  # or the fragment
+        .when(i % 10 == 4, F.concat(site, F.lit("apply")))  # one page for all of a source
+        .otherwise(F.concat(site, i, F.lit("?utm=1#top")))
+    )
     title = F.when(F.col("doc_id") % 19 != 5, _pick(TITLES))
     department = F.when(F.col("doc_id") % 17 == 0, "Sales Operations").otherwise("Engineering")
     text = F.concat_ws("\n", "text", _pick(NEEDS), F.when(F.col("source") == PLAIN[0], PLAIN[1]).otherwise(SHARED))
-    return table(spark, d, "documents").select("doc_id", "source", F.col("doc_id").cast("string").alias("native_id"), url.alias("url"), title.alias("title"), F.lit("NY").alias("location"), department.alias("department"), text.alias("text"))
+    return table(spark, d, "documents").select("doc_id", "source", i.cast("string").alias("native_id"), url.alias("url"), title.alias("title"), F.lit("NY").alias("location"), department.alias("department"), text.alias("text"))
 
 
 def postings(spark: SparkSession, d: str) -> DataFrame:
-    return R.identified(listed(spark, d)).withColumn("posted_at", F.lit(None).cast("timestamp"))
+    """Written, so that identities are found once."""
+    return written(R.identified(listed(spark, d)).withColumn("posted_at", F.lit(None).cast("timestamp")), "postings")
 
 
-def world(spark: SparkSession, d: str) -> str:
-    """The root folder of the two runs, made once in a session."""
-    key = (spark.sparkContext.applicationId, d)
+def land(spark: SparkSession, every: DataFrame, companies: list[str], root: str, k: int) -> None:
+    """Day k's listings, details and status, each company's in its own folder, and the day's registry."""
+    day, at = f"{root}/landing/day{k + 1}", DAYS[k]
+    now = every.withColumn("scanned_at", F.lit(at)).where(F.lit(k == 1) | (F.col("doc_id") % 3 == 0))
+    fetched = F.when(F.col("doc_id") % FAILED[k] == 0, "failed").otherwise("ok")
+    now = now.withColumns({"fetch_status": fetched, "posted_at": F.col("scanned_at"), "of": F.col("source")})
+    for name, schema in (("listings", schemas.LISTINGS), ("details", schemas.DETAILS)):
+        now.select("of", *[f.name for f in schema]).write.partitionBy("of").json(f"{day}/{name}")
+    state = [(c, c, "blocked" if c == BLOCKED[k] else "ok", None) for c in companies]
+    spark.createDataFrame(state, "of string, source string, status string, error string").coalesce(1).write.partitionBy("of").json(f"{day}/status")
+    write_text(spark, f"{root}/sources{k + 1}.json", json.dumps([{"source": c, "enabled": True, "path": f"{day}/{{name}}/of={c}"} for c in companies] + [{"source": "closed", "enabled": False, "path": day}]))
+    write_text(spark, f"{root}/status{k + 1}.json", json.dumps({c: {"status": s, "run_id": RUNS[k]} for c, _, s, _ in state}))
+
+
+def world(spark: SparkSession, d: str, days: int = 2, stream: bool = False) -> str:
+    """The root folder of the first runs, made once in a session; as runs of a stream's batches if asked for."""
+    key = (spark.sparkContext.applicationId, d, days, stream)
     if key in _worlds:
         return _worlds[key]
     root = new_path(spark, "runs")
     every = written(listed(spark, d), "listed")
     companies = sorted(r[0] for r in every.select("source").distinct().collect())  # a row per company
-    for k, at in enumerate(DAYS):
-        folder = f"{root}/landing/day{k + 1}"
-        now = every.withColumn("scanned_at", F.lit(at)).where(F.lit(k == 1) | (F.col("doc_id") % 3 == 0))
-        now.select([f.name for f in schemas.LISTINGS]).write.json(f"{folder}/listings")
-        fetched = F.when(F.col("doc_id") % FAILED[k] == 0, "failed").otherwise("ok")
-        now.withColumn("fetch_status", fetched).withColumn("posted_at", F.col("scanned_at")).select([f.name for f in schemas.DETAILS]).write.json(f"{folder}/details")
-        status = {c: "blocked" if c == BLOCKED[k] else "ok" for c in companies}
-        spark.createDataFrame([(c, s, None) for c, s in status.items()], schemas.SOURCE_STATUS).coalesce(1).write.json(f"{folder}/status")
-        write_text(spark, f"{root}/sources{k + 1}.json", json.dumps([{"source": c, "enabled": True, "path": folder} for c in companies] + [{"source": "closed", "enabled": False, "path": folder}]))
-        write_text(spark, f"{root}/status{k + 1}.json", json.dumps({c: {"status": s, "run_id": RUNS[k]} for c, s in status.items()}))
+    for k, at in enumerate(DAYS[:days]):
+        land(spark, every, companies, root, k)
+        mode = "daily" if k else "baseline"
         known = R.load_registry(spark, f"{root}/sources{k + 1}.json")
-        daily.run(spark, root, known, R.scan_listings(spark, known), R.scan_details(spark, known), R.scan_status(spark, known), at, "daily" if k else "baseline", send=lambda _: "sent")
+        if stream:
+            taken = listing_stream(spark, f"{root}/landing/*/listings/*")
+            gated_runs(spark, taken, root, lambda known=known: known, f"{root}/checkpoint", mode=mode, send=lambda _: "sent").awaitTermination()
+        else:
+            daily.run(spark, root, known, R.scan_listings(spark, known), R.scan_details(spark, known), R.scan_status(spark, known), at, mode, send=lambda _: "sent")
     _worlds[key] = root
     return root

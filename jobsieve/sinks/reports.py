@@ -54,9 +54,10 @@ def write_report(spark: SparkSession, path: str, title: str, found: DataFrame, h
     write_lines(spark, path, lines())
 
 
-def decision_document(run_id: str, job_ids: list[str]) -> dict:
-    ids = sorted(job_ids)
-    return {"notification_id": hashlib.md5("|".join([run_id, *ids]).encode()).hexdigest(), "run_id": run_id, "should_notify": bool(ids), "n_new": len(ids), "job_ids": ids}
+def decision_document(run_id: str, n_new: int, digest: str | None) -> dict:
+    """The decision of a run: how many new jobs it has, and where they are listed; the notification's id follows the run and a
+    digest of the new jobs' ids."""
+    return {"notification_id": hashlib.md5(f"{run_id}|{n_new}|{digest or ''}".encode()).hexdigest(), "run_id": run_id, "should_notify": n_new > 0, "n_new": n_new, "listed_in": NEW_JOBS}
 
 
 def write_json(spark: SparkSession, path: str, document: dict) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import canonical_id, job_id
+from ..functions.text import job_id, url_key
 from ..sinks.files import exists
 
 # The companies.
@@ -26,9 +26,11 @@ def load_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _paths(spark: SparkSession, registry: DataFrame, name: str) -> list[str]:
-    """Landed folders of the sources; a source that has none has nothing to read."""
+    """Landed folders of the sources, in the folder of each or where its path has ``{name}``; a source that has none has nothing to
+    read."""
     rows = registry.where("path is not null").select("path").distinct().collect()  # a row per company
-    return [p for p in (f"{r['path']}/{name}" for r in rows) if exists(spark, p)]
+    own = (r["path"].replace("{name}", name) if "{name}" in r["path"] else f"{r['path']}/{name}" for r in rows)
+    return [p for p in own if exists(spark, p)]
 
 
 def scan_listings(spark: SparkSession, registry: DataFrame) -> DataFrame:
@@ -48,6 +50,8 @@ def scan_status(spark: SparkSession, registry: DataFrame) -> DataFrame:
 
 
 def identified(rows: DataFrame) -> DataFrame:
-    """rows (source, native_id, url) with job_id and canonical_id; a row without an identity fails the query."""
-    own = rows.withColumn("job_id", job_id(F.col("source"), F.col("native_id"), F.col("url")))
-    return own.withColumn("canonical_id", canonical_id(F.col("job_id"), F.col("native_id"), F.col("url")))
+    """rows (source, native_id, url) with job_id and url_key; a row without an identity fails the query.
+
+    Two jobs of one source are never one: what links jobs of different sources is evidence (``likeness``), not identity.
+    """
+    return rows.withColumns({"job_id": job_id(F.col("source"), F.col("native_id"), F.col("url")), "url_key": url_key(F.col("url"))})

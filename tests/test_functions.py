@@ -1,3 +1,4 @@
+import random
 from datetime import UTC, date, datetime
 
 import pytest
@@ -12,11 +13,49 @@ def one(spark, value, f):
 
 
 @pytest.mark.parametrize(
-    ("said", "years"),
-    [("0–5 years", 0), ("1-3 years", 1), ("2 to 4 yrs", 2), ("3+ years", 3), ("10 years", 10), ("new grad", None), ("for 30 years we have built", None), ("For over 20 years we lead. 2+ years of experience", 2), (None, None), ("", None)],
+    ("said", "least", "most"),
+    [
+        ("0–5 years", 0, 5),
+        ("1-3 years", 1, 3),
+        ("2 to 4 yrs", 2, 4),
+        ("3+ years", 3, None),
+        ("3 or more years", 3, None),
+        ("10 years", 10, None),
+        ("new grad", None, None),
+        ("for 30 years we have built", None, None),
+        ("For over 20 years we lead. 2+ years of experience", 2, None),
+        ("more than 2 years of experience", 2, None),
+        ("over 3 years of experience with CUDA", 3, None),
+        ("for 3 years of experience", 3, None),
+        ("minimum of two years experience", 2, None),
+        ("up to 5 years of experience", 0, 5),
+        ("less than three years experience", 0, 3),
+        ("experience: at least 4 years", 4, None),
+        ("5 years of experience, of which 2 years with CUDA experience", 5, None),
+        ("five (5) years of experience", 5, None),
+        ("2.5 years of experience", 2, None),
+        ("over the past 12 years we grew; maximum of 2 years", 0, 2),
+        ("experienced yearly, in 2024", None, None),
+        (None, None, None),
+        ("", None, None),
+    ],
 )
-def test_least_years(spark, said, years):
-    assert one(spark, said, X.least_years) == years
+def test_years_asked(spark, said, least, most):
+    found = one(spark, said, X.years_asked)
+    assert (found and tuple(found)) == (None if least is None else (least, most)) and one(spark, said, X.least_years) == least
+
+
+TERMS = ["ai", "ml", "machine learning", "tensorrt", "tensorrt-llm", "c++", "entry level", "entry-level", "ai inference"]
+
+
+def test_terms_in_finds_what_mentions_finds(spark):
+    r = random.Random(2)
+    bits = ["ai", "AI", "machine", "learning", " ", "-", "\n", "tensorrt", "llm", "c++", "c", "entry", "level", "inference", "é", "x", "  "]
+    said = ["".join(r.choice(bits) + r.choice(["", " ", "-"]) for _ in range(r.randint(0, 9))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame([(s,) for s in said], "x string")
+    for row in df.select("x", X.terms_in(F.col("x"), TERMS).alias("found"), *[X.mentions(F.col("x"), [t]).alias(f"t{k}") for k, t in enumerate(TERMS)]).collect():
+        assert set(row["found"]) == {t for k, t in enumerate(TERMS) if row[f"t{k}"]}, row["x"]
+    assert one(spark, "ai", lambda c: X.terms_in(c, [])) == []
 
 
 @pytest.mark.parametrize(("said", "tokens", "hit"), [("maintain email systems", ["ai"], False), ("AI systems", ["ai"], True), ("TensorRT-LLM", ["tensorrt-llm"], True), ("c++ (ai)", ["ai"], True), (None, ["ai"], False), ("ai", [], False)])
@@ -29,13 +68,20 @@ def test_canonical_url(spark, url, want):
     assert one(spark, url, X.canonical_url) == want
 
 
+@pytest.mark.parametrize(
+    ("url", "want"),
+    [("https://careers.a.com/job?pid=1", "careers.a.com/job?pid=1"), ("https://careers.a.com/#/job/3", "careers.a.com#/job/3"), ("http://www.A.com/x/?utm_source=1&b=2&A=1#top", "a.com/x?a=1&b=2"), ("http://a.com/x?utm=1", "a.com/x"), ("", None), (None, None)],
+)
+def test_url_key(spark, url, want):
+    assert one(spark, url, X.url_key) == want
+
+
 def test_identity(spark):
-    rows = [("s", "1", "http://x/a?utm=1"), ("s", None, "http://x/a?utm=1"), ("s", None, "http://x/a"), ("s", None, "http://x/a?jobId=1"), ("s", None, "http://x/a?jobId=2")]
+    pages = ["job?pid=1", "job?pid=2", "#/job/3", "#/job/4", "job?pid=1&utm_source=x"]
+    rows = [("s", None, f"https://careers.a.com/{p}") for p in pages] + [("s", "1", "https://careers.a.com/job"), ("s", "2", "https://careers.a.com/job"), ("t", "1", "https://careers.a.com/job")]
     df = spark.createDataFrame(rows, "source string, native_id string, url string")
     ids = [r[0] for r in df.select(X.job_id(F.col("source"), F.col("native_id"), F.col("url"))).collect()]
-    assert ids[1] == ids[2] != ids[0]
-    jobs = [r[0] for r in df.select(X.canonical_id(F.lit("j"), F.col("native_id"), F.col("url"))).collect()]
-    assert jobs[0] == jobs[2] and len(set(jobs[2:])) == 3
+    assert ids[0] == ids[4] and len(set(ids)) == 7
     with pytest.raises(Exception, match="a listing needs"):
         spark.createDataFrame([("s", None, None)], df.schema).select(X.job_id(F.col("source"), F.col("native_id"), F.col("url"))).collect()
 

@@ -94,9 +94,12 @@ def test_decision_of_nothing(spark):
     assert [tuple(r) for r in got] == [(0, False)]
 
 
-def test_resolved_never_regresses(spark):
-    df = spark.createDataFrame([(1, 1, "resolved"), (1, 2, "unresolved"), (2, 1, "unresolved")], "doc_id int, version int, status string")
-    assert {tuple(r) for r in merge.latest(df).collect()} == {(1, 2, "resolved"), (2, 1, "unresolved")}
+def test_merged_state(spark):
+    rows = [("a", "S", "resolved", 1, "r1", "r1", True, False, 0), ("a", "S", "unresolved", 1, "r2", "r2", False, False, 1), ("b", "S", "unresolved", 1, "r1", "r1", False, True, 0), ("b", "S", "unresolved", 2, "r3", "r3", False, False, 2)]
+    df = spark.createDataFrame(rows, "job_id string, source string, status string, attempts int, first_seen_run string, last_seen_run string, baseline boolean, late boolean, _part int")
+    assert {tuple(r) for r in merge.merged_seen(df).collect()} == {("a", "S", "resolved", 2, "r1", "r2", True, False), ("b", "S", "unresolved", 3, "r1", "r3", False, True)}
+    jobs = spark.createDataFrame([("a", 2, "r1", "1", 0), ("a", 4, "r9", "2", 3)], "job_id string, tier int, first_seen_run string, rules_version string, _part int")
+    assert [r.asDict() for r in merge.merged_jobs(jobs).collect()] == [{"job_id": "a", "first_seen_run": "r1", "tier": 4, "rules_version": "2"}]
 
 
 def test_failed_is_not_empty(spark):

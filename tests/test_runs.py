@@ -11,6 +11,7 @@ from jobsieve.plans import daily
 from jobsieve.rules import DEFAULT
 from jobsieve.sinks import reports
 from jobsieve.sources.state import StateStore, read_json_state
+from jobsieve.streaming.intake import gated_runs, listing_stream
 
 START = datetime(2026, 1, 5, 15, tzinfo=UTC)
 TEXT = "CUDA kernels. 0-2 years."
@@ -82,6 +83,109 @@ def test_duplicates_alert_once(world):
     assert later.decision["n_new"] == 0 and list(world.kinds(later).values()) == ["duplicate_posting"]
 
 
+def test_jobs_that_the_query_or_fragment_tells_apart_all_alert(world):
+    world.run([], mode="baseline")
+    pages = ["https://careers.a.com/job?pid=1", "https://careers.a.com/job?pid=2", "https://careers.a.com/#/job/3", "https://careers.a.com/#/job/4"]
+    out = world.run([job("A", i, url=u, text=f"CUDA kernels for team {i}. 0-2 years. Work on part {i} of it.") for i, u in enumerate(pages, 1)])
+    assert out.decision["n_new"] == 4 and list(world.kinds(out).values()) == [discovery.NEW] * 4
+
+
+def test_the_same_text_on_another_page_alerts_once(world):
+    world.run([], mode="baseline")
+    long = "CUDA kernels for inference at scale. 0-2 years of experience. " + " ".join(f"word{i}" for i in range(60))
+    both = world.run([job("A", 1, text=long), job("B", 2, text=long.replace("word59", "other"))])
+    assert sorted(world.kinds(both).values()) == ["duplicate_posting", discovery.NEW] and both.decision["n_new"] == 1
+    later = world.run([job("B", 3, text=long.replace("word1 ", "some "))])
+    assert list(world.kinds(later).values()) == ["duplicate_posting"]
+    own = world.run([job("A", 4, text=long)])
+    assert list(world.kinds(own).values()) == [discovery.NEW]  # two jobs of one source are two jobs
+
+
+def test_state_is_a_log_of_deltas(world, spark, tmp_path):
+    """What a run writes follows the run; a compaction changes no row; a death in it changes nothing."""
+    store = StateStore(spark, f"{world.root}/state")
+    pool = [job("AB"[i % 2], i, text=f"CUDA kernels {i}. 0-2 years. " + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(60)]
+    world.run(pool, mode="baseline")
+    size = lambda v: sum(f.stat().st_size for f in (tmp_path / "state/versions" / v).rglob("*.parquet") if f.stat().st_size)
+    first = size(store.current())
+    rows = lambda: {n: sorted(map(str, t.collect())) for n, t in store.load().items()}
+    world.run(pool[:2])
+    assert size(store.current()) < first / 2 and len(store.manifest()["deltas"]) == 2
+    before = rows()
+    few = StateStore(spark, f"{world.root}/state", compact_after=2, buckets=3)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(StateStore, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            few.compact()
+    assert len(store.manifest()["deltas"]) == 2 and rows() == before
+    assert few.compact() and store.manifest()["deltas"] == [] and rows() == before
+    assert not few.compact()
+    after = world.run([*pool[:2], job("A", 99)])
+    assert after.gated == 1 and len(store.manifest()["deltas"]) == 1
+    found = store.lookup("seen_source_jobs", store.load()["seen_source_jobs"].limit(5)).count()
+    assert found == 5 and store.load()["seen_source_jobs"].count() == 61
+
+
+def test_the_base_of_the_state_is_not_shuffled(world, spark):
+    world.run([job("A", i) for i in range(20)], mode="baseline")
+    store = StateStore(spark, f"{world.root}/state", compact_after=1, buckets=4)
+    assert store.compact()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        listed = spark.createDataFrame([(f"x{i}",) for i in range(50)], "job_id string").repartition(3)
+        for df in (store.without("seen_source_jobs", listed, "status = 'resolved'"), store.lookup("seen_source_jobs", listed)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            scan = plan[: plan.index("Bucketed: true")].splitlines()
+            assert "SelectedBucketsCount: 4 out of 4" in plan
+            join = max(i for i, line in enumerate(scan) if "Join" in line)
+            assert not any("Exchange" in line for line in scan[join + 1 :] if "listed" in line) and sum("Exchange" in line for line in scan[join:]) <= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stream_of_runs_equals_the_runs(world, spark, tmp_path, monkeypatch):
+    """Batches killed between their rows and the commit, or after it, and replayed."""
+    days = [[job("A", 1), job("B", 2)], [job("A", 1), job("B", 2), job("A", 3), job("B", 4, "Senior Cook", "no")], [job("B", 5, text=None), job("A", 3)]]
+    registry = spark.createDataFrame([("A", True, f"file://{tmp_path}/land/a"), ("B", True, f"file://{tmp_path}/land/b")], schemas.SOURCES)
+    root, sent = f"file://{tmp_path}/streamed", []
+
+    def land(day, name, rows):
+        for s, own in rows.items():
+            folder = tmp_path / "land" / s.lower() / name
+            folder.mkdir(parents=True, exist_ok=True)
+            (folder / f"{day}.json").write_text("\n".join(json.dumps(r) for r in own))
+
+    def take(mode):
+        stream = listing_stream(spark, f"file://{tmp_path}/land/*/listings")
+        query = gated_runs(spark, stream, root, lambda: registry, f"file://{tmp_path}/checkpoint", mode=mode, send=lambda d: sent.append(d) or "sent")
+        query.awaitTermination()
+
+    for day, jobs in enumerate(days):
+        at = (START + timedelta(days=day)).isoformat().replace("+00:00", "Z")
+        of = lambda rows: {s: [x for x in rows if x["source"] == s] for s in "AB"}
+        land(day, "listings", of([{"source": s, "native_id": i, "url": u, "title": t, "location": "NY", "scanned_at": at} for s, i, u, t, _ in jobs]))
+        land(day, "details", of([{"source": s, "native_id": i, "url": u, "title": t, "department": "Eng", "text": x, "posted_at": at, "fetch_status": "ok"} for s, i, u, t, x in jobs if x is not None]))
+        land(0, "status", {s: [{"source": s, "status": "ok"}] for s in "AB"})
+        mode = "daily" if day else "baseline"
+        want = world.run(jobs, mode=mode)
+        for dies in (["commit"] if day == 1 else ["deliver"] if day == 2 else []):
+            with monkeypatch.context() as m:
+                gone = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed"))
+                m.setattr(StateStore, "commit", gone) if dies == "commit" else m.setattr(StateStore, "compact", gone)
+                with pytest.raises(Exception, match="killed"):
+                    take(mode)
+        take(mode)
+        take(mode)  # nothing new has landed
+        store = StateStore(spark, f"{root}/state")
+        assert store.committed_batch("s") == day
+        stored = daily.read_run(spark, root, f"{want.run_id}-s{day}").select("job_id", "qualifies", "tier", "rank", "discovery_type").collect()
+        batch = daily.read_run(spark, world.root, want.run_id).select("job_id", "qualifies", "tier", "rank", "discovery_type").collect()
+        assert sorted(map(str, stored)) == sorted(map(str, batch))
+        plain = lambda s: sorted((r["job_id"], r["status"], r["attempts"], r["baseline"], r["late"]) for r in s.load()["seen_source_jobs"].collect())
+        assert plain(store) == plain(StateStore(spark, f"{world.root}/state"))
+    assert len(sent) == len(world.sent) == 1
+
+
 def test_unresolved_is_tried_again_and_alerts_once(world, spark):
     world.run([], mode="baseline")
     assert world.run([job("A", 1, text=None)]).gated == 1
@@ -185,7 +289,9 @@ def test_random_days(world, spark):
         now = {x["job_id"] for x in StateStore(spark, f"{world.root}/state").load()["seen_source_jobs"].collect()}
         assert known <= now and len(now) == len(listed)
         known = now
-        alerted += out.decision["job_ids"]
+        fresh = [x["job_id"] for x in stored if x["discovery_type"] == discovery.NEW]
+        assert out.decision["n_new"] == len(fresh)
+        alerted += fresh
     assert len(alerted) == len(set(alerted))
 
 
