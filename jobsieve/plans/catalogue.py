@@ -287,7 +287,7 @@ def traced_postings(spark, d):
     found = read_run(spark, root, postings.RUNS[1]).where("qualifies").select("job_id")
     known = registry.load_registry(spark, f"{root}/sources2.json")
     listed = registry.identified(registry.scan_listings(spark, known)).select("job_id", F.lit(1).alias("listed"))
-    return found.join(listed.distinct(), "job_id", "left").agg(F.count("*").alias("n_reported"), F.count_if("listed is null").alias("n_untraced"))
+    return found.join(listed.distinct(), "job_id", "left").agg(F.count("*").alias("n_reported"), F.count_if(F.col("listed").isNull()).alias("n_untraced"))
 
 
 def gated_stream(spark, d):
