@@ -256,7 +256,7 @@ class Model:
                 blank = self.squeeze and c == " "
             at += size
         if self.squeeze:
-            while out and out[-1] == " ":
+            while out and out[-1] in (" ", SPACE):
                 out.pop()
                 at = first.pop()
         if not out:
