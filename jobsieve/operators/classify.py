@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import known_words, least_years, mentions, terms_in, text
 from ..rules import BACKUP_TIER, DEFAULT, Rules
 from ..tables import written
+from .boilerplate import without_edited
 
 #: Rows of common paragraphs that are broadcast at most.
 COMMON = 200_000
@@ -130,7 +131,7 @@ def classify(postings: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
     classifier could stand, as a function from DataFrame to DataFrame.
     """
     terms = every_term(rules)
-    own = without_boilerplate(postings, rules)
+    own = without_boilerplate(postings, rules) if rules.boilerplate_percent is None else without_edited(postings, rules)
     texts = {"_own": F.concat_ws("\n", "title", "own_text"), "_whole": F.concat_ws("\n", "title", "text")}
     own = own.withColumns({f"{k}_words": known_words(x, terms) for k, x in texts.items()})
     own = own.withColumns({f"{k}_terms": terms_in(x, terms, F.col(f"{k}_words")) for k, x in texts.items()})

@@ -118,6 +118,16 @@ def classified(spark, d):
     return _classified(spark, d).select("doc_id", "qualifies", "reject_reason", "tier", "fit_score", "rules_version")
 
 
+#: Rules that see through edits of boilerplate.
+EDITS = DEFAULT.with_version("edits", boilerplate_percent=60)
+
+
+def edited_boilerplate(spark, d):
+    """Postings with a paragraph that names a place, another one in each fifth of them, classified by rules that see through it."""
+    own = registry.identified(postings.with_edited(postings.listed(spark, d)))
+    return classify.classify(own, EDITS).select("doc_id", F.md5("own_text").alias("own_md5"), "reject_reason", "tier", "fit_score")
+
+
 def exclusion_filter(spark, d):
     return _classified(spark, d).where(F.col("reject_reason").isin("senior", "sales", "marketing", "infrastructure", "boilerplate")).select("doc_id", "reject_reason")
 
@@ -330,7 +340,7 @@ exclusion_filter relevance_filter boilerplate_strip priority_tier rank_by_fit to
 discovery_type notify_decision report priority_shortlist new_jobs source_health state_merge first_last_seen run_buckets
 reclassify_diff schedule_utc posting_identity years_asked own_text classified landed_sources json_state run_postings
 run_state run_seen_jobs run_health run_documents report_lines shortlist_lines new_job_lines intake_stream run_ids
-alike_postings duplicate_jobs reclassified_jobs traced_postings gated_stream""".split()
+alike_postings duplicate_jobs reclassified_jobs traced_postings gated_stream edited_boilerplate""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
 
@@ -395,18 +405,30 @@ def _relevant(column: str, rules=DEFAULT) -> str:
     return _any_of(column, dict.fromkeys([*rules.relevance, *(t for own in rules.tiers.values() for t in own)]))
 
 
+def _own_texts(name: str, rules) -> str:
+    """Common table expressions that end in ``{name}_o``: of each job the paragraphs that aren't boilerplate."""
+    often = f"HAVING count(DISTINCT job_id) >= {rules.boilerplate_postings} AND count(DISTINCT job_id) >= {rules.boilerplate_share} * n"
+    if rules.boilerplate_percent is None:
+        return rf"""{name}_c AS (SELECT source, trim(para) AS para FROM {name}_p JOIN {name}_n USING (source) GROUP BY source, trim(para), n {often}),
+    {name}_o AS (SELECT job_id, string_agg(para, chr(10) ORDER BY place) AS own_text FROM {name}_p p
+        WHERE NOT EXISTS (SELECT 1 FROM {name}_c c WHERE c.source = p.source AND c.para = trim(p.para)) GROUP BY job_id)"""
+    return rf"""{name}_g AS (SELECT *, list_filter(regexp_split_to_array(lower(para), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM {name}_p),
+    {name}_u AS (SELECT job_id, source, place, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - 1, 2)), lambda i: array_to_string(ws[i:i + 2], ' ')))) AS run FROM {name}_g WHERE len(ws) > 0),
+    {name}_c AS (SELECT source, run FROM {name}_u JOIN {name}_n USING (source) GROUP BY source, run, n {often}),
+    {name}_b AS (SELECT job_id, place FROM {name}_u u LEFT JOIN {name}_c c ON c.source = u.source AND c.run = u.run GROUP BY job_id, place HAVING 100 * count(c.run) >= {rules.boilerplate_percent} * count(*)),
+    {name}_o AS (SELECT job_id, string_agg(para, chr(10) ORDER BY place) AS own_text FROM {name}_p p ANTI JOIN {name}_b USING (job_id, place) GROUP BY job_id)"""
+
+
 def _with_classified(name: str, source: str, rules=DEFAULT) -> str:
     """Common table expressions that end in ``name``: the rows of ``source`` classified."""
     terms = [t for n in sorted(rules.tiers) for t in rules.tiers[n]]
     fit = " + ".join(f"CASE WHEN {_any_of('own', [t])} THEN {10.0 ** (3 - n)}::DOUBLE ELSE 0 END" for n in sorted(rules.tiers) for t in rules.tiers[n])
     tier = " ".join(f"WHEN {_any_of('own', rules.tiers[n])} THEN {n}" for n in sorted(rules.tiers))
     demoted = f"WHEN {_any_of('own', rules.demoted)} THEN 4" if rules.demoted else ""
-    return rf"""{name}_p AS (SELECT * FROM (SELECT job_id, source, unnest(string_split(text, chr(10))) AS para, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM {source}) WHERE trim(para) <> ''),
+    paragraphs = f"{name}_p AS (SELECT * FROM (SELECT job_id, source, unnest(string_split(text, chr(10))) AS para, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM {source}) WHERE trim(para) <> '')"
+    return rf"""{paragraphs},
     {name}_n AS (SELECT source, count(*) AS n FROM {source} GROUP BY source),
-    {name}_c AS (SELECT source, trim(para) AS para FROM {name}_p JOIN {name}_n USING (source) GROUP BY source, trim(para), n
-        HAVING count(DISTINCT job_id) >= {rules.boilerplate_postings} AND count(DISTINCT job_id) >= {rules.boilerplate_share} * n),
-    {name}_o AS (SELECT job_id, string_agg(para, chr(10) ORDER BY place) AS own_text FROM {name}_p p
-        WHERE NOT EXISTS (SELECT 1 FROM {name}_c c WHERE c.source = p.source AND c.para = trim(p.para)) GROUP BY job_id),
+    {_own_texts(name, rules)},
     {name}_l AS (SELECT s.*, coalesce(own_text, '') AS own_text, lower(concat_ws(chr(10), title, coalesce(own_text, ''))) AS own, lower(concat_ws(chr(10), title, text)) AS whole,
         lower(coalesce(title, '')) AS head, lower(concat_ws(' ', title, department)) AS spot FROM {source} s LEFT JOIN {name}_o USING (job_id)),
     {name}_r AS (SELECT *, CASE WHEN {_any_of('head', rules.senior)} THEN 'senior' WHEN {_any_of('spot', rules.sales)} THEN 'sales' WHEN {_any_of('spot', rules.marketing)} THEN 'marketing'
@@ -469,6 +491,8 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT job_id, canonical_id, tier, '{postings.RUNS[0]}', 'previously_processed', '2' FROM qw WHERE NOT duplicate AND job_id NOT IN (SELECT job_id FROM k1)""",
     "own_text": f"{_CLASSIFIED} SELECT doc_id, md5(own_text) AS own_md5 FROM c",
     "classified": f"{_CLASSIFIED} SELECT doc_id, qualifies, reject_reason, tier, fit_score, '1' AS rules_version FROM c",
+    "edited_boilerplate": f"""WITH p AS (SELECT * REPLACE (concat_ws(chr(10), text, CASE WHEN doc_id % 7 > 0 THEN '{postings.EDITED[0]}' || {_list(postings.PLACES)}[doc_id % {len(postings.PLACES)} + 1] || '{postings.EDITED[1]}' END) AS text) FROM ({_POSTINGS})),
+        {_with_classified('c', 'p', EDITS)} SELECT doc_id, md5(own_text) AS own_md5, reject_reason, tier, fit_score FROM c""",
     "landed_sources": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "json_state": f"SELECT DISTINCT source, CASE WHEN source = 'src7' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[0]}' AS run_id FROM documents",
     "run_postings": _RUN,

@@ -27,6 +27,9 @@ NEEDS = ("0-2 years of experience", "3+ years", "10 years of experience", "for 3
 SHARED = "Join our AI company."
 #: A source whose common paragraph doesn't name AI, and that paragraph.
 PLAIN = ("src6", "Join our company.")
+#: A paragraph that names one of some places.
+EDITED = ("Our team in ", " builds AI systems that people all over the world trust with the work of every day.")
+PLACES = ("Austin", "Boston", "Berlin", "Raleigh, North Carolina", "Zurich")
 DAYS = (datetime(2026, 1, 5, 15, tzinfo=UTC), datetime(2026, 1, 6, 15, tzinfo=UTC))
 RUNS = tuple(map(run_id, DAYS))
 #: Of each day: the source that is blocked, and the divisor of ids whose details fail.
@@ -54,6 +57,12 @@ def listed(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "source", i.cast("string").alias("native_id"), url.alias("url"), title.alias("title"), F.lit("NY").alias("location"), department.alias("department"), text.alias("text"))
 
 
+def with_edited(every: DataFrame) -> DataFrame:
+    """every with a paragraph more in six of seven postings, which differs by place."""
+    said = F.concat(F.lit(EDITED[0]), F.element_at(F.array(*map(F.lit, PLACES)), (F.col("doc_id") % len(PLACES)).cast("int") + 1), F.lit(EDITED[1]))
+    return every.withColumn("text", F.concat_ws("\n", "text", F.when(F.col("doc_id") % 7 > 0, said)))
+
+
 def postings(spark: SparkSession, d: str) -> DataFrame:
     """Written, so that identities are found once."""
     return written(R.identified(listed(spark, d)).withColumn("posted_at", F.lit(None).cast("timestamp")), "postings")

@@ -19,6 +19,8 @@ class Rules:
     #: A paragraph that so many postings of a source share is boilerplate, if they are also this share of its postings.
     boilerplate_postings: int = 3
     boilerplate_share: float = 0.5
+    #: If set, a paragraph is boilerplate too if so many of 100 of its runs of words are that common: it may have been edited.
+    boilerplate_percent: int | None = None
     #: Reclassification: tokens that move a posting to the last tier.
     demoted: tuple[str, ...] = field(default=())
 
