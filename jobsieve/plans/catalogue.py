@@ -258,6 +258,20 @@ def landed_sources(spark, d):
     return known.select("source").join(registry.scan_listings(spark, known).groupBy("source").agg(F.count("*").alias("n")), "source", "left")
 
 
+_broken: dict[tuple, str] = {}
+
+
+def broken_sources(spark, d):
+    """Health of the first day's sources after some broke: one landed a line that is no record, one a record of another source, one no
+    folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _broken:
+        _broken[key] = postings.break_sources(spark, postings.listed(spark, d))
+    known = registry.load_registry(spark, _broken[key])
+    rows, status = registry.scan_sources(spark, known)
+    return health.source_health(known, status, rows.groupBy("source").agg(F.count("*").alias("n"))).select("source", "status", "n", "error")
+
+
 def json_state(spark, d):
     return read_json_state(spark, f"{postings.world(spark, d)}/status1.json", schemas.STATUS_HISTORY, "source")
 
@@ -340,7 +354,7 @@ exclusion_filter relevance_filter boilerplate_strip priority_tier rank_by_fit to
 discovery_type notify_decision report priority_shortlist new_jobs source_health state_merge first_last_seen run_buckets
 reclassify_diff schedule_utc posting_identity years_asked own_text classified landed_sources json_state run_postings
 run_state run_seen_jobs run_health run_documents report_lines shortlist_lines new_job_lines intake_stream run_ids
-alike_postings duplicate_jobs reclassified_jobs traced_postings gated_stream edited_boilerplate""".split()
+alike_postings duplicate_jobs reclassified_jobs traced_postings gated_stream edited_boilerplate broken_sources""".split()
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: globals()[name] for name in _NAMES}
 
@@ -493,6 +507,8 @@ ORACLE_SQL: dict[str, str] = {
     "classified": f"{_CLASSIFIED} SELECT doc_id, qualifies, reject_reason, tier, fit_score, '1' AS rules_version FROM c",
     "edited_boilerplate": f"""WITH p AS (SELECT * REPLACE (concat_ws(chr(10), text, CASE WHEN doc_id % 7 > 0 THEN '{postings.EDITED[0]}' || {_list(postings.PLACES)}[doc_id % {len(postings.PLACES)} + 1] || '{postings.EDITED[1]}' END) AS text) FROM ({_POSTINGS})),
         {_with_classified('c', 'p', EDITS)} SELECT doc_id, md5(own_text) AS own_md5, reject_reason, tier, fit_score FROM c""",
+    "broken_sources": """WITH h AS (SELECT source, count(*) AS n, CASE source WHEN 'src1' THEN 'a line is no record (1 in all)' WHEN 'src2' THEN 'a record of another source (1 in all)' WHEN 'src3' THEN 'no landed folder' END AS error FROM documents GROUP BY source)
+        SELECT source, CASE WHEN error IS NULL THEN 'ok' WHEN source = 'src3' THEN 'unavailable' ELSE 'blocked' END AS status, CASE WHEN error IS NULL THEN n END AS n, error FROM h""",
     "landed_sources": "SELECT source, count(*) AS n FROM documents GROUP BY source",
     "json_state": f"SELECT DISTINCT source, CASE WHEN source = 'src7' THEN 'blocked' ELSE 'ok' END AS status, '{postings.RUNS[0]}' AS run_id FROM documents",
     "run_postings": _RUN,

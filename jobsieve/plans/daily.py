@@ -14,6 +14,7 @@ from ..functions.time import run_id as make_id
 from ..operators import classify, discovery, gate, health, likeness, rank
 from ..rules import DEFAULT, Rules
 from ..sinks import reports
+from ..sources import registry as sources
 from ..sources.registry import identified
 from ..sources.state import StateStore, read_run, write_run
 from ..tables import written
@@ -108,6 +109,17 @@ def run(spark: SparkSession, root: str, registry: DataFrame, listings: DataFrame
     return Outcome(name, folder, decision, delivery, gated.count())
 
 
+def run_landed(spark: SparkSession, root: str, registry: DataFrame, as_of: datetime, mode: str = "daily", rules: Rules = DEFAULT, send: Send | None = None) -> Outcome | None:
+    """``run`` over what the sources of the registry landed.
+
+    A source is blocked where its own status says so or its listings can't be read as a whole; the others run.  Of a source whose
+    details can't be read as a whole no posting is resolved, and all are tried again.
+    """
+    listings, scanned = sources.scan_sources(spark, registry)
+    details, _ = sources.scan_sources(spark, registry, "details", schemas.DETAILS)
+    return run(spark, root, registry, listings, details, sources.worse_status(scanned, sources.scan_status(spark, registry)), as_of, mode, rules, send)
+
+
 def delta(store: StateStore, gated: DataFrame, scanned: DataFrame, stored: DataFrame, status: DataFrame, name: str, baseline: bool) -> dict[str, DataFrame]:
     """What a run adds to the state.  Sources that failed are in no listing, so nothing is said of their identities."""
     resolved = stored.select("job_id", F.lit(gate.RESOLVED).alias("_status")).distinct()

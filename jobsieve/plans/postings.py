@@ -82,6 +82,22 @@ def land(spark: SparkSession, every: DataFrame, companies: list[str], root: str,
     write_text(spark, f"{root}/status{k + 1}.json", json.dumps({c: {"status": s, "run_id": RUNS[k]} for c, _, s, _ in state}))
 
 
+#: Sources that land a line that is no record, a record of another source, and nothing.
+TORN, FOREIGN, ABSENT = "src1", "src2", "src3"
+
+
+def break_sources(spark: SparkSession, every: DataFrame) -> str:
+    """The registry of sources that landed the listings of every, each in its own folder, some of them broken."""
+    root = new_path(spark, "broken")
+    now = every.withColumns({"scanned_at": F.lit(DAYS[0]), "of": F.col("source")}).select("of", *schemas.LISTINGS.names)
+    now.where(F.col("source") != ABSENT).write.partitionBy("of").json(f"{root}/listings")
+    write_text(spark, f"{root}/listings/of={TORN}/torn.json", '{"source": "src1", "native_id": "1')
+    write_text(spark, f"{root}/listings/of={FOREIGN}/foreign.json", json.dumps({"source": "elsewhere", "native_id": "1"}))
+    companies = sorted(r[0] for r in every.select("source").distinct().collect())  # a row per company
+    write_text(spark, f"{root}/sources.json", json.dumps([{"source": c, "enabled": True, "path": f"{root}/{{name}}/of={c}"} for c in companies]))
+    return f"{root}/sources.json"
+
+
 def world(spark: SparkSession, d: str, days: int = 2, stream: bool = False) -> str:
     """The root folder of the first runs, made once in a session; as runs of a stream's batches if asked for."""
     key = (spark.sparkContext.applicationId, d, days, stream)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
 
+#: The beginning of a path of a store that has no host.
+NO_HOST = r"^([^:/]+):/{3,}"
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -20,6 +25,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _store(spark, path).exists(_path(spark, path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its store, encoded; without the slashes of an empty host, which Spark's names of files have or lack."""
+    store = _store(spark, path)
+    whole = _path(spark, path).makeQualified(store.getUri(), store.getWorkingDirectory()).toUri().toString()
+    return re.sub(NO_HOST, r"\1:/", whole).rstrip("/")
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a file; None if there is none."""
     if not exists(spark, path):
