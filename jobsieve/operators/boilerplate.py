@@ -20,16 +20,21 @@ from .likeness import runs_of
 #: Words of a run.
 WIDTH = 3
 #: Buckets of the first pass, for each source.  A bucket's mean load is the runs of a mean posting divided by this, times the
-#: postings: far below the share that makes boilerplate, however many postings there are.
-BUCKETS = 1 << 16
+#: postings: far below the share that makes boilerplate, however many postings there are.  A task sends no more rows than it
+#: has sources times this.
+BUCKETS = 1 << 12
 #: Common runs of all sources that are broadcast as lists to look in.
 LISTED = 10_000
 
 
+def lines_of(body: str) -> Column:
+    """The non-blank paragraphs of a text."""
+    return F.filter(F.split(text(F.col(body)), "\n"), lambda x: F.trim(x) != "")
+
+
 def with_runs(postings: DataFrame, body: str = "text") -> DataFrame:
     """postings with ``_lines``, the non-blank paragraphs, and ``_runs``, the distinct hashes of each one's runs of words."""
-    lines = F.filter(F.split(text(F.col(body)), "\n"), lambda x: F.trim(x) != "")
-    return postings.withColumn("_lines", lines).withColumn("_runs", F.transform("_lines", lambda x: runs_of(x, WIDTH)))
+    return postings.withColumn("_lines", lines_of(body)).withColumn("_runs", F.transform("_lines", lambda x: runs_of(x, WIDTH)))
 
 
 def common_runs(rows: DataFrame, source: str, least: int, share: float, buckets: int = BUCKETS) -> DataFrame:
@@ -61,10 +66,11 @@ def without_edited(postings: DataFrame, rules: Rules, key: str = "job_id", sourc
     Paragraphs that postings share word for word are dropped as by the rule of equal paragraphs, since all their runs are common.
     Every posting keeps its row; blank lines go.  A null text is an empty one, and postings without a source keep all.
     """
-    rows = written(with_runs(postings, body), "paragraph_runs")
+    rows = written(with_runs(postings, body).select(key, source, "_runs"), "paragraph_runs")
     common = written(common_runs(rows, source, rules.boilerplate_postings, rules.boilerplate_share), "common_runs")
     if common.count() <= listed:
-        own = rows.join(F.broadcast(common.groupBy(source).agg(F.collect_list("run").alias("_common"))), source, "left")
+        # of a posting's own lines the runs are found again: texts aren't written beside their runs
+        own = with_runs(postings, body).join(F.broadcast(common.groupBy(source).agg(F.collect_list("run").alias("_common"))), source, "left")
         shared = lambda runs: F.coalesce(F.size(F.array_intersect(runs, F.col("_common"))), F.lit(0))
         kept = F.filter(F.arrays_zip("_lines", "_runs"), lambda x: ~_boilerplate(shared(x["_runs"]), x["_runs"], rules.boilerplate_percent))
         return own.withColumn("own_text", F.array_join(F.transform(kept, lambda x: x["_lines"]), "\n")).drop("_lines", "_runs", "_common")
@@ -73,6 +79,6 @@ def without_edited(postings: DataFrame, rules: Rules, key: str = "job_id", sourc
     total = common.agg(F.sum("n")).first()[0]
     met = join_counted(each, common, [source, "run"], "n", total, "inner")
     gone = met.groupBy(key, "_at", "_of").agg(F.count("*").alias("_n")).where(100 * F.col("_n") >= rules.boilerplate_percent * F.col("_of"))
-    own = rows.join(gone.groupBy(key).agg(F.collect_list("_at").alias("_gone")), key, "left")
-    kept = F.filter("_lines", lambda x, at: ~F.coalesce(F.array_contains("_gone", at), F.lit(False)))
-    return own.withColumn("own_text", F.array_join(kept, "\n")).drop("_lines", "_runs", "_gone")
+    own = postings.join(gone.groupBy(key).agg(F.collect_list("_at").alias("_gone")), key, "left")
+    kept = F.filter(lines_of(body), lambda x, at: ~F.coalesce(F.array_contains("_gone", at), F.lit(False)))
+    return own.withColumn("own_text", F.array_join(kept, "\n")).drop("_gone")
