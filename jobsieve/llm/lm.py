@@ -15,7 +15,9 @@ are what takes most disk, so they are counted in rounds, a share of the shards i
 from __future__ import annotations
 
 import gc
+import mmap
 import os
+import sys
 import tempfile
 from functools import lru_cache, reduce
 
@@ -67,19 +69,30 @@ def put(folder: str, name: str, array: np.ndarray) -> None:
         file.write(np.ascontiguousarray(array).tobytes())
 
 
+#: An array keeps its map and not a descriptor, of which a process has few and a large model has files by the ten thousand.
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+
+
+def _map(file, kind: str) -> np.ndarray:
+    """The array of an open file, mapped into memory, which outlives the file's descriptor."""
+    if not os.fstat(file.fileno()).st_size:
+        return np.zeros(0, kind)
+    return np.frombuffer(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED), kind)
+
+
 @lru_cache(maxsize=1 << 15)
 def mapped(folder: str, name: str, kind: str) -> np.ndarray:
     """An array of the shared folder, mapped into memory; from other stores than a file system, from an unlinked copy."""
     local = _local(folder)
     if local:
-        at = f"{local}/{name}"
-        return np.memmap(at, kind, "r") if os.path.getsize(at) else np.zeros(0, kind)
+        with open(f"{local}/{name}", "rb") as file:
+            return _map(file, kind)
     store, path = fs.FileSystem.from_uri(folder)
     with tempfile.TemporaryFile() as copy, store.open_input_stream(f"{path}/{name}") as file:
         while part := file.read(1 << 22):
             copy.write(part)
         copy.flush()
-        return np.memmap(copy, kind, "r") if copy.tell() else np.zeros(0, kind)
+        return _map(copy, kind)
 
 
 # --- arrays of a shard --------------------------------------------------------------------------------------------

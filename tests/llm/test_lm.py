@@ -1,8 +1,10 @@
 import math
+import os
 import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from jobsieve.llm import lm
@@ -83,3 +85,14 @@ def test_odd_texts(spark, odd_docs, no_docs):
 
 def test_discounts():
     assert lm.discounts(0, 0, 0, 0) == lm.FALLBACK and all(0 <= d <= 3 for d in lm.discounts(100, 40, 20, 10))
+
+
+def test_mapped_arrays_hold_no_descriptors(tmp_path):
+    """A model of some GB has tens of thousands of arrays, more than a process may have files open."""
+    for i in range(200):
+        lm.put(str(tmp_path), f"{i}.x", np.arange(i, dtype="<u4"))
+    lm.mapped.cache_clear()
+    before = len(os.listdir("/proc/self/fd"))
+    arrays = [lm.mapped(str(tmp_path), f"{i}.x", "<u4") for i in range(200)]
+    assert len(os.listdir("/proc/self/fd")) - before < 20
+    assert all((a == np.arange(i)).all() and len(a) == i for i, a in enumerate(arrays))
