@@ -102,3 +102,11 @@ def test_run_id():
     assert S.parse_run_id("20260805T183643Z-reclassified") == (at, "reclassified")
     with pytest.raises(ValueError):
         S.run_id(datetime(2026, 1, 1))
+
+
+def test_a_text_is_split_once_for_all_terms(spark):
+    df = spark.createDataFrame([("deep learning, CUDA",), ("new grad",), (None,)], "t string")
+    terms = ["deep learning", "cuda", "new grad", "ml compiler"]
+    found = df.where(F.size(X.terms_in(F.col("t"), terms)) > 0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and sorted(r["t"] for r in found.collect()) == ["deep learning, CUDA", "new grad"]
