@@ -87,3 +87,17 @@ def test_texts_are_not_shuffled(spark):
     rows = spark.createDataFrame(some_rows(0), SHAPE)
     plan = boilerplate.without_edited(rows, RULES)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_runs_are_hashed_where_their_words_are(spark):
+    """No run is made as an array or a string; lines of few, equal and no words have the runs that sets of words give."""
+    lines = ["", " ", ".,;", "One", "one TWO", "one two three", "a b c d e f", "a a a a a", "ab c d", "a bc d", "x " * 5000, "ä ß 東 x1 ä ß 東"]
+    df = spark.createDataFrame([(k, "S", x) for k, x in enumerate(lines)], "job_id int, source string, text string")
+    found = df.select("job_id", boilerplate.runs_of(df["text"]).alias("got"))
+    assert not {"slice", "array_join"} & set(re.findall(r"\w+", found._jdf.queryExecution().optimizedPlan().toString()))
+    got = {r["job_id"]: r["got"] for r in found.collect()}
+    for k, x in enumerate(lines):
+        assert len(got[k]) == len(set(got[k])) == len(runs(x))
+    for k, x in enumerate(lines):
+        for j, y in enumerate(lines):
+            assert len(set(got[k]) & set(got[j])) == len(runs(x) & runs(y))
