@@ -110,3 +110,10 @@ def test_a_text_is_split_once_for_all_terms(spark):
     found = df.where(F.size(X.terms_in(F.col("t"), terms)) > 0)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1 and sorted(r["t"] for r in found.collect()) == ["deep learning, CUDA", "new grad"]
+
+
+def test_years_are_found_once(spark):
+    """The clauses of a text, and the mention that decides, aren't found again for every part of the interval."""
+    df = spark.createDataFrame([("2 to 4 yrs; up to 3 years",)], "text string").repartition(1).select(X.years_asked(F.col("text")).alias("y"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and df.select("y.*").first()[:] == (2, 4)
