@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import tables
-from ..tables import new_path, shared_dir  # noqa: F401
+from ..tables import new_path, removed, shared_dir  # noqa: F401
 
 #: Rows of an Arrow batch: texts may be long, and each Python worker and the JVM hold a few batches.
 BATCH_ROWS = 2000
@@ -29,16 +29,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return tables.written(df, name)
 
 
-def removed(spark: SparkSession, *frames: DataFrame) -> None:
-    """Deletes tables that ``written`` made and that nothing reads any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    shared = path(shared_dir(spark)).toUri().getPath()
-    for folder in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
-        own = path(folder)
-        if own.getParent().toUri().getPath() == shared:
-            own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
-
-
 def deleted(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
